@@ -43,6 +43,11 @@ def grams(tokens: Column, n: int) -> Column:
     return joined
 
 
+def only(tokens: Column, allowed: list[str]) -> Column:
+    """The elements found in ``allowed``, in order and with repetitions."""
+    return F.filter(tokens, lambda t: t.isin(allowed))
+
+
 def truncate(col: Column, max_chars: int | None) -> Column:
     """First ``max_chars`` characters; ``None`` keeps the whole text."""
     return col if max_chars is None else F.substring(col, 1, max_chars)

@@ -46,6 +46,7 @@ from linkloom.sources.scratch import materialize
 
 SOURCE_BLOCK = 512
 TARGET_BLOCK = 1024
+TASKS_PER_PARTITION = 4
 
 # Up to this length two different names cannot reach a rounded ratio of 100.
 _SURE_EQUAL_LENGTH = 99
@@ -123,12 +124,6 @@ def _score(a: _Side, b: _Side, i, j, bar, weights, shared: bool | None) -> np.nd
     without one (others come back as -1), or both (``None``).
     """
     out = np.full(len(i), -1.0)
-    if shared is False:
-        apart = np.fromiter((a.tokens[x].isdisjoint(b.tokens[y]) for x, y in zip(i, j)), bool, len(i))
-        kept = np.flatnonzero(apart)
-    else:
-        kept = np.arange(len(i))
-    i, j, bar = i[kept], j[kept], bar[kept]
     ratio = ratio_of(a.names, i, b.names, j)
     if shared is not False:
         token_set = token_set_of([a.tokens[x] for x in i], [b.tokens[y] for y in j])
@@ -137,11 +132,14 @@ def _score(a: _Side, b: _Side, i, j, bar, weights, shared: bool | None) -> np.nd
         odd = ~(a.plain[i] & b.plain[j])
         token_set[odd] = ratio_of(a.joined, i[odd], b.joined, j[odd])
     alive = np.flatnonzero(weighted(ratio, token_set, 100.0, weights) >= bar - _EPS)
-    ratio, token_set, i, j, kept = ratio[alive], token_set[alive], i[alive], j[alive], kept[alive]
+    if shared is False:
+        apart = (a.tokens[x].isdisjoint(b.tokens[y]) for x, y in zip(i[alive], j[alive]))
+        alive = alive[np.fromiter(apart, bool, len(alive))]
+    ratio, token_set, i, j = ratio[alive], token_set[alive], i[alive], j[alive]
     partial = ratio.copy()
     uneven = a.names.length[i] != b.names.length[j]
     partial[uneven] = partial_of(a.names, i[uneven], b.names, j[uneven])
-    out[kept] = weighted(ratio, token_set, partial, weights)
+    out[alive] = weighted(ratio, token_set, partial, weights)
     return out
 
 
@@ -243,18 +241,22 @@ def _packed_pairs(s_keys: DataFrame, t_keys: DataFrame) -> DataFrame:
             F.col("s.bar").alias("s_bar"),
         )
     )
-    return s_packed.join(t_packed, ["key", "s_block", "t_block"]).select(
-        "s_norm", "s_bar", "t_order", "t_norm"
-    )
+    # Scoring a block pair costs far more than its bytes suggest, so the number of
+    # tasks is fixed here; adaptive coalescing would merge small shuffles into one.
+    pair = ["key", "s_block", "t_block"]
+    tasks = TASKS_PER_PARTITION * int(s_keys.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    left, right = s_packed.repartition(tasks, *pair), t_packed.repartition(tasks, *pair)
+    return left.join(right, pair).select("s_norm", "s_bar", "t_order", "t_norm")
 
 
-def _scored_pairs(
-    s_keys: DataFrame, t_keys: DataFrame, weights, threshold: float, shared: bool | None
+def _scored(
+    blocks: DataFrame, t_names: DataFrame, weights, threshold: float, shared: bool | None
 ) -> DataFrame:
+    """Best target of each source name in each block pair."""
     schema = T.StructType(
         [
             T.StructField("norm", T.StringType()),
-            T.StructField("t_order", t_keys.schema["order"].dataType),
+            T.StructField("t_order", t_names.schema["order"].dataType),
             T.StructField("t_norm", T.StringType()),
             T.StructField("score", T.DoubleType()),
         ]
@@ -263,7 +265,7 @@ def _scored_pairs(
     def score(frames):
         return _best_in_blocks(frames, weights, threshold, shared)
 
-    return _keep_best(_packed_pairs(s_keys, t_keys).mapInPandas(score, schema))
+    return blocks.mapInPandas(score, schema)
 
 
 def _keep_best(pairs: DataFrame) -> DataFrame:
@@ -379,10 +381,13 @@ def best_matches(
     if sources == 0 or targets == 0:
         best = equal
     elif sources <= SOURCE_BLOCK and targets <= TARGET_BLOCK:
-        one = F.lit("all").alias("key")
-        close = _scored_pairs(
-            open_names.select(one, "*"), t_names.select(one, "*"), weights, threshold, shared=None
+        t_block = t_names.agg(F.sort_array(F.collect_list(F.struct("order", "norm"))))
+        block = (
+            open_names.agg(F.collect_list("norm").alias("s_norm"), F.collect_list("bar").alias("s_bar"))
+            .withColumn("t", t_block.scalar())
+            .select("s_norm", "s_bar", F.col("t.order").alias("t_order"), F.col("t.norm").alias("t_norm"))
         )
+        close = _scored(block, t_names, weights, threshold, shared=None)
         best = _keep_best(equal.unionByName(close))
     else:
         best = _keep_best(equal.unionByName(_close_names(open_names, t_names, weights, threshold)))
@@ -398,14 +403,18 @@ def _close_names(open_names: DataFrame, t_names: DataFrame, weights, threshold:
         return df.withColumn("key", F.explode(name_tokens(F.col("norm"))))
 
     by_token = materialize(
-        _scored_pairs(tokens(open_names), tokens(t_names), weights, threshold, shared=True),
+        _keep_best(
+            _scored(
+                _packed_pairs(tokens(open_names), tokens(t_names)), t_names, weights, threshold, shared=True
+            )
+        ),
         "token_matches",
     )
     raised = open_names.join(by_token.select("norm", "score"), "norm", "left").select(
         "norm", F.greatest("bar", "score").alias("bar")
     )
     s_keys, t_keys = _length_keys(raised, t_names, weights)
-    by_length = _scored_pairs(s_keys, t_keys, weights, threshold, shared=False)
+    by_length = _scored(_packed_pairs(s_keys, t_keys), t_names, weights, threshold, shared=False)
     return by_token.unionByName(by_length)
 
 
