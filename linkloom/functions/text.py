@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from collections.abc import Iterable
+
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
@@ -43,9 +45,34 @@ def grams(tokens: Column, n: int) -> Column:
     return joined
 
 
-def only(tokens: Column, allowed: list[str]) -> Column:
-    """The elements found in ``allowed``, in order and with repetitions."""
-    return F.filter(tokens, lambda t: t.isin(allowed))
+def sql_text(value: str) -> str:
+    """A string literal for ``F.expr``."""
+    return "'" + value.replace("\\", "\\\\").replace("'", "\\'") + "'"
+
+
+def sql_list(values: Iterable[str]) -> str:
+    """The inside of an SQL ``IN (...)``."""
+    return ", ".join(sql_text(v) for v in values)
+
+
+def by_word_count(phrases: Iterable[str]) -> dict[int, list[str]]:
+    """Phrases grouped by their number of words."""
+    groups: dict[int, list[str]] = {}
+    for phrase in phrases:
+        groups.setdefault(len(phrase.split()), []).append(phrase)
+    return dict(sorted(groups.items()))
+
+
+def phrase_at(tokens: str, phrases: list[str], words_each: int) -> str:
+    """SQL for the phrase that starts at token ``t``, index ``i``, or null if none can.
+
+    A phrase is put together only where its first word occurs.
+    """
+    if words_each == 1:
+        return f"IF(t IN ({sql_list(phrases)}), t, NULL)"
+    firsts = dict.fromkeys(p.split()[0] for p in phrases)
+    joined = f"array_join(slice({tokens}, i + 1, {words_each}), ' ')"
+    return f"IF(t IN ({sql_list(firsts)}), {joined}, NULL)"
 
 
 def truncate(col: Column, max_chars: int | None) -> Column:

@@ -15,7 +15,15 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from linkloom.functions.entities import ENTITY_TYPE, entity_record
-from linkloom.functions.text import grams, is_missing, words
+from linkloom.functions.text import (
+    by_word_count,
+    grams,
+    is_missing,
+    phrase_at,
+    sql_list,
+    sql_text,
+    words,
+)
 
 MAX_INLINE_SURFACES = 5000
 
@@ -43,33 +51,27 @@ def _spelling(surface: str) -> str:
     return " ".join(re.findall(r"[^\W\d_]+", surface))
 
 
-def _dictionary_hits(tokens: Column, surfaces: Sequence[Surface]) -> Column:
+def _dictionary_hits(surfaces: Sequence[Surface]) -> str:
+    """SQL for the gazetteer entries found in ``_tokens``, in text order."""
     known = {_spelling(s.text): s for s in surfaces}
     if len(known) > MAX_INLINE_SURFACES:
         raise ValueError("gazetteer too large for inline matching, use gazetteer_entities")
-    kinds = F.create_map(*[F.lit(x) for k, s in known.items() for x in (k, s.entity_group)])
-    scores = F.create_map(*[F.lit(x) for k, s in known.items() for x in (k, float(s.score))])
+    kinds = ", ".join(f"{sql_text(k)}, {sql_text(s.entity_group)}" for k, s in known.items())
+    scores = ", ".join(f"{sql_text(k)}, {float(s.score)!r}D" for k, s in known.items())
     parts = []
-    for n in sorted({len(k.split()) for k in known}):
-        sized = [k for k in known if len(k.split()) == n]
-        parts.append(_placed_hits(grams(tokens, n), sized))
-    ordered = F.array_sort(F.concat(*parts) if len(parts) > 1 else parts[0])
-    return F.transform(
-        ordered,
-        lambda e: F.struct(
-            e["word"].alias("word"),
-            F.element_at(kinds, e["word"]).alias("entity_group"),
-            F.element_at(scores, e["word"]).alias("score"),
-            e["pos"].alias("pos"),
-        ),
+    for n, sized in by_word_count(known).items():
+        word = phrase_at("_tokens", sized, n)
+        placed = f"transform(_tokens, (t, i) -> named_struct('pos', i, 'word', {word}))"
+        if n == 1:
+            placed = f"transform(_tokens, (t, i) -> IF(t IN ({sql_list(sized)}), named_struct('pos', i, 'word', t), NULL))"
+        parts.append(f"filter({placed}, e -> e.word IN ({sql_list(sized)}))")
+    ordered = f"array_sort(concat({', '.join(parts)}))"
+    return (
+        f"transform({ordered}, e -> named_struct('word', e.word, 'entity_group', map({kinds})[e.word],"
+        f" 'score', map({scores})[e.word], 'pos', e.pos))"
     )
 
 
-def _placed_hits(runs: Column, surfaces: list[str]) -> Column:
-    placed = F.transform(runs, lambda g, i: F.struct(i.alias("pos"), g.alias("word")))
-    return F.filter(placed, lambda e: e["word"].isin(surfaces))
-
-
 def _pattern_hits(text: Column, pattern: Pattern) -> Column:
     found = F.regexp_extract_all(text, F.lit(f"({pattern.regex})"), F.lit(1))
     return F.transform(
@@ -104,17 +106,17 @@ def extract_entities(
     empty = F.array().cast(ENTITY_TYPE)
     if not known:
         return df.withColumn(output, empty)
-    hits = None
-    for lang, surfaces in known.items():
-        found = _dictionary_hits(F.col("_tokens"), surfaces)
-        hits = F.when(language == lang, found) if hits is None else hits.when(language == lang, found)
+    hits = " ".join(f"WHEN {sql_text(x)} THEN {_dictionary_hits(found)}" for x, found in known.items())
     extra = [_pattern_hits(F.col(text), p).cast(ENTITY_TYPE) for p in patterns]
     usable = language.isin(list(known)) & ~is_missing(F.col(text))
     return (
-        df.withColumn("_tokens", F.when(usable, words(F.col(text))))
-        .withColumn("_hits", F.when(F.col("_tokens").isNotNull(), hits.cast(ENTITY_TYPE)))
+        df.withColumns({"_lang": language, "_tokens": F.when(usable, words(F.col(text)))})
+        .withColumn(
+            "_hits",
+            F.expr(f"IF(_tokens IS NULL, NULL, CASE _lang {hits} END)").cast(ENTITY_TYPE),
+        )
         .withColumn(output, F.coalesce(F.concat("_hits", *extra), empty))
-        .drop("_tokens", "_hits")
+        .drop("_lang", "_tokens", "_hits")
     )
 
 
@@ -134,7 +136,10 @@ def add_entity_record(
 
 def entities_long(df: DataFrame, key: str, entities: str = "entities") -> DataFrame:
     """One row per entity: ``key, nr, word, entity_group, score, pos``."""
-    return df.select(key, F.posexplode(entities).alias("nr", "e")).select(key, "nr", "e.*")
+    # Outer, then filtered: a plain explode would compute the lists a second time
+    # in a filter it places below itself.
+    rows = df.select(key, F.posexplode_outer(entities).alias("nr", "e"))
+    return rows.where(F.col("nr").isNotNull()).select(key, "nr", "e.*")
 
 
 def gazetteer_entities(

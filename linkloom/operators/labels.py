@@ -16,7 +16,15 @@ from dataclasses import dataclass
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from linkloom.functions.text import grams, is_missing, only, truncate, words
+from linkloom.functions.text import (
+    by_word_count,
+    is_missing,
+    phrase_at,
+    sql_list,
+    sql_text,
+    truncate,
+    words,
+)
 
 # A lexicon beyond this many terms per language belongs in a table.
 MAX_INLINE_TERMS = 5000
@@ -55,24 +63,29 @@ def _terms(labels: Sequence[Label]) -> list[str]:
     return found
 
 
-def _term_hits(tokens: Column, terms: Sequence[str]) -> Column:
-    """Occurrences of ``terms`` in the tokens, as a short array of the terms found."""
+def _term_hits(terms: Sequence[str]) -> str:
+    """SQL for the occurrences of ``terms`` in ``_tokens``, as a short array of the terms found."""
     parts = []
-    for n in sorted({len(t.split()) for t in terms}):
-        sized = [t for t in terms if len(t.split()) == n]
-        parts.append(only(grams(tokens, n), sized))
-    empty = F.array().cast("array<string>")
-    return F.concat(*parts) if len(parts) > 1 else (parts[0] if parts else empty)
-
-
-def _raw(hits: Column, label: Label) -> Column:
+    for n, sized in by_word_count(terms).items():
+        listed = sql_list(sized)
+        if n == 1:
+            parts.append(f"filter(_tokens, t -> t IN ({listed}))")
+        else:
+            found = f"transform(_tokens, (t, i) -> {phrase_at('_tokens', sized, n)})"
+            parts.append(f"filter({found}, g -> g IN ({listed}))")
+    return f"concat({', '.join(parts)})" if parts else "array()"
+
+
+def _raw(label: Label) -> str:
+    """SQL for the weighted number of ``_hits`` that speak for a label."""
     by_weight: dict[float, list[str]] = {}
     for term, weight in label.terms.items():
         by_weight.setdefault(float(weight), []).append(term)
-    total = F.lit(0.0)
-    for weight, terms in by_weight.items():
-        total = total + F.size(only(hits, terms)) * F.lit(weight)
-    return total
+    sums = [
+        f"size(filter(_hits, h -> h IN ({sql_list(terms)}))) * {weight!r}D"
+        for weight, terms in by_weight.items()
+    ]
+    return " + ".join(["0.0D", *sums])
 
 
 EVIDENCE_TYPE = "array<struct<raw:double,pos:int,label:string>>"
@@ -99,24 +112,30 @@ def with_evidence(
     if not known:
         return df.withColumn(output, empty)
 
-    hits = raw = F
+    # One SQL text per expression: a lexicon of many terms would otherwise take
+    # thousands of calls to assemble.
+    hits, raw = [], []
     for lang, labels in known.items():
         entries = [
-            F.struct(
-                _raw(F.col("_hits"), label).alias("raw"),
-                F.lit(pos).alias("pos"),
-                F.lit(label.name).alias("label"),
-            )
+            f"named_struct('raw', {_raw(label)}, 'pos', {pos}, 'label', {sql_text(label.name)})"
             for pos, label in enumerate(labels, 1)
         ]
-        hits = hits.when(language == lang, _term_hits(F.col("_tokens"), _terms(labels)))
-        raw = raw.when(language == lang, F.array(*entries))
+        hits.append(f"WHEN {sql_text(lang)} THEN {_term_hits(_terms(labels))}")
+        raw.append(f"WHEN {sql_text(lang)} THEN array({', '.join(entries)})")
     usable = language.isin(list(known)) & ~is_missing(F.col(text))
     return (
-        df.withColumn("_tokens", F.when(usable, words(F.lower(truncate(F.col(text), max_chars)))))
-        .withColumn("_hits", hits)
-        .withColumn(output, F.coalesce(F.when(F.col("_hits").isNotNull(), raw), empty))
-        .drop("_tokens", "_hits")
+        df.withColumns(
+            {
+                "_lang": language,
+                "_tokens": F.when(usable, words(F.lower(truncate(F.col(text), max_chars)))),
+            }
+        )
+        .withColumn("_hits", F.expr(f"IF(_tokens IS NULL, NULL, CASE _lang {' '.join(hits)} END)"))
+        .withColumn(
+            output,
+            F.coalesce(F.expr(f"IF(_hits IS NULL, NULL, CASE _lang {' '.join(raw)} END)"), empty),
+        )
+        .drop("_lang", "_tokens", "_hits")
     )
 
 

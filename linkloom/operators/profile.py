@@ -68,13 +68,23 @@ def label_report(df: DataFrame, labels: str, error: str | None = None) -> DataFr
     leaves errors out already, ``ok_rate`` is the share of rows that went well.
     """
     many = isinstance(df.schema[labels].dataType, T.ArrayType)
-    done = list_size(labels) > 0 if many else F.col(labels).isNotNull() & (F.col(labels) != "")
+    listed = F.col(labels) if many else F.array(labels)
     failed = F.col(error).isNotNull() if error else F.lit(False)
-    counts = df.agg(
-        F.count_if(done & ~failed).alias("processed"), F.count_if(failed).alias("errors")
+    uses = df.select(
+        failed.alias("failed"), F.posexplode_outer(F.filter(listed, lambda x: x != "")).alias("nr", "label")
+    )
+    # One row per row of the table has nr 0 or none; the others repeat it.
+    first = F.coalesce(F.col("nr"), F.lit(0)) == 0
+    done = first & F.col("label").isNotNull() & ~F.col("failed")
+    per_label = uses.groupBy("label").agg(
+        F.count_if(done).alias("processed"), F.count_if(first & F.col("failed")).alias("errors")
     )
-    unique = label_counts(df, labels).select(F.count("*")).scalar()
-    return counts.withColumn("unique_labels", unique).select(
+    counts = per_label.agg(
+        F.coalesce(F.sum("processed"), F.lit(0)).alias("processed"),
+        F.coalesce(F.sum("errors"), F.lit(0)).alias("errors"),
+        F.count("label").alias("unique_labels"),
+    )
+    return counts.select(
         "processed",
         "errors",
         "unique_labels",
@@ -88,17 +98,21 @@ def label_report(df: DataFrame, labels: str, error: str | None = None) -> DataFr
     )
 
 
-def _one_label_per_row(df: DataFrame, labels: str, by: Sequence[str]) -> DataFrame:
-    if isinstance(df.schema[labels].dataType, T.ArrayType):
-        return df.select(*by, F.explode(labels).alias("label"))
-    return df.where(F.col(labels).isNotNull() & (F.col(labels) != "")).select(
-        *by, F.col(labels).alias("label")
-    )
+def one_label_per_row(df: DataFrame, labels: str, by: Sequence[str] = ()) -> DataFrame:
+    """``label`` per use of a label, from a string or array column.
+
+    The outer explode keeps Spark from copying the label expression into a
+    filter below it, where a lazily computed column would be computed again.
+    """
+    many = isinstance(df.schema[labels].dataType, T.ArrayType)
+    source = F.col(labels) if many else F.array(labels)
+    used = df.select(*by, F.explode_outer(source).alias("label"))
+    return used.where(F.col("label").isNotNull() & (F.col("label") != ""))
 
 
 def label_counts(df: DataFrame, labels: str, by: Sequence[str] = ()) -> DataFrame:
     """``label, n``: uses of each label of a string or array column, per ``by`` group."""
-    return _one_label_per_row(df, labels, by).groupBy(*by, "label").agg(F.count("*").alias("n"))
+    return one_label_per_row(df, labels, by).groupBy(*by, "label").agg(F.count("*").alias("n"))
 
 
 def label_distribution(df: DataFrame, labels: str, by: Sequence[str] = ()) -> DataFrame:
@@ -196,8 +210,8 @@ def completeness(df: DataFrame, columns: Sequence[str] | None = None) -> DataFra
 
 
 def category_entropy(df: DataFrame, category: str, by: Sequence[str] = ()) -> DataFrame:
-    """Shannon entropy (natural logarithm) of the category shares, missing categories left out."""
-    counts = df.where(F.col(category).isNotNull()).groupBy(*by, category).agg(F.count("*").alias("n"))
+    """Shannon entropy (natural logarithm) of the category shares; rows without one are left out."""
+    counts = label_counts(df, category, by)
     share = F.col("n") / F.sum("n").over(Window.partitionBy(*by))
     return (
         counts.withColumn("p", share)

@@ -195,23 +195,25 @@ def category_all_ranked(spark, folder):
 @query
 def category_topk_scores(spark, folder):
     top = evidence(spark, folder).select(
-        "doc_id", F.posexplode(L.top_labels_with_scores(F.col("evidence"), 3)).alias("nr", "e")
+        "doc_id", F.posexplode_outer(L.top_labels_with_scores(F.col("evidence"), 3)).alias("nr", "e")
     )
-    return top.select(
+    return top.where(F.col("nr").isNotNull()).select(
         "doc_id", (F.col("nr") + 1).alias("rank"), "e.label", F.round("e.score", 6).alias("score")
     )
 
 
 @query
 def softmax_scores(spark, folder):
-    scores = evidence(spark, folder).select("doc_id", F.explode(L.softmax(F.col("evidence"))).alias("e"))
-    return scores.select("doc_id", "e.label", "e.raw", F.round("e.score", 6).alias("score"))
+    scores = evidence(spark, folder).select(
+        "doc_id", F.explode_outer(L.softmax(F.col("evidence"))).alias("e")
+    )
+    return scores.where(F.col("e").isNotNull()).select("doc_id", "e.label", "e.raw", F.round("e.score", 6).alias("score"))
 
 
 @query
 def category_hypothesis(spark, folder):
-    named = categorized(spark, folder).where(F.col("category").isNotNull())
-    return named.select("doc_id", L.hypothesis(F.col("category")).alias("statement"))
+    named = profile.one_label_per_row(categorized(spark, folder), "category", ["doc_id"])
+    return named.select("doc_id", L.hypothesis(F.col("label")).alias("statement"))
 
 
 @query
@@ -466,9 +468,9 @@ def entities_grouped(spark, folder):
 @query
 def entities_by_type(spark, folder):
     by_type = with_entities(spark, folder).select(
-        "doc_id", F.explode(FE.entity_map(F.col("entities"))).alias("kind", "words")
+        "doc_id", F.explode_outer(FE.entity_map(F.col("entities"))).alias("kind", "words")
     )
-    return by_type.select("doc_id", "kind", F.array_join("words", "|").alias("words"))
+    return by_type.where(F.col("kind").isNotNull()).select("doc_id", "kind", F.array_join("words", "|").alias("words"))
 
 
 @query
@@ -604,7 +606,7 @@ def mode_value(spark, folder):
 
 def wide_records(spark, folder) -> DataFrame:
     """Parts with Cyrillic and English names and two descriptions, the second one from labelled texts."""
-    docs = table(spark, folder, "documents").select(F.col("doc_id").alias("id"), "text", "lang")
+    docs = texts(spark, folder).select(F.col("doc_id").alias("id"), "text", "lang")
     names = parts(spark, folder).select(
         F.col("p_partkey").alias("id"),
         cyrillic(F.col("p_name")).alias("name_de"),

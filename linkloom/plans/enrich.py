@@ -67,11 +67,15 @@ class Config:
 
 @dataclass(frozen=True)
 class Enriched:
-    """Lazy results: one frame per language, and the matches (``None`` if not asked for)."""
+    """Lazy results: one frame per language, and the matches (``None`` if not asked for).
+
+    ``side_by_side`` holds both languages of each row of a wide table.
+    """
 
     records: dict[str, DataFrame]
     matches: DataFrame | None
     source: DataFrame
+    side_by_side: DataFrame | None = None
 
 
 def chosen_steps(steps: Sequence[str] | None) -> list[str]:
@@ -203,23 +207,35 @@ def enrich(df: DataFrame, config: Config | None = None, steps: Sequence[str] | N
         valid = drop_invalid(df, config.required)
         frames = {a: valid, b: valid}
     plain = dict(frames)
-    records = {x: enrich_language(frame, x, config, wanted) for x, frame in frames.items()}
+    if frames[a] is frames[b]:
+        # One plan for both languages; a frame that leaves a language out also
+        # leaves out the work for it.
+        both = enrich_language(enrich_language(frames[a], a, config, wanted), b, config, wanted)
+        added = [c for c in both.columns if c not in frames[a].columns]
+        records = {
+            x: both.drop(*[c for c in added if not c.endswith(f"_{x}")]) for x in config.languages
+        }
+    else:
+        both = None
+        records = {x: enrich_language(frame, x, config, wanted) for x, frame in frames.items()}
     matches = None
     if "fuzzy_match" in wanted:
         # The match needs names only, so it reads the frames before enrichment.
         matches = match_languages(plain[a], plain[b], config.languages, config)
-    return Enriched(records, matches, df)
+    return Enriched(records, matches, df, both)
 
 
 def combine(result: Enriched, languages: tuple[str, str] = ("ru", "en"), key: str = "id") -> DataFrame:
     """Both languages side by side when they share ``key``, stacked otherwise.
 
-    From the second frame only the columns the first one lacks are joined.
+    The two frames of a wide table are the same rows, so there each row carries
+    both languages without a join. Frames of a long table are joined on ``key``.
     """
     first, second = (result.records[x] for x in languages)
     if key in first.columns and key in second.columns:
-        extra = [c for c in second.columns if c == key or c not in first.columns]
-        return R.merge_on_id(first, second.select(extra), key)
+        if result.side_by_side is not None:
+            return result.side_by_side
+        return R.merge_on_id(first, second, key, tuple(f"_{x}" for x in languages))
     return R.stack([first, second])
 
 
