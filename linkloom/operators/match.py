@@ -51,6 +51,7 @@ TASKS_PER_PARTITION = 4
 # Up to this length two different names cannot reach a rounded ratio of 100.
 _SURE_EQUAL_LENGTH = 99
 _EPS = 1e-6
+_CHARS_AT_ONCE = 1 << 19
 
 
 # --- scoring of packed blocks (runs inside tasks) ---------------------------
@@ -148,45 +149,64 @@ def _first_of_each(key: np.ndarray, *order: np.ndarray) -> np.ndarray:
     return rank[np.r_[True, key[rank][1:] != key[rank][:-1]]] if len(rank) else rank
 
 
+def _slices(frame: pd.DataFrame) -> Iterator[pd.DataFrame]:
+    """Runs of block pairs with a bounded number of characters, at least one pair each."""
+    start = names = widest = 0
+    for at, row in enumerate(zip(frame["s_norm"], frame["t_norm"])):
+        count = len(row[0]) + len(row[1])
+        width = max((len(name) for side in row for name in side), default=0)
+        if at > start and (names + count) * max(widest, width) > _CHARS_AT_ONCE:
+            yield frame.iloc[start:at]
+            start, names, widest = at, 0, 0
+        names, widest = names + count, max(widest, width)
+    if start < len(frame):
+        yield frame.iloc[start:]
+
+
 def _best_in_blocks(
     frames: Iterator[pd.DataFrame], weights: Mapping[str, float], threshold: float, shared: bool | None
 ) -> Iterator[pd.DataFrame]:
     for frame in frames:
-        source = np.concatenate(frame["s_norm"].to_list()) if len(frame) else []
-        target = np.concatenate(frame["t_norm"].to_list()) if len(frame) else []
-        if len(frame) == 0:
-            continue
-        bar = np.concatenate(frame["s_bar"].to_list()).astype(float)
-        order = [x for row in frame["t_order"] for x in row]
-        a, b = _sides(list(source), list(target))
-        found_i, found_j, found_bound = [], [], []
-        at_i = at_j = 0
-        for n_i, n_j in zip(frame["s_norm"].map(len), frame["t_norm"].map(len)):
-            rows, cols = slice(at_i, at_i + n_i), slice(at_j, at_j + n_j)
-            bound = _upper_bound(a, b, rows, cols, weights, shared) + _EPS
-            i, j = np.nonzero((bound > threshold) & (bound >= bar[rows, None]))
-            found_i.append(i + at_i)
-            found_j.append(j + at_j)
-            found_bound.append(bound[i, j])
-            at_i, at_j = at_i + n_i, at_j + n_j
-        i, j, bound = map(np.concatenate, (found_i, found_j, found_bound))
-        # The most promising pair of each source name raises the bar for the rest.
-        head = _first_of_each(i, -bound)
-        score = np.full(len(i), -1.0)
-        score[head] = _score(a, b, i[head], j[head], bar[i[head]], weights, shared)
-        np.maximum.at(bar, i[head], score[head])
-        rest = np.setdiff1d(np.flatnonzero(bound >= bar[i]), head, assume_unique=True)
-        score[rest] = _score(a, b, i[rest], j[rest], bar[i[rest]], weights, shared)
-        won = np.flatnonzero(score > threshold)
-        won = won[_first_of_each(i[won], -score[won], j[won])]
-        yield pd.DataFrame(
-            {
-                "norm": pd.Series([source[x] for x in i[won]], dtype=object),
-                "t_order": pd.Series([order[x] for x in j[won]], dtype=object),
-                "t_norm": pd.Series([target[x] for x in j[won]], dtype=object),
-                "score": score[won],
-            }
-        )
+        for part in _slices(frame):
+            yield _best_in_slice(part, weights, threshold, shared)
+
+
+def _best_in_slice(
+    frame: pd.DataFrame, weights: Mapping[str, float], threshold: float, shared: bool | None
+) -> pd.DataFrame:
+    source = [name for names in frame["s_norm"] for name in names]
+    target = [name for names in frame["t_norm"] for name in names]
+    order = [x for row in frame["t_order"] for x in row]
+    bar = np.concatenate(frame["s_bar"].to_list()).astype(float)
+    a, b = _sides(source, target)
+    found_i, found_j, found_bound = [], [], []
+    at_i = at_j = 0
+    for n_i, n_j in zip(frame["s_norm"].map(len), frame["t_norm"].map(len)):
+        rows, cols = slice(at_i, at_i + n_i), slice(at_j, at_j + n_j)
+        bound = _upper_bound(a, b, rows, cols, weights, shared) + _EPS
+        i, j = np.nonzero((bound > threshold) & (bound >= bar[rows, None]))
+        found_i.append(i + at_i)
+        found_j.append(j + at_j)
+        found_bound.append(bound[i, j])
+        at_i, at_j = at_i + n_i, at_j + n_j
+    i, j, bound = map(np.concatenate, (found_i, found_j, found_bound))
+    # The most promising pair of each source name raises the bar for the rest.
+    head = _first_of_each(i, -bound)
+    score = np.full(len(i), -1.0)
+    score[head] = _score(a, b, i[head], j[head], bar[i[head]], weights, shared)
+    np.maximum.at(bar, i[head], score[head])
+    rest = np.setdiff1d(np.flatnonzero(bound >= bar[i]), head, assume_unique=True)
+    score[rest] = _score(a, b, i[rest], j[rest], bar[i[rest]], weights, shared)
+    won = np.flatnonzero(score > threshold)
+    won = won[_first_of_each(i[won], -score[won], j[won])]
+    return pd.DataFrame(
+        {
+            "norm": pd.Series([source[x] for x in i[won]], dtype=object),
+            "t_order": pd.Series([order[x] for x in j[won]], dtype=object),
+            "t_norm": pd.Series([target[x] for x in j[won]], dtype=object),
+            "score": score[won],
+        }
+    )
 
 
 # --- blocks ------------------------------------------------------------------

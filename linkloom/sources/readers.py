@@ -40,7 +40,7 @@ def infer_types(df: DataFrame) -> DataFrame:
             good = value.rlike(r"^\s*[+-]?\d+\s*$") & value.try_cast(kind).isNotNull()
         else:
             good = value.rlike(r"^\s*[+-]?(\d|\.\d|inf)") & value.try_cast(kind).isNotNull()
-        return F.bool_and(F.coalesce(good, F.lit(True))).alias(f"{name}|{kind}")
+        return F.bool_and(value.isNull() | good).alias(f"{name}|{kind}")
 
     checks = [fits(n, k) for n in names for k in candidates]
     filled = [F.count(n).alias(f"{n}|filled") for n in names]

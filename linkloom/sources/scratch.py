@@ -11,21 +11,19 @@ import uuid
 
 from pyspark.sql import DataFrame, SparkSession
 
-_CONF = "spark.checkpoint.dir"
-
-
 def shared_dir(spark: SparkSession) -> str:
-    """The session's ``spark.checkpoint.dir``.
+    """The session's ``spark.checkpoint.dir``, or the folder set with ``setCheckpointDir``.
 
-    Where it is unset and Spark runs in local mode (tests), a temporary folder
-    is set for the session. On a cluster the setting is required.
+    Where neither is set and Spark runs in local mode (tests), a temporary
+    folder is set. On a cluster the setting is required.
     """
-    folder = spark.conf.get(_CONF, None) or spark.sparkContext.getConf().get(_CONF)
+    context = spark.sparkContext
+    folder = spark.conf.get("spark.checkpoint.dir", None) or context.getCheckpointDir()
     if not folder:
-        if not spark.sparkContext.master.startswith("local"):
-            raise ValueError(f"set {_CONF} to a folder that all executors share")
+        if not context.master.startswith("local"):
+            raise ValueError("set spark.checkpoint.dir to a folder that all executors share")
         folder = tempfile.mkdtemp(prefix="linkloom-")
-        spark.conf.set(_CONF, folder)
+        context.setCheckpointDir(folder)
     return folder.rstrip("/")
 
 
