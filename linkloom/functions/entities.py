@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
-from linkloom.functions.text import strip
+from linkloom.functions.text import let, strip
 
 # Entity types by group; every other type is "misc".
 GROUPS = {
@@ -137,10 +137,18 @@ def longest_place(words: Column, pieces_marked: bool = True) -> Column:
     return _longest(F.filter(F.transform(kept, clean_piece), is_place_name))
 
 
+def _location_keys() -> Column:
+    return F.array(*[F.lit(k) for k in LOCATION_KEYS])
+
+
 def primary_location(entities: Column) -> Column:
     """Longest place name of an entity map, looking through the location keys in order."""
-    lists = [F.coalesce(entities[k], F.array().cast("array<string>")) for k in LOCATION_KEYS]
-    return F.coalesce(longest_place(F.concat(*lists)), F.lit(""))
+
+    def words(found: Column) -> Column:
+        lists = F.transform(_location_keys(), lambda k: F.try_element_at(found, k))
+        return F.flatten(F.filter(lists, lambda x: x.isNotNull()))
+
+    return F.coalesce(longest_place(let(entities, words)), F.lit(""))
 
 
 def primary_location_of_record(record: Column) -> Column:
@@ -154,10 +162,9 @@ def primary_location_of_json(text: Column) -> Column:
     A value may be a list of strings, a list of objects with ``text`` or
     ``word``, a mixture of both, or one bare string.
     """
-    raw = parse_entity_json(text)
 
-    def words(key: str) -> Column:
-        value = raw[key]
+    def words(raw: Column, key: Column) -> Column:
+        value = F.try_element_at(raw, key)
         items = F.from_json(value, "array<string>")
         is_list = F.ltrim(value).startswith("[")
 
@@ -170,4 +177,7 @@ def primary_location_of_json(text: Column) -> Column:
         found = F.when(is_list, F.transform(items, word)).otherwise(F.array(clean_piece(value)))
         return F.filter(F.coalesce(found, F.array().cast("array<string>")), is_place_name)
 
-    return F.coalesce(_longest(F.concat(*[words(k) for k in LOCATION_KEYS])), F.lit(""))
+    def all_words(raw: Column) -> Column:
+        return F.flatten(F.transform(_location_keys(), lambda key: words(raw, key)))
+
+    return F.coalesce(_longest(let(parse_entity_json(text), all_words)), F.lit(""))

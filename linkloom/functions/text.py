@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from collections.abc import Iterable
+from collections.abc import Callable, Iterable
 
 from pyspark.sql import Column
 from pyspark.sql import functions as F
@@ -45,6 +45,11 @@ def grams(tokens: Column, n: int) -> Column:
     return joined
 
 
+def let(value: Column, body: Callable[[Column], Column]) -> Column:
+    """``body(value)`` with ``value`` computed once however often the body uses it."""
+    return F.element_at(F.transform(F.array(value), body), 1)
+
+
 def sql_text(value: str) -> str:
     """A string literal for ``F.expr``."""
     return "'" + value.replace("\\", "\\\\").replace("'", "\\'") + "'"

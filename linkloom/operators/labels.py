@@ -28,6 +28,7 @@ from linkloom.functions.text import (
 
 # A lexicon beyond this many terms per language belongs in a table.
 MAX_INLINE_TERMS = 5000
+MAX_INLINE_CENTROIDS = 1000
 
 
 @dataclass(frozen=True)
@@ -277,9 +278,36 @@ def centroids(df: DataFrame, label: str, vector: str) -> DataFrame:
 def nearest_label(df: DataFrame, key: str, vector: str, centres: DataFrame) -> DataFrame:
     """Label whose centroid has the largest cosine with the vector of each row.
 
-    Cells meet centroid cells on the dimension; products are summed per row and
-    label before they are shuffled. Ties go to the smaller label.
+    Ties go to the smaller label. Up to ``MAX_INLINE_CENTROIDS`` centroids every
+    row is compared where it is; more of them are joined by dimension.
     """
+    if centres.select("label").distinct().count() > MAX_INLINE_CENTROIDS:
+        return _nearest_by_join(df, key, vector, centres)
+
+    values = F.transform(F.array_sort(F.collect_list(F.struct("dim", "value"))), lambda c: c["value"])
+    vectors = centres.groupBy("label").agg(values.alias("values"))
+    vectors = vectors.withColumn("norm", F.sqrt(_dot(F.col("values"), F.col("values"))))
+    listed = vectors.agg(F.collect_list(F.struct("label", "values", "norm")))
+    here = F.transform(F.col(vector), lambda x: x.cast("double"))
+    rows = df.withColumns({"_centres": listed.scalar(), "_here": here}).withColumn(
+        "_size", F.sqrt(_dot(F.col("_here"), F.col("_here")))
+    )
+
+    def candidate(c: Column) -> Column:
+        size = F.col("_size") * c["norm"]
+        cosine = F.when(size > 0, _dot(F.col("_here"), c["values"]) / size).otherwise(0.0)
+        return F.struct((-cosine).alias("loss"), c["label"].alias("label"), cosine.alias("cosine"))
+
+    best = F.array_min(F.transform("_centres", candidate))
+    return rows.withColumn("_best", best).select(key, "_best.label", "_best.cosine")
+
+
+def _dot(a: Column, b: Column) -> Column:
+    return F.aggregate(F.zip_with(a, b, lambda x, y: x * y), F.lit(0.0), lambda total, x: total + x)
+
+
+def _nearest_by_join(df: DataFrame, key: str, vector: str, centres: DataFrame) -> DataFrame:
+    """Cells meet centroid cells on the dimension; products are summed before they are shuffled."""
     norms = centres.groupBy("label").agg(F.sqrt(F.sum(F.col("value") ** 2)).alias("norm"))
     cells = df.select(key, F.posexplode(vector).alias("dim", "cell"))
     dots = (

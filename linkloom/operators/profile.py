@@ -10,6 +10,7 @@ from pyspark.sql import types as T
 
 from linkloom.functions.entities import map_size, record_size
 from linkloom.functions.text import percent, rate, text_length
+from linkloom.sources.scratch import materialize
 
 LONG_TEXT = 50
 
@@ -98,15 +99,20 @@ def label_report(df: DataFrame, labels: str, error: str | None = None) -> DataFr
     )
 
 
-def one_label_per_row(df: DataFrame, labels: str, by: Sequence[str] = ()) -> DataFrame:
-    """``label`` per use of a label, from a string or array column.
+def _pinned(df: DataFrame, values: Column, name: str, by: Sequence[str] = ()) -> DataFrame:
+    """The elements of ``values``, one per row.
 
-    The outer explode keeps Spark from copying the label expression into a
-    filter below it, where a lazily computed column would be computed again.
+    Filters on ``name`` stay above the outer explode. Otherwise Spark copies the
+    whole expression of a lazily computed column into the filter and computes it
+    again, several times over where it refers to itself.
     """
+    return df.select(*by, F.explode_outer(values).alias(name))
+
+
+def one_label_per_row(df: DataFrame, labels: str, by: Sequence[str] = ()) -> DataFrame:
+    """``label`` per use of a label, from a string or array column."""
     many = isinstance(df.schema[labels].dataType, T.ArrayType)
-    source = F.col(labels) if many else F.array(labels)
-    used = df.select(*by, F.explode_outer(source).alias("label"))
+    used = _pinned(df, F.col(labels) if many else F.array(labels), "label", by)
     return used.where(F.col("label").isNotNull() & (F.col("label") != ""))
 
 
@@ -118,7 +124,7 @@ def label_counts(df: DataFrame, labels: str, by: Sequence[str] = ()) -> DataFram
 def label_distribution(df: DataFrame, labels: str, by: Sequence[str] = ()) -> DataFrame:
     """``label, n, share``: percent of all uses of any label.
 
-    The window runs over the few rows that are left after counting.
+    Labels come from a closed list, so the window sees no more rows than that list has.
     """
     whole = F.sum("n").over(Window.partitionBy(*by))
     return label_counts(df, labels, by).withColumn("share", percent(F.col("n"), whole))
@@ -137,26 +143,38 @@ def top_n_labels(df: DataFrame, labels: str, n: int = 10) -> DataFrame:
 # --- value reports -----------------------------------------------------------------
 
 
+def _with_percent(grouped: DataFrame) -> DataFrame:
+    """Add the percent of the sum of ``n``.
+
+    The values may be many, so the sum is a subquery over the grouped counts
+    rather than a window that would bring them all into one task. The counts
+    are written once, as they are read twice; this runs a job.
+    """
+    grouped = materialize(grouped, "counts")
+    whole = grouped.select(F.sum("n")).scalar()
+    return grouped.withColumn("_whole", whole).select(
+        *grouped.columns, percent(F.col("n"), F.col("_whole")).alias("percent")
+    )
+
+
 def value_counts(df: DataFrame, column: str) -> DataFrame:
     """``value, n, percent`` of all rows: missing values count in the whole, not as a group."""
-    grouped = df.groupBy(F.col(column).alias("value")).agg(F.count("*").alias("n"))
-    whole = F.sum("n").over(Window.partitionBy())
-    return grouped.withColumn("percent", percent(F.col("n"), whole)).where(F.col("value").isNotNull())
+    grouped = _pinned(df, F.array(column), "value").groupBy("value").agg(F.count("*").alias("n"))
+    return _with_percent(grouped).where(F.col("value").isNotNull())
 
 
 def most_common(df: DataFrame, column: str) -> DataFrame:
     """The most frequent value and its count; ties go to the smaller value."""
-    grouped = df.where(F.col(column).isNotNull()).groupBy(F.col(column).alias("value"))
+    grouped = _pinned(df, F.array(column), "value").where(F.col("value").isNotNull()).groupBy("value")
     best = F.min(F.struct((-F.col("n")).alias("loss"), "value", "n"))
     return grouped.agg(F.count("*").alias("n")).agg(best.alias("best")).select("best.value", "best.n")
 
 
 def location_frequency(df: DataFrame, location: str, n: int = 15) -> DataFrame:
     """The ``n`` most frequent non-empty locations with their percent of all rows."""
-    grouped = df.groupBy(F.col(location).alias("location")).agg(F.count("*").alias("n"))
-    whole = F.sum("n").over(Window.partitionBy())
-    shares = grouped.withColumn("percent", percent(F.col("n"), whole))
-    return shares.where(F.col("location") != "").orderBy(F.desc("n"), F.asc("location")).limit(n)
+    places = _pinned(df, F.array(location), "location")
+    grouped = places.groupBy("location").agg(F.count("*").alias("n"))
+    return _with_percent(grouped).where(F.col("location") != "").orderBy(F.desc("n"), F.asc("location")).limit(n)
 
 
 def location_coverage(df: DataFrame, location: str) -> DataFrame:

@@ -8,6 +8,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from linkloom.operators.validate import check_columns
+from linkloom.sources.scratch import materialize
 
 # Long-format columns that become per-language columns, and the
 # columns carried through unchanged.
@@ -87,6 +88,27 @@ def prefix_columns(df: DataFrame, prefix: str, skip: Sequence[str] = ()) -> Data
 
 
 def number_rows(df: DataFrame, within: Sequence[str], order: Sequence[str], name: str = "row") -> DataFrame:
-    """Zero-based position inside each ``within`` group, over an explicit order."""
-    window = Window.partitionBy(*within).orderBy(*order)
-    return df.withColumn(name, F.row_number().over(window) - 1)
+    """Zero-based position inside each ``within`` group, over an explicit order.
+
+    A group may be a large part of the table, so it is never one task: rows are
+    range-partitioned and numbered inside each range, and every range starts
+    where the ranges before it end. The ranges are written once, because both
+    steps must see the same ones; this runs a job.
+    """
+    sorted_columns = [*within, *order]
+    ranges = materialize(
+        df.repartitionByRange(*sorted_columns).withColumn("_range", F.spark_partition_id()), "ranges"
+    )
+    inside = Window.partitionBy("_range", *within).orderBy(*order)
+    # One row per range and group: no more rows than partitions plus groups.
+    before = Window.partitionBy(*within).orderBy("_range").rowsBetween(Window.unboundedPreceding, -1)
+    starts = (
+        ranges.groupBy("_range", *within)
+        .agg(F.count("*").alias("_rows"))
+        .withColumn("_start", F.coalesce(F.sum("_rows").over(before), F.lit(0)))
+    )
+    keys = ["_range", *within]
+    starts = starts.select([F.col(k).alias(f"_of_{k}") for k in keys] + ["_start"])
+    same = [F.col(k).eqNullSafe(F.col(f"_of_{k}")) for k in keys]
+    placed = ranges.withColumn("_nr", F.row_number().over(inside) - 1)
+    return placed.join(starts, same).select(*df.columns, (F.col("_start") + F.col("_nr")).alias(name))

@@ -55,14 +55,18 @@ def infer_types(df: DataFrame) -> DataFrame:
     return df.withColumns(casts) if casts else df
 
 
-def read_csv(spark: SparkSession, path: str, schema: T.StructType | None = None) -> DataFrame:
+def read_csv(
+    spark: SparkSession, path: str, schema: T.StructType | None = None, multi_line: bool = True
+) -> DataFrame:
     """CSV with a header; quoted line breaks are kept and NA markers become null.
 
-    Give a ``schema`` to skip the pass that infers the column types.
+    Give a ``schema`` to skip the pass that infers the column types. A file that
+    may hold quoted line breaks is read by one task; for large files without
+    them set ``multi_line=False``, which lets Spark split the files.
     """
     reader = (
         spark.read.option("header", True)
-        .option("multiLine", True)
+        .option("multiLine", multi_line)
         .option("quote", '"')
         .option("escape", '"')
         .option("ignoreLeadingWhiteSpace", False)

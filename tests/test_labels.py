@@ -135,5 +135,9 @@ def test_label_report_with_errors(spark):
 def test_centroids(spark):
     rows = [(1, [1.0, 0.0], 0), (2, [0.9, 0.1], 0), (3, [0.0, 1.0], 1), (4, [0.1, 2.0], None)]
     df = spark.createDataFrame(rows, "id int, v array<float>, label int")
-    got = L.nearest_label(df, "id", "v", L.centroids(df, "label", "v"))
-    assert {r.id: r.label for r in got.collect()} == {1: 0, 2: 0, 3: 1, 4: 1}
+    centres = L.centroids(df, "label", "v")
+    want = {1: 0, 2: 0, 3: 1, 4: 1}
+    inline = L.nearest_label(df, "id", "v", centres).collect()
+    joined = L._nearest_by_join(df, "id", "v", centres).collect()
+    assert {r.id: r.label for r in inline} == {r.id: r.label for r in joined} == want
+    assert all(abs(r.cosine) <= 1 + 1e-9 for r in inline)

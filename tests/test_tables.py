@@ -87,7 +87,11 @@ def test_stack_prefix_number(spark):
     assert [tuple(r) for r in R.stack([a, b]).orderBy("id").collect()] == [(1, "x", None), (2, None, "y")]
     odd = a.withColumn("Unnamed: 0", F.lit(1))
     assert R.prefix_columns(odd, "ru", ["id"]).columns == ["ru_a"]
-    assert [r.row for r in R.number_rows(b.union(b), ["id"], ["b"]).collect()] == [0, 1]
+    assert sorted(r.row for r in R.number_rows(b.union(b), ["id"], ["b"]).collect()) == [0, 1]
+    many = spark.range(1000).select((F.col("id") % 3).alias("g"), F.col("id").alias("x"))
+    many = many.withColumn("g", F.when(F.col("g") > 0, F.col("g")))
+    rows = R.number_rows(many, ["g"], ["x"]).collect()
+    assert len(rows) == 1000 and all(r.row == r.x // 3 for r in rows)
 
 
 # --- sources and sinks ----------------------------------------------------------------
