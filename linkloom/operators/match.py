@@ -52,6 +52,7 @@ TASKS_PER_PARTITION = 4
 _SURE_EQUAL_LENGTH = 99
 _EPS = 1e-6
 _CHARS_AT_ONCE = 1 << 19
+_TURNS = 3
 
 
 # --- scoring of packed blocks (runs inside tasks) ---------------------------
@@ -100,8 +101,10 @@ def _sides(left: list[str], right: list[str]) -> tuple[_Side, _Side]:
     return _Side(batch[0], batch[2], tokens[0]), _Side(batch[1], batch[3], tokens[1])
 
 
-def _upper_bound(a: _Side, b: _Side, rows: slice, cols: slice, weights, shared: bool | None) -> np.ndarray:
-    """A score no pair of the two blocks can exceed."""
+def _upper_bound(
+    a: _Side, b: _Side, rows: slice, cols: slice, weights, shared: bool | None
+) -> tuple[np.ndarray, np.ndarray]:
+    """A score no pair of the two blocks can exceed, and the part of it owed to the ratio."""
     la, lb = a.names.length[rows, None], b.names.length[None, cols]
     ja, jb = a.joined.length[rows, None], b.joined.length[None, cols]
     common = _overlap(a.name_counts[rows], b.name_counts[cols])
@@ -115,17 +118,17 @@ def _upper_bound(a: _Side, b: _Side, rows: slice, cols: slice, weights, shared:
     if shared is not False:
         size = _shared_size(a.tokens[rows], b.tokens[cols])
         token_set = np.maximum(token_set, scaled(size, size + np.minimum(ja, jb)))
-    return weights["ratio"] * ratio + weights["token_set"] * token_set + weights["partial"] * partial
+    part = weights["ratio"] * ratio
+    return part + weights["token_set"] * token_set + weights["partial"] * partial, part
 
 
-def _score(a: _Side, b: _Side, i, j, bar, weights, shared: bool | None) -> np.ndarray:
+def _score(a: _Side, b: _Side, i, j, ratio, bar, weights, shared: bool | None) -> np.ndarray:
     """Exact scores; a pair that cannot reach its bar may come back as -1.
 
     ``shared`` says which pairs are wanted: those with a common token, those
     without one (others come back as -1), or both (``None``).
     """
     out = np.full(len(i), -1.0)
-    ratio = ratio_of(a.names, i, b.names, j)
     if shared is not False:
         token_set = token_set_of([a.tokens[x] for x in i], [b.tokens[y] for y in j])
     else:
@@ -179,24 +182,29 @@ def _best_in_slice(
     order = [x for row in frame["t_order"] for x in row]
     bar = np.concatenate(frame["s_bar"].to_list()).astype(float)
     a, b = _sides(source, target)
-    found_i, found_j, found_bound = [], [], []
+    found = []
     at_i = at_j = 0
     for n_i, n_j in zip(frame["s_norm"].map(len), frame["t_norm"].map(len)):
         rows, cols = slice(at_i, at_i + n_i), slice(at_j, at_j + n_j)
-        bound = _upper_bound(a, b, rows, cols, weights, shared) + _EPS
-        i, j = np.nonzero((bound > threshold) & (bound >= bar[rows, None]))
-        found_i.append(i + at_i)
-        found_j.append(j + at_j)
-        found_bound.append(bound[i, j])
+        bound, part = _upper_bound(a, b, rows, cols, weights, shared)
+        i, j = np.nonzero((bound + _EPS > threshold) & (bound + _EPS >= bar[rows, None]))
+        found.append((i + at_i, j + at_j, bound[i, j] - part[i, j]))
         at_i, at_j = at_i + n_i, at_j + n_j
-    i, j, bound = map(np.concatenate, (found_i, found_j, found_bound))
-    # The most promising pair of each source name raises the bar for the rest.
-    head = _first_of_each(i, -bound)
+    i, j, other = (np.concatenate(x) for x in zip(*found))
+    ratio = ratio_of(a.names, i, b.names, j)
+    # With the ratio known the bound is close. The most promising pairs of each
+    # source name go first and raise the bar for the rest.
+    bound = other + weights["ratio"] * ratio + _EPS
     score = np.full(len(i), -1.0)
-    score[head] = _score(a, b, i[head], j[head], bar[i[head]], weights, shared)
-    np.maximum.at(bar, i[head], score[head])
-    rest = np.setdiff1d(np.flatnonzero(bound >= bar[i]), head, assume_unique=True)
-    score[rest] = _score(a, b, i[rest], j[rest], bar[i[rest]], weights, shared)
+    waiting = np.flatnonzero((bound > threshold) & (bound >= bar[i]))
+    for turn in range(_TURNS + 1):
+        now = waiting
+        if turn < _TURNS:
+            now = waiting[_first_of_each(i[waiting], -bound[waiting])]
+            waiting = np.setdiff1d(waiting, now, assume_unique=True)
+        score[now] = _score(a, b, i[now], j[now], ratio[now], bar[i[now]], weights, shared)
+        np.maximum.at(bar, i[now], score[now])
+        waiting = waiting[bound[waiting] >= bar[i[waiting]]]
     won = np.flatnonzero(score > threshold)
     won = won[_first_of_each(i[won], -score[won], j[won])]
     return pd.DataFrame(

@@ -123,8 +123,11 @@ def test_quality_report_on_band_edges(spark):
     assert M.match_quality(df.where("match_score > 100")).collect() == []
 
 
-def test_plan_has_no_cartesian_product(spark):
-    s, t = frames(spark, ["abcd"], ["abce"])
+@pytest.mark.parametrize("block", [1, 1000])
+def test_plan_has_no_cartesian_product(spark, monkeypatch, block):
+    monkeypatch.setattr(M, "SOURCE_BLOCK", block)
+    monkeypatch.setattr(M, "TARGET_BLOCK", block)
+    s, t = frames(spark, ["abcd", "efgh"], ["abce", "efgk"])
     plan = M.match_tables(s, t, "name", "title", target_order="pos")._jdf.queryExecution().toString()
     assert "CartesianProduct" not in plan and "NestedLoop" not in plan
 
