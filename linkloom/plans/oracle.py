@@ -6,6 +6,8 @@ exploded words with a ``VALUES`` list, and every fuzzy match compares all pairs.
 
 from __future__ import annotations
 
+import re
+
 from linkloom.functions.entities import LOCATION_KEYS, SKIP_WORDS
 from linkloom.operators.profile import LONG_TEXT
 from linkloom.plans import demo
@@ -559,17 +561,8 @@ WIDE = f"""wide AS (
   FROM part JOIN documents d ON d.doc_id = p_partkey WHERE d.lang <> 'es')"""
 
 
-def as_language(sql: str, lang: str) -> str:
-    """Run CTEs written for ``documents`` on the wide rows, all taken as one language."""
-    return f"""documents_{lang} AS (
-  SELECT id AS doc_id, '{lang}' AS lang, description_{lang} AS text FROM wide),
-{sql}"""
-
-
 def renamed(sql: str, lang: str) -> str:
     """Give every CTE and its uses a language suffix."""
-    import re
-
     names = re.findall(r"(?:^|,|\n)\s*(\w+) AS \(\n?\s*SELECT", sql) + ["documents"]
     for name in sorted(set(names), key=len, reverse=True):
         sql = re.sub(rf"(?<![\w.'])({name})(?= AS \()", rf"\1_{lang}", sql)
@@ -581,10 +574,10 @@ def job_side(lang: str) -> str:
     return renamed(f"{ENTITIES}, {CATEGORY}, {TAGS}", lang)
 
 
-JOB = f"""{WIDE},
-documents_de AS (SELECT id AS doc_id, 'de' AS lang, description_de AS text FROM wide),
+JOB_TABLES = f"""documents_de AS (SELECT id AS doc_id, 'de' AS lang, description_de AS text FROM wide),
 documents_en AS (SELECT id AS doc_id, 'en' AS lang, description_en AS text FROM wide),
 {job_side("de")}, {job_side("en")}"""
+JOB = f"{WIDE}, {JOB_TABLES}"
 
 
 def tag_text(lang: str) -> str:
@@ -621,8 +614,7 @@ TAG_ROWS = (
 )
 TAGGED = f"SELECT count(*) FROM (SELECT DISTINCT l, doc_id FROM {TAG_ROWS})"
 ORACLE["enrich_report"] = f"""
-WITH RECURSIVE {JOB_MATCH}, {JOB.split("wide),", 1)[0].split("WHERE d.lang <> 'es'),", 1)[1]}wide),
-{JOB.split("wide),", 1)[1]},
+WITH RECURSIVE {JOB_MATCH}, {JOB_TABLES},
 stats AS (SELECT {MATCH_STATISTICS} FROM src s LEFT JOIN found f ON f.id = s.id)
 """ + " UNION ALL ".join(
     [
