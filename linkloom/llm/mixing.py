@@ -19,7 +19,7 @@ from linkloom.operators.reshape import number_rows
 from linkloom.sources.scratch import materialize
 
 #: Rows that a key range of the largest source holds on average.
-RANGE_ROWS = 4096
+RANGE_ROWS = 512
 #: Values of the upper half of a key, by which ranges are told.
 _KEYS = 1 << 32
 

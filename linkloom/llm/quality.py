@@ -95,8 +95,8 @@ def count_words(docs: DataFrame, keep: list[str]) -> DataFrame:
 def host_rates(counted: DataFrame, host: str, rules: Rules) -> DataFrame:
     """Per host and rule: documents, failures, shrunk rate; and the host's ``host_kept``.
 
-    The prior is fitted by moments to the hosts' rates: mean ``m`` and variance
-    ``v`` between hosts beyond what ``m`` alone explains. Where hosts don't
+    The prior is fitted by moments to the hosts' rates, each weighted by its
+    documents: their mean, and their variance beyond what chance explains. Where hosts don't
     differ beyond that, the prior is as heavy as all documents and every host
     gets the common rate. Null is a host like any other.
     """
@@ -108,17 +108,17 @@ def host_rates(counted: DataFrame, host: str, rules: Rules) -> DataFrame:
     total = hosts.agg(
         F.sum("n").alias("n"),
         F.count("*").alias("hosts"),
-        F.avg(1 / F.col("n")).alias("inverse"),
         *[F.sum(k).alias(k) for k in names],
-        *[F.var_samp(F.col(k) / F.col("n")).alias(f"{k}_var") for k in names],
+        *[F.sum(F.col(k) * F.col(k) / F.col("n")).alias(f"{k}_squares") for k in names],
     ).first()
     out = hosts
     for k in names:
-        mean = (total[k] or 0) / (total["n"] or 1)
-        chance = mean * (1 - mean) * (total["inverse"] or 0)
-        between = max((total[f"{k}_var"] or 0.0) - chance, 0.0)
-        weight = mean * (1 - mean) / between - 1 if between > 0 else float(total["n"] or 1)
-        weight = min(max(weight, 1.0), float(total["n"] or 1))
+        n = total["n"] or 1
+        mean = (total[k] or 0) / n
+        spread = (total[f"{k}_squares"] or 0.0) / n - mean * mean
+        between = spread - mean * (1 - mean) * total["hosts"] / n
+        weight = mean * (1 - mean) / between - 1 if between > 0 else float(n)
+        weight = min(max(weight, 1.0), float(n))
         out = out.withColumn(f"{k}_rate", (F.col(k) + mean * weight) / (F.col("n") + weight))
     worst = F.greatest(*[F.col(f"{k}_rate") for k in names])
     return out.withColumn("host_kept", worst <= rules.max_host_rate)
