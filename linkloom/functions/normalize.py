@@ -18,8 +18,22 @@ CYRILLIC = {
     "ф": "f", "х": "kh", "ц": "ts", "ч": "ch", "ш": "sh", "щ": "shch",
     "ъ": "", "ы": "y", "ь": "", "э": "e", "ю": "yu", "я": "ya",
     "є": "ie", "і": "i", "ї": "i", "ґ": "g", "ў": "u",
+    "ђ": "dj", "ј": "j", "љ": "lj", "њ": "nj", "ћ": "c", "џ": "dz", "ѓ": "gj", "ќ": "kj", "ѕ": "dz",
+    "ѐ": "e", "ѝ": "i", "қ": "q", "ғ": "gh", "ң": "ng", "ө": "o", "ұ": "u", "ү": "u", "һ": "h", "ә": "a",
+    "ҷ": "j", "ҳ": "h", "ӣ": "i", "ӯ": "u",
 }
 
+# Latin spellings of Greek, Georgian and Armenian letters.
+GREEK = dict(zip("αβγδεζηθικλμνξοπρσςτυφχψω", "a v g d e z i th i k l m n x o p r s s t y f ch ps o".split()))
+GEORGIAN = dict(
+    zip("აბგდევზთიკლმნოპჟრსტუფქღყშჩცძწჭხჯჰ",
+        "a b g d e v z t i k l m n o p zh r s t u p k gh q sh ch ts dz ts ch kh j h".split())
+)
+ARMENIAN = dict(
+    zip("աբգդեզէըթժիլխծկհձղճմյնշոչպջռսվտրցւփքօֆ",
+        "a b g d e z e y t zh i l kh ts k h dz gh ch m y n sh o ch p j r s v t r ts u p k o f".split())
+) | {"և": "ev"}
+
 # Latin letters that do not decompose into a base letter and an accent.
 LATIN_SPECIAL = {
     "ß": "ss", "æ": "ae", "œ": "oe", "ø": "o", "đ": "d", "ð": "d",
@@ -28,18 +42,19 @@ LATIN_SPECIAL = {
 
 
 def accent_table() -> dict[str, str]:
-    """Lower-case accented Latin letters mapped to their base letter, by decomposition."""
+    """Lower-case accented Latin and Greek letters mapped to their base letter, by decomposition."""
     table = {}
-    for code in range(0x00DF, 0x0250):
+    for code in [*range(0x00DF, 0x0250), *range(0x0390, 0x03CF), *range(0x1E00, 0x2000)]:
         char = chr(code)
         base = unicodedata.normalize("NFD", char)[0]
-        if char != base and base.isascii() and char == char.lower():
+        base = GREEK.get(base, base)
+        if char != base and char not in GREEK and base.isascii() and base.isalpha() and char == char.lower():
             table[char] = base
     return table
 
 
 def letter_table() -> dict[str, str]:
-    return {**accent_table(), **LATIN_SPECIAL, **CYRILLIC}
+    return {**accent_table(), **LATIN_SPECIAL, **GREEK, **GEORGIAN, **ARMENIAN, **CYRILLIC}
 
 
 def transliterate(col: Column) -> Column:

@@ -27,41 +27,41 @@ REVIEW_CONFIDENCE = 70.0
 
 _WORD_BITS = 64
 _PAIRS_AT_ONCE = 1 << 18
+# Strings up to so many 64-bit words advance together. A longer one takes its
+# steps alone, each over thousands of bits at once.
+_WORDS_TOGETHER = 32
 
 
 class NameBatch:
-    """Strings as a padded matrix of dense character codes, with match masks."""
+    """Strings as dense character codes, one after the other, without padding."""
 
     def __init__(self, strings, alphabet: np.ndarray | None = None):
         self.strings = strings
         self.length = np.fromiter((len(s) for s in strings), np.int64, len(strings))
-        width = max(1, int(self.length.max(initial=0)))
-        chars = np.array(strings, dtype=f"<U{width}").view(np.uint32).reshape(len(strings), width)
+        self.start = np.cumsum(self.length) - self.length
+        chars = np.frombuffer("".join(strings).encode("utf-32-le", "surrogatepass"), np.uint32)
         self.alphabet = np.unique(chars) if alphabet is None else alphabet
         self.pad = len(self.alphabet)
-        self.codes = np.searchsorted(self.alphabet, chars).astype(np.int32)
-        self.codes[np.arange(width) >= self.length[:, None]] = self.pad
-        self._masks = None
-
-    @property
-    def masks(self) -> np.ndarray:
-        """Bit k of ``masks[i, c]`` says that character k of string i is c."""
-        if self._masks is None:
-            table = np.zeros((len(self.strings), self.pad + 1), np.uint64)
-            rows = np.arange(len(self.strings))
-            for k in range(min(self.codes.shape[1], _WORD_BITS)):
-                table[rows, self.codes[:, k]] |= np.uint64(1 << k)
-            table[:, self.pad] = 0
-            self._masks = table
-        return self._masks
+        # One more code behind the last, so that empty strings have a place too.
+        self.codes = np.append(np.searchsorted(self.alphabet, chars), self.pad).astype(np.int32)
+
+    def masks(self, rows: np.ndarray, words: int) -> np.ndarray:
+        """Bit ``k`` of ``masks[i, c]``, over ``words`` words, says that character ``k`` of row ``i`` is ``c``."""
+        table = np.zeros((len(rows), self.pad + 1, words), np.uint64)
+        size = self.length[rows]
+        owner = np.repeat(np.arange(len(rows)), size)
+        place = np.arange(len(owner)) - np.repeat(np.cumsum(size) - size, size)
+        code = self.codes[self.start[rows][owner] + place]
+        bits = np.uint64(1) << (place % _WORD_BITS).astype(np.uint64)
+        np.bitwise_or.at(table, (owner, code, place // _WORD_BITS), bits)
+        return table
 
     def counts(self) -> np.ndarray:
         """How often each character of the alphabet occurs in each string."""
-        width = self.pad + 1
-        flat = np.arange(len(self.strings))[:, None] * width + self.codes
-        table = np.bincount(flat.ravel(), minlength=len(self.strings) * width)
-        table = table.reshape(len(self.strings), width)[:, : self.pad]
-        return np.minimum(table, 65535).astype(np.uint8 if table.max(initial=0) < 256 else np.uint16)
+        owner = np.repeat(np.arange(len(self.strings)), self.length)
+        table = np.bincount(owner * self.pad + self.codes[:-1], minlength=len(self.strings) * self.pad)
+        table = table.reshape(len(self.strings), self.pad)
+        return table.astype(np.uint8 if table.max(initial=0) < 256 else np.int64)
 
 
 def encode_together(left, right) -> tuple[NameBatch, NameBatch]:
@@ -70,7 +70,7 @@ def encode_together(left, right) -> tuple[NameBatch, NameBatch]:
     return NameBatch(list(left), both.alphabet), NameBatch(list(right), both.alphabet)
 
 
-def _lcs_long(a: str, b: str) -> int:
+def _lcs_alone(a: str, b: str) -> int:
     masks: dict[str, int] = {}
     for k, char in enumerate(a):
         masks[char] = masks.get(char, 0) | (1 << k)
@@ -82,42 +82,65 @@ def _lcs_long(a: str, b: str) -> int:
     return len(a) - row.bit_count()
 
 
-def _lcs_step(pattern: NameBatch, p, text: NameBatch, t, start, size) -> np.ndarray:
-    row = np.full(len(p), ~np.uint64(0))
-    last = text.codes.shape[1] - 1
-    for step in range(int(size.max(initial=0))):
-        char = text.codes[t, np.minimum(start + step, last)]
-        hit = row & pattern.masks[p, np.where(step < size, char, pattern.pad)]
-        row = (row + hit) | (row - hit)
-    unused = (_WORD_BITS - pattern.length[p]).astype(np.uint64)
-    kept = np.where(unused < _WORD_BITS, (~np.uint64(0)) >> np.minimum(unused, 63), np.uint64(0))
-    return np.bitwise_count(~row & kept).astype(np.int64)
+def _lcs_together(pattern: NameBatch, p, text: NameBatch, t, start, size, words: int) -> np.ndarray:
+    """LCS of pairs whose patterns take up to ``words`` words, all pairs one character a step.
+
+    ``size`` must ascend.
+    """
+    rows, at = np.unique(p, return_inverse=True)
+    masks = pattern.masks(rows, words)
+    state = np.full((len(p), words), ~np.uint64(0))
+    base = text.start[t] + start
+    # Sizes ascend, so the pairs that are not yet through are the last ones.
+    through = np.searchsorted(size, np.arange(int(size.max(initial=0))), "right")
+    for step, first in enumerate(through):
+        row = state[first:]
+        hit = row & masks[at[first:], text.codes[base[first:] + step]]
+        total = row + hit
+        if words > 1:
+            # Carries run from each word into the next.
+            carry = total[:, 0] < row[:, 0]
+            for w in range(1, words):
+                over = total[:, w] < row[:, w]
+                total[:, w] += carry
+                carry = over | (carry & (total[:, w] == 0))
+        state[first:] = total | (row & ~hit)
+    used = np.clip(pattern.length[p][:, None] - _WORD_BITS * np.arange(words), 0, _WORD_BITS)
+    kept = np.where(used > 0, (~np.uint64(0)) >> np.minimum(_WORD_BITS - used, 63).astype(np.uint64), np.uint64(0))
+    return np.bitwise_count(~state & kept).sum(axis=1, dtype=np.int64)
 
 
 def lcs(left: NameBatch, i, right: NameBatch, j, start=None, size=None) -> np.ndarray:
     """LCS length of ``left[i]`` and the part of ``right[j]`` from ``start``, ``size`` long.
 
-    Without ``start`` the whole string is used.
+    Without ``start`` the whole string is used. Pairs of like length advance
+    together, so one long string costs the others nothing.
     """
     whole = start is None
+    i, j = np.asarray(i, np.int64), np.asarray(j, np.int64)
     start = np.zeros(len(i), np.int64) if whole else start
     size = right.length[j] if whole else size
     out = np.zeros(len(i), np.int64)
-    for at in range(0, len(i), _PAIRS_AT_ONCE):
-        cut = slice(at, at + _PAIRS_AT_ONCE)
-        p, t, s, n = i[cut], j[cut], start[cut], size[cut]
-        part = np.zeros(len(p), np.int64)
-        short = left.length[p] <= _WORD_BITS
-        if short.any():
-            part[short] = _lcs_step(left, p[short], right, t[short], s[short], n[short])
-        swap = ~short & whole & (right.length[t] <= _WORD_BITS)
-        if swap.any():
-            zero = np.zeros(int(swap.sum()), np.int64)
-            part[swap] = _lcs_step(right, t[swap], left, p[swap], zero, left.length[p[swap]])
-        for k in np.flatnonzero(~short & ~swap):
-            text = right.strings[t[k]][s[k] : s[k] + n[k]]
-            part[k] = _lcs_long(left.strings[p[k]], text)
-        out[cut] = part
+    # The shorter string is the pattern where both are whole.
+    swap = (left.length[i] > size) if whole else np.zeros(len(i), bool)
+    for rows, a, p, b, t in ((~swap, left, i, right, j), (swap, right, j, left, i)):
+        rows = np.flatnonzero(rows)
+        length = b.length[t[rows]] if whole else size[rows]
+        words = np.maximum(-(-a.length[p[rows]] // _WORD_BITS), 1)
+        classes = np.where(words > _WORDS_TOGETHER, 0, 1 << np.ceil(np.log2(words)).astype(np.int64))
+        for n in np.unique(classes):
+            here = np.flatnonzero(classes == n)
+            if n == 0:
+                for k in here:
+                    x = rows[k]
+                    out[x] = _lcs_alone(a.strings[p[x]], b.strings[t[x]][start[x] : start[x] + length[k]])
+                continue
+            here = here[np.argsort(length[here], kind="stable")]
+            at_once = max(1, _PAIRS_AT_ONCE // int(n))
+            for lo in range(0, len(here), at_once):
+                k = here[lo : lo + at_once]
+                x = rows[k]
+                out[x] = _lcs_together(a, p[x], b, t[x], start[x], length[k], int(n))
     return out
 
 

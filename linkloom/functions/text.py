@@ -80,11 +80,6 @@ def phrase_at(tokens: str, phrases: list[str], words_each: int) -> str:
     return f"IF(t IN ({sql_list(firsts)}), {joined}, NULL)"
 
 
-def truncate(col: Column, max_chars: int | None) -> Column:
-    """First ``max_chars`` characters; ``None`` keeps the whole text."""
-    return col if max_chars is None else F.substring(col, 1, max_chars)
-
-
 def text_length(col: Column) -> Column:
     """Length in characters, 0 for a missing text."""
     return F.coalesce(F.length(col), F.lit(0))

@@ -24,8 +24,7 @@ from linkloom.functions.text import (
     sql_text,
     words,
 )
-
-MAX_INLINE_SURFACES = 5000
+from linkloom.operators.labels import longest_phrase
 
 
 @dataclass(frozen=True)
@@ -53,11 +52,12 @@ def _spelling(surface: str) -> str:
 
 def _dictionary_hits(surfaces: Sequence[Surface]) -> str:
     """SQL for the gazetteer entries found in ``_tokens``, in text order."""
-    known = {_spelling(s.text): s for s in surfaces}
-    if len(known) > MAX_INLINE_SURFACES:
-        raise ValueError("gazetteer too large for inline matching, use gazetteer_entities")
-    kinds = ", ".join(f"{sql_text(k)}, {sql_text(s.entity_group)}" for k, s in known.items())
-    scores = ", ".join(f"{sql_text(k)}, {float(s.score)!r}D" for k, s in known.items())
+    known: dict[str, list[Surface]] = {}
+    for surface in surfaces:
+        known.setdefault(_spelling(surface.text), []).append(surface)
+    kinds = ", ".join(
+        f"{sql_text(k)}, array({', '.join(_kind(s) for s in dict.fromkeys(found))})" for k, found in known.items()
+    )
     parts = []
     for n, sized in by_word_count(known).items():
         word = phrase_at("_tokens", sized, n)
@@ -67,11 +67,15 @@ def _dictionary_hits(surfaces: Sequence[Surface]) -> str:
         parts.append(f"filter({placed}, e -> e.word IN ({sql_list(sized)}))")
     ordered = f"array_sort(concat({', '.join(parts)}))"
     return (
-        f"transform({ordered}, e -> named_struct('word', e.word, 'entity_group', map({kinds})[e.word],"
-        f" 'score', map({scores})[e.word], 'pos', e.pos))"
+        f"flatten(transform({ordered}, e -> transform(map({kinds})[e.word], k -> named_struct('word', e.word,"
+        f" 'entity_group', k.kind, 'score', k.score, 'pos', e.pos))))"
     )
 
 
+def _kind(surface: Surface) -> str:
+    return f"named_struct('kind', {sql_text(surface.entity_group)}, 'score', {float(surface.score)!r}D)"
+
+
 def _pattern_hits(text: Column, pattern: Pattern) -> Column:
     found = F.regexp_extract_all(text, F.lit(f"({pattern.regex})"), F.lit(1))
     return F.transform(
@@ -143,13 +147,17 @@ def entities_long(df: DataFrame, key: str, entities: str = "entities") -> DataFr
 
 
 def gazetteer_entities(
-    df: DataFrame, key: str, text: str, language: str, gazetteer: DataFrame, max_words: int = 1
+    df: DataFrame, key: str, text: str, language: str, gazetteer: DataFrame
 ) -> DataFrame:
     """Long-form entities from a gazetteer table ``language, surface, entity_group, score``.
 
-    Runs of up to ``max_words`` words are joined to the surfaces. No join hint:
-    the size of the table decides between broadcast and shuffle.
+    Surfaces are compared in the words the tokenizer sees, as in an inline
+    gazetteer, and may have as many words as the longest one. No join hint: the
+    size of the table decides between broadcast and shuffle.
     """
+    spelled = F.array_join(words(F.col("surface")), " ")
+    gazetteer = gazetteer.withColumn("surface", spelled).where(F.col("surface") != "")
+    max_words = longest_phrase(gazetteer, "surface")
     usable = df.where(~is_missing(F.col(text))).withColumn("_tokens", words(F.col(text)))
     runs = F.concat(
         *[

@@ -18,17 +18,16 @@ from pyspark.sql import functions as F
 
 from linkloom.functions.text import (
     by_word_count,
+    grams,
     is_missing,
     phrase_at,
     sql_list,
     sql_text,
-    truncate,
     words,
 )
 
-# A lexicon beyond this many terms per language belongs in a table.
-MAX_INLINE_TERMS = 5000
-MAX_INLINE_CENTROIDS = 1000
+#: Centroids that a row is compared with at once.
+CENTROID_BLOCK = 256
 
 
 @dataclass(frozen=True)
@@ -58,10 +57,7 @@ def hypothesis(label: Column, template: str = "This example is about {}.") -> Co
 
 
 def _terms(labels: Sequence[Label]) -> list[str]:
-    found = list(dict.fromkeys(t for label in labels for t in label.terms))
-    if len(found) > MAX_INLINE_TERMS:
-        raise ValueError("lexicon too large for an inline scorer, use lexicon_scores")
-    return found
+    return list(dict.fromkeys(t for label in labels for t in label.terms))
 
 
 def _term_hits(terms: Sequence[str]) -> str:
@@ -98,7 +94,6 @@ def with_evidence(
     language: str | Column,
     lexicon: Lexicon,
     output: str = "evidence",
-    max_chars: int | None = None,
 ) -> DataFrame:
     """Add the raw score of every candidate label, in candidate order.
 
@@ -128,7 +123,7 @@ def with_evidence(
         df.withColumns(
             {
                 "_lang": language,
-                "_tokens": F.when(usable, words(F.lower(truncate(F.col(text), max_chars)))),
+                "_tokens": F.when(usable, words(F.lower(F.col(text)))),
             }
         )
         .withColumn("_hits", F.expr(f"IF(_tokens IS NULL, NULL, CASE _lang {' '.join(hits)} END)"))
@@ -218,38 +213,42 @@ def tag(
     lexicon: Lexicon,
     output: str = "tags",
     top_k: int = 5,
-    max_chars: int | None = None,
     evidence_only: bool = True,
 ) -> DataFrame:
     """Add the best ``top_k`` tags as an array, best first."""
-    scored = with_evidence(df, text, language, lexicon, "_evidence", max_chars)
+    scored = with_evidence(df, text, language, lexicon, "_evidence")
     return scored.withColumn(output, top_labels(F.col("_evidence"), top_k, evidence_only)).drop("_evidence")
 
 
 # --- lexicon as a table -----------------------------------------------------------
 
 
-def term_counts(df: DataFrame, key: str, text: str, language: str) -> DataFrame:
-    """``key, language, term, n`` for every distinct word of every text.
+def term_counts(df: DataFrame, key: str, text: str, language: str, max_words: int = 1) -> DataFrame:
+    """``key, language, term, n`` for every distinct run of up to ``max_words`` words of every text.
 
     Counting happens before any shuffle of consequence: all words of a text are
-    in one task, so partial aggregation already yields one row per word.
+    in one task, so partial aggregation already yields one row per run.
     """
-    tokens = df.where(~is_missing(F.col(text))).select(
-        key, F.col(language).alias("language"), F.explode(words(F.lower(F.col(text)))).alias("term")
-    )
+    usable = df.where(~is_missing(F.col(text))).withColumn("_tokens", words(F.lower(F.col(text))))
+    runs = F.concat(*[grams(F.col("_tokens"), n) for n in range(1, max_words + 1)])
+    tokens = usable.select(key, F.col(language).alias("language"), F.explode(runs).alias("term"))
     return tokens.groupBy(key, "language", "term").agg(F.count("*").alias("n"))
 
 
+def longest_phrase(table: DataFrame, column: str) -> int:
+    """Words of the longest entry of a lexicon or gazetteer table; at least 1."""
+    return max(1, table.agg(F.max(F.size(F.split(column, " ")))).first()[0] or 1)
+
+
 def lexicon_scores(df: DataFrame, key: str, text: str, language: str, lexicon: DataFrame) -> DataFrame:
     """``key, language, label, raw`` from a lexicon table ``language, label, term, weight``.
 
-    An equi-join on term and language. No join hint: a lexicon below Spark's
-    size threshold is broadcast, a larger one is shuffled, with skewed terms
-    split at run time.
+    Terms may be phrases, as in an inline lexicon. An equi-join on term and
+    language. No join hint: a lexicon below Spark's size threshold is broadcast, a
+    larger one is shuffled, with skewed terms split at run time.
     """
     return (
-        term_counts(df, key, text, language)
+        term_counts(df, key, text, language, longest_phrase(lexicon, "term"))
         .join(lexicon, ["language", "term"])
         .groupBy(key, "language", "label")
         .agg(F.sum(F.col("n") * F.col("weight")).alias("raw"))
@@ -278,48 +277,33 @@ def centroids(df: DataFrame, label: str, vector: str) -> DataFrame:
 def nearest_label(df: DataFrame, key: str, vector: str, centres: DataFrame) -> DataFrame:
     """Label whose centroid has the largest cosine with the vector of each row.
 
-    Ties go to the smaller label. Up to ``MAX_INLINE_CENTROIDS`` centroids every
-    row is compared where it is; more of them are joined by dimension.
+    Ties go to the smaller label; a null or empty vector has cosine 0 with all.
+    Centroids are dealt to blocks of about ``CENTROID_BLOCK``. Each row meets each
+    block in an equi-join and brings back that block's best label only.
     """
-    if centres.select("label").distinct().count() > MAX_INLINE_CENTROIDS:
-        return _nearest_by_join(df, key, vector, centres)
-
     values = F.transform(F.array_sort(F.collect_list(F.struct("dim", "value"))), lambda c: c["value"])
     vectors = centres.groupBy("label").agg(values.alias("values"))
     vectors = vectors.withColumn("norm", F.sqrt(_dot(F.col("values"), F.col("values"))))
-    listed = vectors.agg(F.collect_list(F.struct("label", "values", "norm")))
-    here = F.transform(F.col(vector), lambda x: x.cast("double"))
-    rows = df.withColumns({"_centres": listed.scalar(), "_here": here}).withColumn(
-        "_size", F.sqrt(_dot(F.col("_here"), F.col("_here")))
+    count = max(1, -(-centres.select("label").distinct().count() // CENTROID_BLOCK))
+    blocks = vectors.groupBy(F.pmod(F.hash("label"), F.lit(count)).alias("_block")).agg(
+        F.collect_list(F.struct("label", "values", "norm")).alias("_centres")
     )
+    rows = df.select(
+        key,
+        F.transform(F.col(vector), lambda x: x.cast("double")).alias("_here"),
+        F.monotonically_increasing_id().alias("_row"),
+    ).withColumn("_size", F.sqrt(_dot(F.col("_here"), F.col("_here"))))
+    met = rows.withColumn("_block", F.explode(F.sequence(F.lit(0), F.lit(count - 1)))).join(blocks, "_block")
 
     def candidate(c: Column) -> Column:
         size = F.col("_size") * c["norm"]
         cosine = F.when(size > 0, _dot(F.col("_here"), c["values"]) / size).otherwise(0.0)
         return F.struct((-cosine).alias("loss"), c["label"].alias("label"), cosine.alias("cosine"))
 
-    best = F.array_min(F.transform("_centres", candidate))
-    return rows.withColumn("_best", best).select(key, "_best.label", "_best.cosine")
+    best = met.select(key, "_row", F.array_min(F.transform("_centres", candidate)).alias("_best"))
+    best = best.groupBy("_row").agg(F.first(key).alias(key), F.min("_best").alias("_best"))
+    return best.select(key, "_best.label", "_best.cosine")
 
 
 def _dot(a: Column, b: Column) -> Column:
     return F.aggregate(F.zip_with(a, b, lambda x, y: x * y), F.lit(0.0), lambda total, x: total + x)
-
-
-def _nearest_by_join(df: DataFrame, key: str, vector: str, centres: DataFrame) -> DataFrame:
-    """Cells meet centroid cells on the dimension; products are summed before they are shuffled."""
-    norms = centres.groupBy("label").agg(F.sqrt(F.sum(F.col("value") ** 2)).alias("norm"))
-    cells = df.select(key, F.posexplode(vector).alias("dim", "cell"))
-    dots = (
-        cells.join(centres, "dim")
-        .groupBy(key, "label")
-        .agg(
-            F.sum(F.col("cell").cast("double") * F.col("value")).alias("dot"),
-            F.sum(F.col("cell").cast("double") ** 2).alias("square"),
-        )
-        .join(norms, "label")
-    )
-    size = F.sqrt("square") * F.col("norm")
-    cosine = F.when(size > 0, F.col("dot") / size).otherwise(0.0)
-    best = F.min(F.struct((-cosine).alias("loss"), "label", cosine.alias("cosine")))
-    return dots.groupBy(key).agg(best.alias("best")).select(key, "best.label", "best.cosine")

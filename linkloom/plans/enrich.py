@@ -56,7 +56,6 @@ class Config:
     patterns: Sequence[E.Pattern] = ()
     min_entity_score: float = MIN_SCORE
     top_tags: int = 5
-    max_chars: int | None = None
     evidence_only: bool = True
     threshold: float = THRESHOLD
     weights: Mapping[str, float] = field(default_factory=lambda: dict(WEIGHTS))
@@ -125,7 +124,6 @@ def enrich_language(df: DataFrame, language: str, config: Config, steps: Sequenc
             config.tags,
             f"tags_{language}",
             config.top_tags,
-            config.max_chars,
             config.evidence_only,
         )
 
@@ -161,7 +159,6 @@ def enrich_long(
             config.tags,
             "tags",
             config.top_tags,
-            config.max_chars,
             config.evidence_only,
         )
     return df

@@ -73,7 +73,7 @@ def test_record_of_null_list_and_score_edge(spark):
 def test_long_form_and_table_gazetteer_agree(spark, texts):
     table = [("en", s.text, s.entity_group, s.score) for s in GAZETTEER["en"]]
     surfaces = spark.createDataFrame(table, "language string, surface string, entity_group string, score double")
-    got = E.gazetteer_entities(texts, "id", "text", "lang", surfaces, max_words=2)
+    got = E.gazetteer_entities(texts, "id", "text", "lang", surfaces)
     inline = E.entities_long(E.extract_entities(texts, "text", "lang", GAZETTEER), "id").drop("nr")
     assert sorted(map(tuple, got.collect())) == sorted(map(tuple, inline.collect()))
 
@@ -151,3 +151,16 @@ def test_model_slot_isolates_bad_rows(spark):
 def test_top_model_labels(spark):
     df = spark.createDataFrame([([("a", 0.2), ("b", 0.7), ("c", 0.7)],)], f"r {M.RESULT_TYPES['labels']}")
     assert df.select(M.top_model_labels(F.col("r"), 2)).first()[0] == ["b", "c"]
+
+
+def test_two_kinds_of_one_surface_are_both_found(spark):
+    docs = spark.createDataFrame([(1, "Paris met St. Denis", "en")], "id int, text string, lang string")
+    surfaces = [("Paris", "LOC", 0.9), ("Paris", "PER", 0.6), ("St. Denis", "LOC", 0.8)]
+    inline = E.extract_entities(docs, "text", "lang", {"en": [E.Surface(*s) for s in surfaces]}).collect()
+    table = spark.createDataFrame(
+        [("en", *s) for s in surfaces], "language string, surface string, entity_group string, score double"
+    )
+    long = E.gazetteer_entities(docs, "id", "text", "lang", table).collect()
+    want = {("Paris", "LOC", 0.9, 0), ("Paris", "PER", 0.6, 0), ("St Denis", "LOC", 0.8, 2)}
+    assert {(e.word, e.entity_group, e.score, e.pos) for e in inline[0].entities} == want
+    assert {(r.word, r.entity_group, r.score, r.pos) for r in long} == want

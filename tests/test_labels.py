@@ -67,10 +67,27 @@ def test_scores_with_labels(texts):
     assert math.isclose(best[0].score, top / (top + bottom + 1))
 
 
-def test_truncation_is_off_by_default(texts):
-    whole = by_id(L.tag(texts, "text", "lang", LEXICON, top_k=3), "tags")
-    short = by_id(L.tag(texts, "text", "lang", LEXICON, top_k=3, max_chars=4), "tags")
-    assert whole[1] == ["nature", "history"] and short[1] == ["nature"] and short[2] == ["history"]
+def test_table_lexicon_scores_phrases_like_an_inline_one(spark):
+    docs = spark.createDataFrame([(1, "a national park here", "en"), (2, "park park", "en")], "id int, text string, lang string")
+    table = spark.createDataFrame(
+        [("en", "national park", "national park", 1.0), ("en", "park", "park", 1.0)],
+        "language string, label string, term string, weight double",
+    )
+    got = {(r.id, r.label): r.raw for r in L.lexicon_scores(docs, "id", "text", "lang", table).collect()}
+    inline = L.with_evidence(docs, "text", "lang", L.plain_lexicon({"en": ["national park", "park"]})).collect()
+    want = {(r.id, e.label): e.raw for r in inline for e in r.evidence if e.raw > 0}
+    assert got == want == {(1, "national park"): 1.0, (1, "park"): 1.0, (2, "park"): 2.0}
+
+
+@pytest.mark.parametrize("block", [1, 256])
+def test_nearest_label_keeps_empty_vectors_whatever_the_blocks(spark, monkeypatch, block):
+    monkeypatch.setattr(L, "CENTROID_BLOCK", block)
+    rows = [(1, [1.0, 0.0]), (2, [0.0, 2.0]), (3, None), (4, []), (5, [1.0, 1.0])]
+    df = spark.createDataFrame(rows, "id int, v array<double>")
+    cells = [("a", 0, 1.0), ("a", 1, 0.0), ("b", 0, 0.0), ("b", 1, 1.0), ("c", 0, -1.0), ("c", 1, 0.0)]
+    centres = spark.createDataFrame(cells, "label string, dim int, value double")
+    got = {r.id: (r.label, round(r.cosine, 6)) for r in L.nearest_label(df, "id", "v", centres).collect()}
+    assert got == {1: ("a", 1.0), 2: ("b", 1.0), 3: ("a", 0.0), 4: ("a", 0.0), 5: ("a", 0.707107)}
 
 
 def test_missing_column_and_empty_lexicon(texts):
@@ -137,7 +154,6 @@ def test_centroids(spark):
     df = spark.createDataFrame(rows, "id int, v array<float>, label int")
     centres = L.centroids(df, "label", "v")
     want = {1: 0, 2: 0, 3: 1, 4: 1}
-    inline = L.nearest_label(df, "id", "v", centres).collect()
-    joined = L._nearest_by_join(df, "id", "v", centres).collect()
-    assert {r.id: r.label for r in inline} == {r.id: r.label for r in joined} == want
-    assert all(abs(r.cosine) <= 1 + 1e-9 for r in inline)
+    got = L.nearest_label(df, "id", "v", centres).collect()
+    assert {r.id: r.label for r in got} == want
+    assert all(abs(r.cosine) <= 1 + 1e-9 for r in got)

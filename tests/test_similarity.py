@@ -1,5 +1,6 @@
 import random
 
+import numpy as np
 import pytest
 from pyspark.sql import functions as F
 
@@ -76,3 +77,21 @@ def test_normalize_name(spark):
     df = spark.createDataFrame([(k, v) for k, v in cases.items()], "raw string, want string")
     for x in df.withColumn("got", N.normalize_name(F.col("raw"))).collect():
         assert x.got == x.want, x
+
+
+def test_long_names_equal_brute_force():
+    rng = random.Random(7)
+    sizes = [0, 1, 20, 63, 64, 65, 130, 300, 700, 2500]
+    names = ["".join(rng.choices("abcdé ", k=rng.choice(sizes))) for _ in range(80)]
+    left, right = S.encode_together(names, names[::-1])
+    i, j = np.array([rng.randrange(80) for _ in range(200)]), np.array([rng.randrange(80) for _ in range(200)])
+    want = [S._lcs_alone(names[a], names[::-1][b]) for a, b in zip(i, j)]
+    assert S.lcs(left, i, right, j).tolist() == want
+
+
+def test_counts_of_very_long_names_do_not_wrap():
+    from linkloom.operators.match import _overlap
+
+    names = S.NameBatch(["a" * 80_001, "a" * 80_000 + "b"] * 40)
+    found = _overlap(names.counts(), names.counts())
+    assert found.min() == 80_000 and found.max() == 80_001
