@@ -14,7 +14,7 @@ import xxhash
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from linkloom.llm.common import WORD
+from linkloom.sources.scratch import materialize
 
 #: Probes of an empty bin before its nearest full bin is looked up directly.
 PROBES = 12
@@ -46,6 +46,10 @@ def _probe_table(shape: Shape) -> list[tuple[int, int, int]]:
     return out
 
 
+def _signed(value: int) -> int:
+    return value - (1 << 64) if value >> 63 else value
+
+
 def with_fingerprints(docs: DataFrame, texts: dict[str, str], shape: Shape = Shape()) -> DataFrame:
     """Add to ``docs`` for each ``column: name`` in ``texts`` an array of one small integer per bin.
 
@@ -57,47 +61,44 @@ def with_fingerprints(docs: DataFrame, texts: dict[str, str], shape: Shape = Sha
     mask, shift = shape.bins - 1, 64 - shape.log_bins
     out = docs
     for column, name in texts.items():
-        w, h, m, v = (f"_{name}_{x}" for x in "whmv")
+        w, h, v, full = (f"_{name}_{x}" for x in "whvf")
         words = F.filter(F.split(F.coalesce(F.col(column), F.lit("")), r"[\x20\x09-\x0D]+"), lambda x: x != "")
         out = out.withColumn(w, words)
         k = shape.words
-        parts = [F.get(F.col(w), F.lit(i)) for i in range(k)]
-        many = F.transform(
-            F.sequence(F.lit(0), F.size(w) - k),
-            lambda i: F.xxhash64(F.lit(shape.seed), *[F.get(F.col(w), i + j) for j in range(k)]),
-        )
-        few = F.array(F.xxhash64(F.lit(shape.seed), *parts))
-        hashes = F.when(F.size(w) >= k, many).when(F.size(w) > 0, few).otherwise(F.array().cast("array<bigint>"))
+        # Words beside their followers, so that a shingle is one struct to hash.
+        side_by_side = F.arrays_zip(*[F.slice(F.col(w), i + 1, F.size(w) - (k - 1)) for i in range(k)])
+        many = F.transform(side_by_side, lambda s: F.xxhash64(F.lit(shape.seed), s))
+        few = F.array(F.xxhash64(F.lit(shape.seed), *[F.get(F.col(w), F.lit(i)) for i in range(k)]))
+        # The largest value of each bin stands for an empty one.
+        ends = F.array(*[F.lit(_signed(((b + 1) << shift) - 1)) for b in range(shape.bins)])
+        hashes = F.when(F.size(w) >= k, F.concat(many, ends)).when(F.size(w) > 0, F.concat(few, ends))
         out = out.withColumn(h, F.sort_array(hashes))
         first = F.filter(
             F.col(h),
             lambda x, i: (i == 0)
             | (F.shiftrightunsigned(x, shift) != F.shiftrightunsigned(F.get(F.col(h), i - 1), shift)),
         )
-        out = out.withColumn(m, first)
-        # Sorted by signed value, the bins with the sign bit come first; here by bin.
-        full = F.transform(F.col(m), lambda x: F.shiftrightunsigned(x, shift).cast("int"))
-        out = out.withColumn(f"{m}b", full)
-        by_bin = F.map_from_arrays(F.col(f"{m}b"), F.col(m))
-        spread = F.transform(F.sequence(F.lit(0), F.lit(mask)), lambda b: F.try_element_at(by_bin, b))
-        # Positions of the full bins by a string search would be slower: one pass over the bins suffices.
-        out = out.withColumn(v, F.when(F.size(m) > 0, spread))
-
-        def borrow(value: Column, b: Column, v=v, m=m) -> Column:
+        out = out.withColumn(v, first)
+        # Sorted as signed numbers, the upper half of the bins comes first.
+        half, rest = shape.bins // 2, (1 << shift) - 1
+        placed = F.concat(F.slice(F.col(v), half + 1, half), F.slice(F.col(v), 1, half))
+        empty = lambda x: x.bitwiseAND(F.lit(rest)) == F.lit(rest)
+        out = out.withColumn(v, F.transform(placed, lambda x: F.when(~empty(x), x)))
+        taken = F.transform(F.col(v), lambda x, b: F.when(x.isNotNull(), b))
+        out = out.withColumn(full, F.array_compact(taken))
+
+        def borrow(value: Column, b: Column, v=v, full=full) -> Column:
             a, s, inverse = F.get(starts, b), F.get(strides, b), F.get(inverses, b)
             probes = [F.get(F.col(v), (a + s * t).bitwiseAND(F.lit(mask))) for t in range(PROBES)]
             # The full bin that the probes would reach first.
-            turns = F.transform(
-                F.col(f"{m}b"),
-                lambda j: ((j - a + shape.bins) * inverse).bitwiseAND(F.lit(mask)),
-            )
+            turns = F.transform(F.col(full), lambda j: ((j - a + shape.bins) * inverse).bitwiseAND(F.lit(mask)))
             reached = (a + s * F.array_min(turns)).bitwiseAND(F.lit(mask))
             return F.coalesce(value, *probes, F.get(F.col(v), reached))
 
         dense = F.transform(F.col(v), lambda x, b: borrow(x, b))
         low = F.transform(dense, lambda x: x.bitwiseAND(F.lit((1 << shape.bits) - 1)).cast("tinyint"))
         out = out.withColumn(name, F.coalesce(low, F.array().cast("array<tinyint>")))
-        out = out.drop(w, h, m, v, f"{m}b")
+        out = out.drop(w, h, v, full)
     return out
 
 
@@ -164,6 +165,8 @@ def with_ghosts(docs: DataFrame) -> DataFrame:
         "_first",
         F.coalesce(F.lag("_range").over(around.orderBy("_range")), F.max("_range").over(around)).alias("_before"),
     )
+    # Written, so that Spark knows how small it is and texts stay where they are.
+    held = materialize(held, "ranges")
     at_first = (F.col("_range") == F.col("_of")) & F.col("doc_id").eqNullSafe(F.col("_first"))
     least = placed.join(held, at_first).groupBy("_before").agg(
         F.min_by(F.struct(*docs.columns), F.struct("text")).alias("row")
