@@ -24,8 +24,8 @@ from pyspark.sql import types as T
 
 from linkloom.sources.scratch import materialize
 
-#: Words whose ids a worker remembers; when full, it starts afresh.
-REMEMBERED = 1_200_000
+#: Words, and ends of words, whose ids a worker remembers; when full, it starts afresh.
+REMEMBERED, REMEMBERED_ENDS = 300_000, 50_000
 #: The splitting rule of the byte-level vocabulary (a fixed value).
 PATTERN = r"""'s|'t|'re|'ve|'m|'ll|'d| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p{N}]+|\s+(?!\S)|\s+"""
 
@@ -40,12 +40,12 @@ def byte_letters() -> dict[str, int]:
 class Known(dict):
     """Piece of a text -> its ids; forgets everything when full."""
 
-    def __init__(self, learn):
-        self.learn = learn
+    def __init__(self, learn, limit: int):
+        self.learn, self.limit = learn, limit
 
     def __missing__(self, piece: str) -> bytes:
         got = self.learn(piece)
-        if len(self) >= REMEMBERED:
+        if len(self) >= self.limit:
             self.clear()
         self[piece] = got
         return got
@@ -72,8 +72,8 @@ class Encoder:
         ranks = {bytes(map(letters.__getitem__, k)): v for k, v in spec["model"]["vocab"].items() if k not in added}
         self.merge = tiktoken.Encoding("own", pat_str=PATTERN, mergeable_ranks=ranks, special_tokens={}).encode_ordinary
         self.added = re.compile("|".join(map(re.escape, added)) or "(?!)").search
-        self.tails = Known(lambda x: array("I", self.merge(x)).tobytes())
-        self.words = Known(self._word)
+        self.tails = Known(lambda x: array("I", self.merge(x)).tobytes(), REMEMBERED_ENDS)
+        self.words = Known(self._word, REMEMBERED)
 
     def _word(self, piece: str) -> bytes:
         """Ids of a blank and ``piece``. Letters end where the first other character begins a token."""
@@ -87,7 +87,8 @@ class Encoder:
             return np.array(self.whole.encode(text, add_special_tokens=False).ids, "<u4").tobytes()
         # A blank followed by white space stays inside its piece.
         first, *rest = _CUT.split(text) if _BLANKS.search(text) else text.split(" ")
-        return self.tails[first] + b"".join(map(self.words.__getitem__, rest))
+        head = array("I", self.merge(first)).tobytes()
+        return head + b"".join(map(self.words.__getitem__, rest))
 
 
 _LETTERS = re.compile(r"[^\W\d_]*")
