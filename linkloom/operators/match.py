@@ -8,14 +8,15 @@ exact: every step below may only skip pairs that provably cannot win.
    cost nothing further and a name held by a third of all rows is one name.
 2. Equal names meet in a plain equi-join.
 3. Names sharing a token meet in an equi-join on tokens.
-4. Names sharing no token can only score through common characters, which
-   bounds the ratio of their lengths. They meet in an equi-join on length, over
-   the lengths that can still beat the best score found in step 3.
-
-Pairs are never rows. The names under one join key are packed into blocks of
-bounded size, a joined row is one source block beside one target block, and
-the scoring task emits at most one target per source name of the block. A hot
-token or length therefore becomes many equal tasks instead of one large one.
+4. Names sharing no token can only score through common characters. They are
+   packed by their own length, and meet over the lengths that can still beat the
+   best score found in step 3.
+
+Pairs are never rows. The names under one key are packed into blocks of bounded
+size by the characters they have. Block summaries meet first; names are copied
+only for block pairs whose summaries allow a winner. A joined row is one source
+block beside one target block, and the scoring task emits at most one target per
+source name of the block. A hot token or length is many equal tasks.
 """
 
 from __future__ import annotations
@@ -47,6 +48,9 @@ from linkloom.sources.scratch import materialize
 SOURCE_BLOCK = 512
 TARGET_BLOCK = 1024
 TASKS_PER_PARTITION = 4
+# Characters with a class of their own, and how many of them may deal names to blocks.
+CLASSES = "abcdefghijklmnopqrstuvwxyz0123456789 "
+SIGNATURE_BITS = 16
 
 # Up to this length two different names cannot reach a rounded ratio of 100.
 _SURE_EQUAL_LENGTH = 99
@@ -62,10 +66,10 @@ def _overlap(a: np.ndarray, b: np.ndarray) -> np.ndarray:
     """Common characters, with multiplicity, of every row of ``a`` and of ``b``."""
     if len(a) * len(b) * a.shape[1] <= 1 << 16:
         return np.minimum(a[:, None, :], b[None, :, :]).sum(axis=2, dtype=np.int64)
-    total = np.zeros((len(a), len(b)), np.uint16)
+    total = np.zeros((len(a), len(b)), np.int64)
     for c in np.flatnonzero(a.any(axis=0) & b.any(axis=0)):
         total += np.minimum(a[:, c, None], b[None, :, c])
-    return total.astype(np.int64)
+    return total
 
 
 def _shared_size(a: list[set], b: list[set]) -> np.ndarray:
@@ -102,7 +106,7 @@ def _sides(left: list[str], right: list[str]) -> tuple[_Side, _Side]:
 
 
 def _upper_bound(
-    a: _Side, b: _Side, rows: slice, cols: slice, weights, shared: bool | None
+    a: _Side, b: _Side, rows: slice, cols: slice, weights, shared: bool
 ) -> tuple[np.ndarray, np.ndarray]:
     """A score no pair of the two blocks can exceed, and the part of it owed to the ratio."""
     la, lb = a.names.length[rows, None], b.names.length[None, cols]
@@ -115,28 +119,28 @@ def _upper_bound(
     else:
         common = _overlap(a.joined_counts[rows], b.joined_counts[cols])
         token_set = np.minimum(200 * common / np.maximum(ja + jb, 1) + 0.5, 100)
-    if shared is not False:
+    if shared:
         size = _shared_size(a.tokens[rows], b.tokens[cols])
         token_set = np.maximum(token_set, scaled(size, size + np.minimum(ja, jb)))
     part = weights["ratio"] * ratio
     return part + weights["token_set"] * token_set + weights["partial"] * partial, part
 
 
-def _score(a: _Side, b: _Side, i, j, ratio, bar, weights, shared: bool | None) -> np.ndarray:
+def _score(a: _Side, b: _Side, i, j, ratio, bar, weights, shared: bool) -> np.ndarray:
     """Exact scores; a pair that cannot reach its bar may come back as -1.
 
-    ``shared`` says which pairs are wanted: those with a common token, those
-    without one (others come back as -1), or both (``None``).
+    ``shared`` says which pairs are wanted: those with a common token, or those
+    without one (others come back as -1).
     """
     out = np.full(len(i), -1.0)
-    if shared is not False:
+    if shared:
         token_set = token_set_of([a.tokens[x] for x in i], [b.tokens[y] for y in j])
     else:
         token_set = ratio.copy()
         odd = ~(a.plain[i] & b.plain[j])
         token_set[odd] = ratio_of(a.joined, i[odd], b.joined, j[odd])
     alive = np.flatnonzero(weighted(ratio, token_set, 100.0, weights) >= bar - _EPS)
-    if shared is False:
+    if not shared:
         apart = (a.tokens[x].isdisjoint(b.tokens[y]) for x, y in zip(i[alive], j[alive]))
         alive = alive[np.fromiter(apart, bool, len(alive))]
     ratio, token_set, i, j = ratio[alive], token_set[alive], i[alive], j[alive]
@@ -167,7 +171,7 @@ def _slices(frame: pd.DataFrame) -> Iterator[pd.DataFrame]:
 
 
 def _best_in_blocks(
-    frames: Iterator[pd.DataFrame], weights: Mapping[str, float], threshold: float, shared: bool | None
+    frames: Iterator[pd.DataFrame], weights: Mapping[str, float], threshold: float, shared: bool
 ) -> Iterator[pd.DataFrame]:
     for frame in frames:
         for part in _slices(frame):
@@ -175,7 +179,7 @@ def _best_in_blocks(
 
 
 def _best_in_slice(
-    frame: pd.DataFrame, weights: Mapping[str, float], threshold: float, shared: bool | None
+    frame: pd.DataFrame, weights: Mapping[str, float], threshold: float, shared: bool
 ) -> pd.DataFrame:
     source = [name for names in frame["s_norm"] for name in names]
     target = [name for names in frame["t_norm"] for name in names]
@@ -220,65 +224,98 @@ def _best_in_slice(
 # --- blocks ------------------------------------------------------------------
 
 
-def _packed_pairs(s_keys: DataFrame, t_keys: DataFrame) -> DataFrame:
-    """Source blocks beside target blocks, for every key present on both sides.
+def _letter_counts(norm: Column) -> Column:
+    """How often each character class occurs; what has no class of its own is counted together."""
+    size = F.length(norm)
+    each = [size - F.length(F.replace(norm, F.lit(c), F.lit(""))) for c in CLASSES]
+    return F.array(*each, size - sum(each[1:], each[0]))
 
-    ``s_keys`` holds ``key, norm, bar`` and ``t_keys`` holds ``key, norm, order``.
-    """
-    sizes = (
-        t_keys.groupBy("key")
-        .agg(F.ceil(F.count("*") / TARGET_BLOCK).alias("t_blocks"))
-        .join(
-            s_keys.groupBy("key").agg(F.ceil(F.count("*") / SOURCE_BLOCK).alias("s_blocks")), "key"
-        )
+
+def _telling(t_names: DataFrame) -> list[int]:
+    """Classes in the order in which their presence splits the target names most evenly."""
+    counts = _letter_counts(F.col("norm"))
+    shares = t_names.select(counts.alias("c")).agg(
+        *[F.avg((F.get("c", F.lit(k)) > 0).cast("int")).alias(f"p{k}") for k in range(len(CLASSES) + 1)]
     )
+    found = shares.first()
+    return sorted(range(len(found)), key=lambda k: abs((found[k] or 0.0) - 0.5))
 
-    def block(count: str) -> Column:
-        return F.pmod(F.xxhash64("norm"), F.col(count))
 
-    def spread(count: str) -> Column:
-        return F.explode(F.sequence(F.lit(0).cast("long"), F.col(count) - 1))
+def _packed(keys: DataFrame, telling: list[int], block_size: int, side: str, carried: list[str]) -> DataFrame:
+    """``keys (key, norm, size, ...)`` as blocks of about ``block_size`` names, each with a summary.
 
-    t_packed = (
-        t_keys.join(sizes, "key")
-        .groupBy("key", block("t_blocks").alias("t_block"))
-        .agg(
-            F.sort_array(F.collect_list(F.struct("order", "norm"))).alias("t"),
-            F.first("s_blocks").alias("s_blocks"),
-        )
-        .select(
-            "key",
-            "t_block",
-            spread("s_blocks").alias("s_block"),
-            F.col("t.order").alias("t_order"),
-            F.col("t.norm").alias("t_norm"),
-        )
+    Names of a key go to blocks by the presence of telling characters, so that a
+    block's names lack the same ones. A block that is still too large is split by
+    hash. The exchange is on key and block: a hot key is many groups, not one.
+    The summary holds the largest count of each character, the smallest lengths
+    and, where names have bars, the lowest bar.
+    """
+    marks = F.lit(0)
+    for bit, k in enumerate(telling[:SIGNATURE_BITS]):
+        marks = marks + F.when(F.get("counts", F.lit(k)) > 0, 1 << bit).otherwise(0)
+    counted = keys.withColumn("counts", _letter_counts(F.col("norm"))).withColumn("marks", marks)
+    sizes = keys.groupBy("key").agg(F.count("*").alias("names"))
+    bits = F.least(F.ceil(F.log2(F.greatest(F.col("names") / block_size, F.lit(1.0)))).cast("int"), F.lit(SIGNATURE_BITS))
+    marked = counted.join(sizes, "key").withColumn("block", F.col("marks") % F.pow(F.lit(2), bits).cast("int"))
+    marked = marked.drop("names", "marks")
+    parts = marked.groupBy("key", "block").agg(F.ceil(F.count("*") / block_size).alias("parts"))
+    split = F.col("block") * (1 << 32) + F.pmod(F.xxhash64("norm"), F.col("parts"))
+    placed = marked.join(parts, ["key", "block"]).withColumn("block", split).drop("parts")
+    tasks = TASKS_PER_PARTITION * int(keys.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    summary = [
+        F.array(*[F.max(F.get("counts", F.lit(k))) for k in range(len(CLASSES) + 1)]).alias("most"),
+        F.min(F.length("norm")).alias("shortest"),
+        F.min("size").alias("least_size"),
+    ]
+    if "bar" in carried:
+        summary.append(F.min("bar").alias("lowest_bar"))
+    packed = placed.repartition(tasks, "key", "block").groupBy("key", "block").agg(
+        F.sort_array(F.collect_list(F.struct(*carried))).alias("names"), *summary
     )
-    s_packed = (
-        s_keys.join(sizes, "key")
-        .groupBy("key", block("s_blocks").alias("s_block"))
-        .agg(
-            F.collect_list(F.struct("norm", "bar")).alias("s"),
-            F.first("t_blocks").alias("t_blocks"),
-        )
-        .select(
-            "key",
-            "s_block",
-            spread("t_blocks").alias("t_block"),
-            F.col("s.norm").alias("s_norm"),
-            F.col("s.bar").alias("s_bar"),
-        )
+    names = [F.col(f"names.{c}").alias(f"{side}_{c}") for c in carried]
+    return materialize(packed.select("key", F.col("block").alias(f"{side}_block"), *names, *[
+        F.col(c).alias(f"{side}_{c}") for c in packed.columns if c not in ("key", "block", "names")
+    ]), f"{side}_blocks")
+
+
+def _summary_bound(weights, shared: bool) -> Column:
+    """A score that no pair of two blocks can exceed, from their summaries alone."""
+    common = F.aggregate(
+        F.zip_with("s_most", "t_most", lambda x, y: F.least(x, y)), F.lit(0), lambda total, x: total + x
     )
+
+    def share(times: int, total: Column) -> Column:
+        return F.least(times * common / F.greatest(total, F.lit(1)) + 0.5, F.lit(100.0))
+
+    ratio = share(200, F.col("s_shortest") + F.col("t_shortest"))
+    partial = share(100, F.least("s_shortest", "t_shortest"))
+    token_set = F.lit(100.0) if shared else share(200, F.col("s_least_size") + F.col("t_least_size"))
+    return weights["ratio"] * ratio + weights["token_set"] * token_set + weights["partial"] * partial
+
+
+def _packed_pairs(s_packed: DataFrame, t_packed: DataFrame, weights, threshold: float, shared: bool, reach=None) -> DataFrame:
+    """Source blocks beside the target blocks that may hold a winner.
+
+    Summaries meet first, on the key or on the keys that ``reach`` lists; names
+    are copied only for the block pairs whose bound can reach a bar.
+    """
+    s_sums = s_packed.drop("s_norm", "s_bar").withColumnRenamed("key", "s_key")
+    s_sums = s_sums.withColumn("key", F.explode(reach) if reach is not None else F.col("s_key"))
+    bound = _summary_bound(weights, shared) + _EPS
+    pairs = s_sums.join(t_packed.drop("t_norm", "t_order"), "key").where(
+        (bound > threshold) & (bound >= F.col("s_lowest_bar"))
+    )
+    pairs = pairs.select("s_key", "s_block", "key", "t_block")
     # Scoring a block pair costs far more than its bytes suggest, so the number of
     # tasks is fixed here; adaptive coalescing would merge small shuffles into one.
-    pair = ["key", "s_block", "t_block"]
-    tasks = TASKS_PER_PARTITION * int(s_keys.sparkSession.conf.get("spark.sql.shuffle.partitions"))
-    left, right = s_packed.repartition(tasks, *pair), t_packed.repartition(tasks, *pair)
-    return left.join(right, pair).select("s_norm", "s_bar", "t_order", "t_norm")
+    tasks = TASKS_PER_PARTITION * int(s_packed.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    left = pairs.join(s_packed.select(F.col("key").alias("s_key"), "s_block", "s_norm", "s_bar"), ["s_key", "s_block"])
+    both = left.join(t_packed.select("key", "t_block", "t_order", "t_norm"), ["key", "t_block"])
+    return both.repartition(tasks, "s_key", "s_block", "key", "t_block").select("s_norm", "s_bar", "t_order", "t_norm")
 
 
 def _scored(
-    blocks: DataFrame, t_names: DataFrame, weights, threshold: float, shared: bool | None
+    blocks: DataFrame, t_names: DataFrame, weights, threshold: float, shared: bool
 ) -> DataFrame:
     """Best target of each source name in each block pair."""
     schema = T.StructType(
@@ -302,54 +339,43 @@ def _keep_best(pairs: DataFrame) -> DataFrame:
     return pairs.groupBy("norm").agg(best.alias("best")).select("norm", "best.t_order", "best.t_norm", "best.score")
 
 
-def _length_keys(names: DataFrame, t_names: DataFrame, weights) -> tuple[DataFrame, DataFrame]:
-    """Keys that bring together every pair of token-disjoint names that can reach its bar.
+def _shaped(names: DataFrame) -> DataFrame:
+    """Adds ``size``, the length of the joined distinct tokens, ``family`` and ``key``, which holds both."""
+    joined = F.array_join(name_tokens(F.col("norm")), " ")
+    family = F.when(F.col("norm") == joined, "plain").otherwise("odd")
+    shaped = names.withColumn("size", F.length(joined)).withColumn("family", family)
+    return shaped.withColumn("key", F.concat_ws(":", "family", "size"))
+
+
+def _reach(weights, longest: Column) -> Column:
+    """Keys of the target blocks that a source block's names can reach, from its key and its lowest bar.
 
     With ``x`` the ratio two lengths allow, a token-disjoint pair scores at most
     ``(ratio + token_set) * x + partial * 100``. A name with repeated tokens or
     irregular spacing is longer than its joined tokens; there only the token-set
     part is bounded by the (joined) lengths, so the window is wider.
     """
-
-    def shape(df: DataFrame) -> DataFrame:
-        joined = F.array_join(name_tokens(F.col("norm")), " ")
-        return df.withColumn("size", F.length(joined)).withColumn(
-            "family", F.when(F.col("norm") == joined, "plain").otherwise("odd")
-        )
-
-    def key(family: Column, size: Column) -> Column:
-        return F.concat_ws(":", family, size)
-
-    shaped = shape(t_names)
-    t_keys = shaped.select(key(F.col("family"), F.col("size")).alias("key"), "norm", "order")
-    longest = shaped.select(F.coalesce(F.max("size"), F.lit(0))).scalar()
+    bar, size = F.col("s_lowest_bar"), F.col("s_least_size")
 
     def window(family: str) -> Column:
-        """Joined lengths of ``family`` worth visiting."""
-        both_plain = (F.col("family") == "plain") & F.lit(family == "plain")
+        both_plain = F.startswith(F.col("s_key"), F.lit("plain")) & F.lit(family == "plain")
         loose = F.when(both_plain, 0.0).otherwise(weights["ratio"] * 100)
-        steep = F.when(both_plain, weights["ratio"] + weights["token_set"]).otherwise(
-            weights["token_set"]
-        )
-        spare = F.col("bar") - weights["partial"] * 100 - loose - _EPS
-        need = F.when(steep > 0, spare / steep - 0.5).otherwise(F.when(spare > 0, 201.0).otherwise(0.0))
-        share = F.when(need <= 0, 0.0).otherwise(need / (200 - need))
-        low = F.greatest(F.ceil(F.col("size") * share - _EPS), F.lit(1))
-        high = F.when(share > 0, F.least(F.floor(F.col("size") / share + _EPS), F.col("longest"))).otherwise(
-            F.col("longest")
+        steep = F.when(both_plain, weights["ratio"] + weights["token_set"]).otherwise(weights["token_set"])
+        spare = bar - weights["partial"] * 100 - loose - _EPS
+        need = F.when(steep > 0, spare / F.greatest(steep, F.lit(1e-9)) - 0.5).otherwise(
+            F.when(spare > 0, 201.0).otherwise(0.0)
         )
+        share = F.when(need <= 0, 0.0).otherwise(need / F.greatest(200 - need, F.lit(1e-9)))
+        low = F.greatest(F.ceil(size * share - _EPS), F.lit(1))
+        far = F.least(size / F.greatest(share, F.lit(1e-9)) + _EPS, longest.cast("double"))
+        high = F.when(share > 0, F.floor(far)).otherwise(longest)
         usable = (need <= 100.5) & (low <= high)
         lengths = F.when(usable, F.sequence(low.cast("int"), high.cast("int")))
         return F.transform(
-            F.coalesce(lengths, F.array().cast("array<int>")), lambda n: key(F.lit(family), n)
+            F.coalesce(lengths, F.array().cast("array<int>")), lambda n: F.concat_ws(":", F.lit(family), n)
         )
 
-    s_keys = (
-        shape(names)
-        .withColumn("longest", longest)
-        .select(F.explode(F.concat(window("plain"), window("odd"))).alias("key"), "norm", "bar")
-    )
-    return s_keys, t_keys
+    return F.concat(window("plain"), window("odd"))
 
 
 # --- operators ----------------------------------------------------------------
@@ -405,20 +431,9 @@ def best_matches(
     )
     open_names = s_names.where(~settled).select("norm", F.lit(float(threshold)).alias("bar"))
 
-    sources, targets = open_names.count(), t_names.count()
-    if sources == 0 or targets == 0:
-        best = equal
-    elif sources <= SOURCE_BLOCK and targets <= TARGET_BLOCK:
-        t_block = t_names.agg(F.sort_array(F.collect_list(F.struct("order", "norm"))))
-        block = (
-            open_names.agg(F.collect_list("norm").alias("s_norm"), F.collect_list("bar").alias("s_bar"))
-            .withColumn("t", t_block.scalar())
-            .select("s_norm", "s_bar", F.col("t.order").alias("t_order"), F.col("t.norm").alias("t_norm"))
-        )
-        close = _scored(block, t_names, weights, threshold, shared=None)
-        best = _keep_best(equal.unionByName(close))
-    else:
-        best = _keep_best(equal.unionByName(_close_names(open_names, t_names, weights, threshold)))
+    best = materialize(
+        _keep_best(equal.unionByName(_close_names(open_names, t_names, weights, threshold))), "best_names"
+    )
     return best.join(
         t_first.select(F.col("norm").alias("t_norm"), F.col("name").alias("t_name")), "t_norm"
     ).select("norm", "t_order", "t_norm", "t_name", "score")
@@ -427,23 +442,32 @@ def best_matches(
 def _close_names(open_names: DataFrame, t_names: DataFrame, weights, threshold: float) -> DataFrame:
     """Best pairs by common tokens, then by length among the names without one."""
 
-    def tokens(df: DataFrame) -> DataFrame:
+    telling = _telling(t_names)
+    source, target = _shaped(open_names), _shaped(t_names)
+
+    def by_token(df: DataFrame) -> DataFrame:
         return df.withColumn("key", F.explode(name_tokens(F.col("norm"))))
 
-    by_token = materialize(
-        _keep_best(
-            _scored(
-                _packed_pairs(tokens(open_names), tokens(t_names)), t_names, weights, threshold, shared=True
-            )
-        ),
-        "token_matches",
+    def pack(df: DataFrame, side: str) -> DataFrame:
+        names = ["norm", "bar"] if side == "s" else ["order", "norm"]
+        return _packed(df, telling, SOURCE_BLOCK if side == "s" else TARGET_BLOCK, side, names)
+
+    def best(pairs: DataFrame, shared: bool) -> DataFrame:
+        return _keep_best(_scored(pairs, t_names, weights, threshold, shared))
+
+    token_pairs = _packed_pairs(
+        pack(by_token(source), "s"), pack(by_token(target), "t"), weights, threshold, shared=True
+    )
+    token_best = materialize(best(token_pairs, True), "token_matches")
+    raised = source.join(token_best.select("norm", "score"), "norm", "left").withColumn(
+        "bar", F.greatest("bar", "score")
     )
-    raised = open_names.join(by_token.select("norm", "score"), "norm", "left").select(
-        "norm", F.greatest("bar", "score").alias("bar")
+    # The longest target name bounds the keys that a block may reach.
+    longest = target.agg(F.coalesce(F.max("size"), F.lit(0))).first()[0]
+    length_pairs = _packed_pairs(
+        pack(raised, "s"), pack(target, "t"), weights, threshold, shared=False, reach=_reach(weights, F.lit(longest))
     )
-    s_keys, t_keys = _length_keys(raised, t_names, weights)
-    by_length = _scored(_packed_pairs(s_keys, t_keys), t_names, weights, threshold, shared=False)
-    return by_token.unionByName(by_length)
+    return token_best.unionByName(best(length_pairs, False))
 
 
 def _default_order(target: DataFrame, target_column: str, target_order: str | None) -> str:
