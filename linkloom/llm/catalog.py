@@ -5,7 +5,22 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from linkloom.llm import extraction, minhash, mixing, packing, quality, secrets, simhash, surrogates, toxicity, warc
+from linkloom.llm import (
+    conversations,
+    divergence,
+    extraction,
+    licenses,
+    minhash,
+    mixing,
+    packing,
+    quality,
+    secrets,
+    simhash,
+    surrogates,
+    toxicity,
+    warc,
+)
+from linkloom.llm.oracle import ORACLE  # noqa: F401
 
 
 def _documents(spark: SparkSession, folder: str) -> DataFrame:
@@ -61,6 +76,18 @@ def op10_html_extraction(spark: SparkSession, folder: str) -> DataFrame:
     return extraction.extract(_pages(spark, folder))
 
 
+def op11_source_divergence(spark: SparkSession, folder: str) -> DataFrame:
+    return divergence.audit(_documents(spark, folder))
+
+
+def op12_conversation_repair(spark: SparkSession, folder: str) -> DataFrame:
+    return conversations.repair_damaged(spark.read.parquet(f"{folder}/conversations.parquet"))
+
+
+def op13_license_scans(spark: SparkSession, folder: str) -> DataFrame:
+    return licenses.licences(_documents(spark, folder))
+
+
 def pipeline(spark: SparkSession, folder: str) -> DataFrame:
     import corpus_pipeline
 
@@ -80,7 +107,9 @@ QUERIES = {
         op8_toxic_passages,
         op9_warc_normaliser,
         op10_html_extraction,
+        op11_source_divergence,
+        op12_conversation_repair,
+        op13_license_scans,
         pipeline,
     )
 }
-ORACLE: dict[str, str] = {}
