@@ -7,7 +7,7 @@ import unicodedata
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
-from linkloom.functions.text import WHITESPACE, strip
+from linkloom.functions.text import WHITESPACE, let, strip
 
 # Latin spellings of Cyrillic letters. The soft and the hard sign
 # are dropped.
@@ -60,16 +60,25 @@ def letter_table() -> dict[str, str]:
 def transliterate(col: Column) -> Column:
     """Fold lower-case Cyrillic and accented Latin letters to ASCII.
 
-    Letters with one (or no) Latin letter go through a single ``translate``;
-    the few that need several letters are replaced one by one.
+    ASCII text is as it was. Letters with one (or no) Latin letter go through a single ``translate``. Of
+    those that need several letters, the ones that a text has are replaced one by
+    one, so a text without any is only searched for them.
     """
     table = letter_table()
     single = {c: t for c, t in table.items() if len(t) == 1}
     dropped = [c for c, t in table.items() if t == ""]
-    for char, latin in table.items():
-        if len(latin) > 1:
-            col = F.replace(col, F.lit(char), F.lit(latin))
-    return F.translate(col, "".join(single) + "".join(dropped), "".join(single.values()))
+    several = {c: t for c, t in table.items() if len(t) > 1}
+    spelling = F.create_map(*[F.lit(x) for pair in several.items() for x in pair])
+
+    def spelled(text: Column) -> Column:
+        found = F.array_distinct(F.regexp_extract_all(text, F.lit(f"[{''.join(several)}]"), F.lit(0)))
+        return F.aggregate(found, text, lambda out, letter: F.replace(out, letter, F.element_at(spelling, letter)))
+
+    def folded(text: Column) -> Column:
+        other = F.translate(spelled(text), "".join(single) + "".join(dropped), "".join(single.values()))
+        return F.when(F.octet_length(text) == F.char_length(text), text).otherwise(other)
+
+    return let(col, folded)
 
 
 def normalize_name(col: Column) -> Column:

@@ -10,7 +10,7 @@ character per numpy step.
 
 from __future__ import annotations
 
-from collections.abc import Iterator, Mapping
+from collections.abc import Iterator, Mapping, Sequence
 
 import numpy as np
 import pandas as pd
@@ -45,6 +45,22 @@ class NameBatch:
         # One more code behind the last, so that empty strings have a place too.
         self.codes = np.append(np.searchsorted(self.alphabet, chars), self.pad).astype(np.int32)
 
+    @classmethod
+    def of_codes(cls, codes: np.ndarray, length: np.ndarray, alphabet: np.ndarray) -> NameBatch:
+        """A batch from codes that are already there."""
+        out = cls.__new__(cls)
+        out.length, out.start = length, np.cumsum(length) - length
+        out.alphabet, out.pad = alphabet, len(alphabet)
+        out.codes = np.append(codes, out.pad).astype(np.int32)
+        out.strings = None
+        return out
+
+    def string(self, row: int) -> str:
+        if self.strings is not None:
+            return self.strings[row]
+        codes = self.codes[self.start[row] : self.start[row] + self.length[row]]
+        return self.alphabet[codes].astype("<u4").tobytes().decode("utf-32-le", "surrogatepass")
+
     def masks(self, rows: np.ndarray, words: int) -> np.ndarray:
         """Bit ``k`` of ``masks[i, c]``, over ``words`` words, says that character ``k`` of row ``i`` is ``c``."""
         table = np.zeros((len(rows), self.pad + 1, words), np.uint64)
@@ -56,13 +72,6 @@ class NameBatch:
         np.bitwise_or.at(table, (owner, code, place // _WORD_BITS), bits)
         return table
 
-    def counts(self) -> np.ndarray:
-        """How often each character of the alphabet occurs in each string."""
-        owner = np.repeat(np.arange(len(self.strings)), self.length)
-        table = np.bincount(owner * self.pad + self.codes[:-1], minlength=len(self.strings) * self.pad)
-        table = table.reshape(len(self.strings), self.pad)
-        return table.astype(np.uint8 if table.max(initial=0) < 256 else np.int64)
-
 
 def encode_together(left, right) -> tuple[NameBatch, NameBatch]:
     """Two batches that share one alphabet."""
@@ -133,7 +142,7 @@ def lcs(left: NameBatch, i, right: NameBatch, j, start=None, size=None) -> np.nd
             if n == 0:
                 for k in here:
                     x = rows[k]
-                    out[x] = _lcs_alone(a.strings[p[x]], b.strings[t[x]][start[x] : start[x] + length[k]])
+                    out[x] = _lcs_alone(a.string(p[x]), b.string(t[x])[start[x] : start[x] + length[k]])
                 continue
             here = here[np.argsort(length[here], kind="stable")]
             at_once = max(1, _PAIRS_AT_ONCE // int(n))
@@ -185,29 +194,59 @@ def _row_groups(ends: np.ndarray) -> Iterator[tuple[int, int]]:
         base, lo = int(ends[hi - 1]), hi
 
 
-def token_set_of(tokens_a: list[set], tokens_b: list[set]) -> np.ndarray:
-    """Token-set similarity of paired token sets.
+class TokenSets:
+    """Token-set similarity of names by number, with tokens as numbers.
 
-    The three compared strings all begin with the common tokens, so only the
-    remainders need an LCS.
+    ``left`` and ``right`` hold the sorted distinct tokens of each name. The three
+    compared strings all begin with the common tokens, so only the remainders
+    need an LCS; they are put together from the codes of their tokens.
     """
-    size = np.zeros((3, len(tokens_a)), np.int64)
-    rest_a, rest_b = [], []
-    for k, (a, b) in enumerate(zip(tokens_a, tokens_b)):
-        common = " ".join(sorted(a & b))
-        gap = " " if common else ""
-        left, right = " ".join(sorted(a - b)), " ".join(sorted(b - a))
-        rest_a.append(gap + left if left else "")
-        rest_b.append(gap + right if right else "")
-        size[:, k] = len(common), len(rest_a[-1]), len(rest_b[-1])
-    common, extra_a, extra_b = size
-    left, right = encode_together(rest_a, rest_b)
-    rows = np.arange(len(rest_a))
-    full = scaled(common + lcs(left, rows, right, rows), 2 * common + extra_a + extra_b)
-    full = np.where((common + extra_a > 0) & (common + extra_b > 0), full, 0.0)
-    with_a = np.where(common > 0, scaled(common, 2 * common + extra_a), 0.0)
-    with_b = np.where(common > 0, scaled(common, 2 * common + extra_b), 0.0)
-    return np.maximum(full, np.maximum(with_a, with_b))
+
+    def __init__(self, left: Sequence[Sequence[str]], right: Sequence[Sequence[str]]):
+        vocabulary = sorted({t for side in (left, right) for tokens in side for t in tokens})
+        numbers = {t: k for k, t in enumerate(vocabulary)}
+        self.words = NameBatch([*vocabulary, " "])
+        self.blank = self.words.codes[self.words.start[-1]]
+        self.sides = []
+        for side in (left, right):
+            size = np.fromiter(map(len, side), np.int64, len(side))
+            flat = np.fromiter((numbers[t] for tokens in side for t in tokens), np.int64, int(size.sum()))
+            self.sides.append((size, np.cumsum(size) - size, flat))
+
+    def _tokens(self, side: int, rows: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """``(pair, token)`` of the names in ``rows``, one entry per token."""
+        size, start, flat = self.sides[side]
+        owner = np.repeat(np.arange(len(rows)), size[rows])
+        first = np.repeat(np.cumsum(size[rows]) - size[rows], size[rows])
+        return owner, flat[start[rows][owner] + np.arange(len(owner)) - first]
+
+    def _rest(self, pairs: int, owner: np.ndarray, token: np.ndarray, led: np.ndarray) -> NameBatch:
+        """Tokens joined by blanks, one string per pair; ``led`` ones begin with a blank too."""
+        first = np.r_[True, owner[1:] != owner[:-1]] if len(owner) else np.empty(0, bool)
+        blank = (~first | led[owner]).astype(np.int64)
+        size = self.words.length[token] + blank
+        piece = np.repeat(np.arange(len(token)), size)
+        place = np.arange(len(piece)) - np.repeat(np.cumsum(size) - size, size) - blank[piece]
+        codes = np.where(place < 0, self.blank, self.words.codes[self.words.start[token][piece] + np.maximum(place, 0)])
+        return NameBatch.of_codes(codes, np.bincount(owner, weights=size, minlength=pairs).astype(np.int64), self.words.alphabet)
+
+    def compare(self, i: np.ndarray, j: np.ndarray) -> np.ndarray:
+        n = len(i)
+        (owner_a, token_a), (owner_b, token_b) = self._tokens(0, i), self._tokens(1, j)
+        keys = len(self.words.strings)
+        own_a, own_b = owner_a * keys + token_a, owner_b * keys + token_b
+        in_b, in_a = np.isin(own_a, own_b, assume_unique=True), np.isin(own_b, own_a, assume_unique=True)
+        shared = np.bincount(owner_a[in_b], weights=self.words.length[token_a[in_b]] + 1, minlength=n).astype(np.int64)
+        common = np.maximum(shared - 1, 0)
+        left = self._rest(n, owner_a[~in_b], token_a[~in_b], common > 0)
+        right = self._rest(n, owner_b[~in_a], token_b[~in_a], common > 0)
+        rows = np.arange(n)
+        extra_a, extra_b = left.length, right.length
+        full = scaled(common + lcs(left, rows, right, rows), 2 * common + extra_a + extra_b)
+        full = np.where((common + extra_a > 0) & (common + extra_b > 0), full, 0.0)
+        with_a = np.where(common > 0, scaled(common, 2 * common + extra_a), 0.0)
+        with_b = np.where(common > 0, scaled(common, 2 * common + extra_b), 0.0)
+        return np.maximum(full, np.maximum(with_a, with_b))
 
 
 def weighted(ratio, token_set, partial, weights: Mapping[str, float]) -> np.ndarray:
@@ -219,11 +258,10 @@ def _pair_scores(a: pd.Series, b: pd.Series, measure: str, weights: Mapping[str,
     left_id, left_names = pd.factorize(a.fillna(""))
     right_id, right_names = pd.factorize(b.fillna(""))
     left, right = encode_together(left_names, right_names)
-    token_sets_a = [set(s.split()) for s in left_names]
-    token_sets_b = [set(s.split()) for s in right_names]
 
     def token_set():
-        return token_set_of([token_sets_a[k] for k in left_id], [token_sets_b[k] for k in right_id])
+        sets = TokenSets(*([sorted(set(s.split())) for s in names] for names in (left_names, right_names)))
+        return sets.compare(left_id, right_id)
 
     if measure == "ratio":
         out = ratio_of(left, left_id, right, right_id)

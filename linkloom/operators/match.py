@@ -7,27 +7,29 @@ exact: every step below may only skip pairs that provably cannot win.
 1. Both sides are normalised and reduced to distinct names, so repeated rows
    cost nothing further and a name held by a third of all rows is one name.
 2. Equal names meet in a plain equi-join.
-3. Names sharing a token meet in an equi-join on tokens.
-4. Names sharing no token can only score through common characters. They are
-   packed by their own length, and meet over the lengths that can still beat the
-   best score found in step 3.
-
-Pairs are never rows. The names under one key are packed into blocks of bounded
-size by the characters they have. Block summaries meet first; names are copied
-only for block pairs whose summaries allow a winner. A joined row is one source
-block beside one target block, and the scoring task emits at most one target per
-source name of the block. A hot token or length is many equal tasks.
+3. Every other name is measured once against a few pivots (``pivots``) and packed
+   into small blocks of names that are alike. Blocks meet in an equi-join on the
+   tokens that they share, and on the cells of the pivot tree that are near
+   enough for names without a common token. Boxes around the measures of two
+   blocks bound all their scores.
+4. A task takes a source block and the target blocks that it meets, the most
+   promising first. Measures rule out a few targets at once, then single pairs;
+   what is left is scored exactly and raises the bar for the rest.
+
+Pairs are never rows. A joined row is a target block beside a source block.
 """
 
 from __future__ import annotations
 
 from collections.abc import Iterator, Mapping
+from dataclasses import dataclass
 
 import numpy as np
-import pandas as pd
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
+from pyspark.sql.pandas.types import to_arrow_schema
 
 from linkloom.functions.normalize import name_tokens, normalize_name
 from linkloom.functions.similarity import (
@@ -35,45 +37,33 @@ from linkloom.functions.similarity import (
     REVIEW_CONFIDENCE,
     THRESHOLD,
     WEIGHTS,
-    NameBatch,
+    TokenSets,
     confidence,
+    encode_together,
     partial_of,
     ratio_of,
-    scaled,
-    token_set_of,
     weighted,
 )
+from linkloom.operators import pivots as P
 from linkloom.sources.scratch import materialize
 
-SOURCE_BLOCK = 512
-TARGET_BLOCK = 1024
+# Names of a block, and targets of a block that are ruled out together.
+BLOCK, FEW = 128, 8
+# Names under one key that one task sorts and packs.
+NAMES_TOGETHER = 1 << 20
 TASKS_PER_PARTITION = 4
-# Characters with a class of their own, and how many of them may deal names to blocks.
-CLASSES = "abcdefghijklmnopqrstuvwxyz0123456789 "
-SIGNATURE_BITS = 16
 
 # Up to this length two different names cannot reach a rounded ratio of 100.
 _SURE_EQUAL_LENGTH = 99
 _EPS = 1e-6
-_CHARS_AT_ONCE = 1 << 19
 _TURNS = 3
 
 
-# --- scoring of packed blocks (runs inside tasks) ---------------------------
+# --- scoring of blocks (runs inside tasks) -----------------------------------
 
 
-def _overlap(a: np.ndarray, b: np.ndarray) -> np.ndarray:
-    """Common characters, with multiplicity, of every row of ``a`` and of ``b``."""
-    if len(a) * len(b) * a.shape[1] <= 1 << 16:
-        return np.minimum(a[:, None, :], b[None, :, :]).sum(axis=2, dtype=np.int64)
-    total = np.zeros((len(a), len(b)), np.int64)
-    for c in np.flatnonzero(a.any(axis=0) & b.any(axis=0)):
-        total += np.minimum(a[:, c, None], b[None, :, c])
-    return total
-
-
-def _shared_size(a: list[set], b: list[set]) -> np.ndarray:
-    """Length of the joined common tokens of every pair."""
+def _shared_size(a: list[list[str]], b: list[list[str]]) -> np.ndarray:
+    """Characters of the common tokens of every pair, with a blank each."""
     size = np.zeros((len(a), len(b)), np.int64)
     where: dict[str, list[int]] = {}
     for j, tokens in enumerate(b):
@@ -81,256 +71,253 @@ def _shared_size(a: list[set], b: list[set]) -> np.ndarray:
             where.setdefault(token, []).append(j)
     holders: dict[str, list[int]] = {}
     for i, tokens in enumerate(a):
-        for token in tokens & where.keys():
-            holders.setdefault(token, []).append(i)
+        for token in tokens:
+            if token in where:
+                holders.setdefault(token, []).append(i)
     for token, rows in holders.items():
         size[np.ix_(rows, where[token])] += len(token) + 1
-    return np.maximum(size - 1, 0)
-
-
-class _Side:
-    def __init__(self, names: NameBatch, joined: NameBatch, tokens: list[set]):
-        self.names, self.joined, self.tokens = names, joined, tokens
-        self.plain = np.fromiter(
-            (x == y for x, y in zip(names.strings, joined.strings)), bool, len(tokens)
-        )
-        self.name_counts, self.joined_counts = names.counts(), joined.counts()
-
-
-def _sides(left: list[str], right: list[str]) -> tuple[_Side, _Side]:
-    tokens = [[set(name.split()) for name in side] for side in (left, right)]
-    joined = [[" ".join(sorted(t)) for t in side] for side in tokens]
-    both = NameBatch(left + right + joined[0] + joined[1])
-    batch = [NameBatch(x, both.alphabet) for x in (left, right, *joined)]
-    return _Side(batch[0], batch[2], tokens[0]), _Side(batch[1], batch[3], tokens[1])
-
-
-def _upper_bound(
-    a: _Side, b: _Side, rows: slice, cols: slice, weights, shared: bool
-) -> tuple[np.ndarray, np.ndarray]:
-    """A score no pair of the two blocks can exceed, and the part of it owed to the ratio."""
-    la, lb = a.names.length[rows, None], b.names.length[None, cols]
-    ja, jb = a.joined.length[rows, None], b.joined.length[None, cols]
-    common = _overlap(a.name_counts[rows], b.name_counts[cols])
-    ratio = np.minimum(200 * common / np.maximum(la + lb, 1) + 0.5, 100)
-    partial = np.minimum(100 * common / np.maximum(np.minimum(la, lb), 1) + 0.5, 100)
-    if a.plain[rows].all() and b.plain[cols].all():
-        token_set = ratio
-    else:
-        common = _overlap(a.joined_counts[rows], b.joined_counts[cols])
-        token_set = np.minimum(200 * common / np.maximum(ja + jb, 1) + 0.5, 100)
-    if shared:
-        size = _shared_size(a.tokens[rows], b.tokens[cols])
-        token_set = np.maximum(token_set, scaled(size, size + np.minimum(ja, jb)))
-    part = weights["ratio"] * ratio
-    return part + weights["token_set"] * token_set + weights["partial"] * partial, part
-
-
-def _score(a: _Side, b: _Side, i, j, ratio, bar, weights, shared: bool) -> np.ndarray:
-    """Exact scores; a pair that cannot reach its bar may come back as -1.
-
-    ``shared`` says which pairs are wanted: those with a common token, or those
-    without one (others come back as -1).
-    """
-    out = np.full(len(i), -1.0)
-    if shared:
-        token_set = token_set_of([a.tokens[x] for x in i], [b.tokens[y] for y in j])
-    else:
-        token_set = ratio.copy()
-        odd = ~(a.plain[i] & b.plain[j])
-        token_set[odd] = ratio_of(a.joined, i[odd], b.joined, j[odd])
-    alive = np.flatnonzero(weighted(ratio, token_set, 100.0, weights) >= bar - _EPS)
-    if not shared:
-        apart = (a.tokens[x].isdisjoint(b.tokens[y]) for x, y in zip(i[alive], j[alive]))
-        alive = alive[np.fromiter(apart, bool, len(alive))]
-    ratio, token_set, i, j = ratio[alive], token_set[alive], i[alive], j[alive]
-    partial = ratio.copy()
-    uneven = a.names.length[i] != b.names.length[j]
-    partial[uneven] = partial_of(a.names, i[uneven], b.names, j[uneven])
-    out[alive] = weighted(ratio, token_set, partial, weights)
-    return out
-
-
-def _first_of_each(key: np.ndarray, *order: np.ndarray) -> np.ndarray:
-    rank = np.lexsort((*reversed(order), key))
-    return rank[np.r_[True, key[rank][1:] != key[rank][:-1]]] if len(rank) else rank
-
-
-def _slices(frame: pd.DataFrame) -> Iterator[pd.DataFrame]:
-    """Runs of block pairs with a bounded number of characters, at least one pair each."""
-    start = names = widest = 0
-    for at, row in enumerate(zip(frame["s_norm"], frame["t_norm"])):
-        count = len(row[0]) + len(row[1])
-        width = max((len(name) for side in row for name in side), default=0)
-        if at > start and (names + count) * max(widest, width) > _CHARS_AT_ONCE:
-            yield frame.iloc[start:at]
-            start, names, widest = at, 0, 0
-        names, widest = names + count, max(widest, width)
-    if start < len(frame):
-        yield frame.iloc[start:]
-
-
-def _best_in_blocks(
-    frames: Iterator[pd.DataFrame], weights: Mapping[str, float], threshold: float, shared: bool
-) -> Iterator[pd.DataFrame]:
-    for frame in frames:
-        for part in _slices(frame):
-            yield _best_in_slice(part, weights, threshold, shared)
-
-
-def _best_in_slice(
-    frame: pd.DataFrame, weights: Mapping[str, float], threshold: float, shared: bool
-) -> pd.DataFrame:
-    source = [name for names in frame["s_norm"] for name in names]
-    target = [name for names in frame["t_norm"] for name in names]
-    order = [x for row in frame["t_order"] for x in row]
-    bar = np.concatenate(frame["s_bar"].to_list()).astype(float)
-    a, b = _sides(source, target)
-    found = []
-    at_i = at_j = 0
-    for n_i, n_j in zip(frame["s_norm"].map(len), frame["t_norm"].map(len)):
-        rows, cols = slice(at_i, at_i + n_i), slice(at_j, at_j + n_j)
-        bound, part = _upper_bound(a, b, rows, cols, weights, shared)
-        i, j = np.nonzero((bound + _EPS > threshold) & (bound + _EPS >= bar[rows, None]))
-        found.append((i + at_i, j + at_j, bound[i, j] - part[i, j]))
-        at_i, at_j = at_i + n_i, at_j + n_j
-    i, j, other = (np.concatenate(x) for x in zip(*found))
-    ratio = ratio_of(a.names, i, b.names, j)
-    # With the ratio known the bound is close. The most promising pairs of each
-    # source name go first and raise the bar for the rest.
-    bound = other + weights["ratio"] * ratio + _EPS
-    score = np.full(len(i), -1.0)
-    waiting = np.flatnonzero((bound > threshold) & (bound >= bar[i]))
-    for turn in range(_TURNS + 1):
-        now = waiting
-        if turn < _TURNS:
-            now = waiting[_first_of_each(i[waiting], -bound[waiting])]
-            waiting = np.setdiff1d(waiting, now, assume_unique=True)
-        score[now] = _score(a, b, i[now], j[now], ratio[now], bar[i[now]], weights, shared)
-        np.maximum.at(bar, i[now], score[now])
-        waiting = waiting[bound[waiting] >= bar[i[waiting]]]
-    won = np.flatnonzero(score > threshold)
-    won = won[_first_of_each(i[won], -score[won], j[won])]
-    return pd.DataFrame(
-        {
-            "norm": pd.Series([source[x] for x in i[won]], dtype=object),
-            "t_order": pd.Series([order[x] for x in j[won]], dtype=object),
-            "t_norm": pd.Series([target[x] for x in j[won]], dtype=object),
-            "score": score[won],
-        }
-    )
+    return size
 
 
-# --- blocks ------------------------------------------------------------------
+@dataclass
+class _Names:
+    """Names of a block, ready to be compared."""
 
+    strings: list[str]
+    tokens: list[list[str]]
+    joined: list[str]
+    marks: P.Boxes
 
-def _letter_counts(norm: Column) -> Column:
-    """How often each character class occurs; what has no class of its own is counted together."""
-    size = F.length(norm)
-    each = [size - F.length(F.replace(norm, F.lit(c), F.lit(""))) for c in CLASSES]
-    return F.array(*each, size - sum(each[1:], each[0]))
+    @staticmethod
+    def of(strings: list[str], marks: bytes) -> _Names:
+        tokens = [sorted(set(n.split())) for n in strings]
+        joined = [" ".join(t) for t in tokens]
+        table = np.frombuffer(marks, np.uint8).reshape(len(strings), -1)
+        return _Names(strings, tokens, joined, P.points(strings, joined, table))
 
-
-def _telling(t_names: DataFrame) -> list[int]:
-    """Classes in the order in which their presence splits the target names most evenly."""
-    counts = _letter_counts(F.col("norm"))
-    shares = t_names.select(counts.alias("c")).agg(
-        *[F.avg((F.get("c", F.lit(k)) > 0).cast("int")).alias(f"p{k}") for k in range(len(CLASSES) + 1)]
-    )
-    found = shares.first()
-    return sorted(range(len(found)), key=lambda k: abs((found[k] or 0.0) - 0.5))
+    def take(self, rows: np.ndarray) -> _Names:
+        strings, tokens, joined = ([x[k] for k in rows] for x in (self.strings, self.tokens, self.joined))
+        return _Names(strings, tokens, joined, self.marks.take(rows))
 
 
-def _packed(keys: DataFrame, telling: list[int], block_size: int, side: str, carried: list[str]) -> DataFrame:
-    """``keys (key, norm, size, ...)`` as blocks of about ``block_size`` names, each with a summary.
+def _candidates(a: _Names, b: _Names, bar: np.ndarray, weights, threshold: float, shared: bool):
+    """Pairs ``(i, j)`` of two blocks that may win, with their bounds, and how many pairs were looked at.
 
-    Names of a key go to blocks by the presence of telling characters, so that a
-    block's names lack the same ones. A block that is still too large is split by
-    hash. The exchange is on key and block: a hot key is many groups, not one.
-    The summary holds the largest count of each character, the smallest lengths
-    and, where names have bars, the lowest bar.
+    Names meet a few targets at once first. Pairs without a common token (for
+    ``shared``, those with one) are all that is wanted.
     """
-    marks = F.lit(0)
-    for bit, k in enumerate(telling[:SIGNATURE_BITS]):
-        marks = marks + F.when(F.get("counts", F.lit(k)) > 0, 1 << bit).otherwise(0)
-    counted = keys.withColumn("counts", _letter_counts(F.col("norm"))).withColumn("marks", marks)
-    sizes = keys.groupBy("key").agg(F.count("*").alias("names"))
-    bits = F.least(F.ceil(F.log2(F.greatest(F.col("names") / block_size, F.lit(1.0)))).cast("int"), F.lit(SIGNATURE_BITS))
-    marked = counted.join(sizes, "key").withColumn("block", F.col("marks") % F.pow(F.lit(2), bits).cast("int"))
-    marked = marked.drop("names", "marks")
-    parts = marked.groupBy("key", "block").agg(F.ceil(F.count("*") / block_size).alias("parts"))
-    split = F.col("block") * (1 << 32) + F.pmod(F.xxhash64("norm"), F.col("parts"))
-    placed = marked.join(parts, ["key", "block"]).withColumn("block", split).drop("parts")
-    tasks = TASKS_PER_PARTITION * int(keys.sparkSession.conf.get("spark.sql.shuffle.partitions"))
-    summary = [
-        F.array(*[F.max(F.get("counts", F.lit(k))) for k in range(len(CLASSES) + 1)]).alias("most"),
-        F.min(F.length("norm")).alias("shortest"),
-        F.min("size").alias("least_size"),
-    ]
-    if "bar" in carried:
-        summary.append(F.min("bar").alias("lowest_bar"))
-    packed = placed.repartition(tasks, "key", "block").groupBy("key", "block").agg(
-        F.sort_array(F.collect_list(F.struct(*carried))).alias("names"), *summary
-    )
-    names = [F.col(f"names.{c}").alias(f"{side}_{c}") for c in carried]
-    return materialize(packed.select("key", F.col("block").alias(f"{side}_block"), *names, *[
-        F.col(c).alias(f"{side}_{c}") for c in packed.columns if c not in ("key", "block", "names")
-    ]), f"{side}_blocks")
+    common = _shared_size(a.tokens, b.tokens)
+    starts = np.arange(0, len(b.strings), FEW)
+    most = np.maximum.reduceat(common, starts, axis=1) if shared else None
+    need = np.maximum(bar, np.nextafter(threshold, np.inf))
+    near = P.score_bounds(a.marks, b.marks.grouped(starts), weights, most, every=True) >= need[:, None]
+    i, few = np.nonzero(near)
+    j = (starts[few][:, None] + np.arange(FEW)).ravel()
+    i = np.repeat(i, FEW)
+    i, j = i[j < len(b.strings)], j[j < len(b.strings)]
+    met = common[i, j]
+    i, j, met = i[(met > 0) == shared], j[(met > 0) == shared], met[(met > 0) == shared]
+    bound = P.score_bounds(a.marks.take(i), b.marks.take(j), weights, met if shared else None)
+    kept = bound >= need[i]
+    return i[kept], j[kept], bound[kept], len(i)
 
 
-def _summary_bound(weights, shared: bool) -> Column:
-    """A score that no pair of two blocks can exceed, from their summaries alone."""
-    common = F.aggregate(
-        F.zip_with("s_most", "t_most", lambda x, y: F.least(x, y)), F.lit(0), lambda total, x: total + x
-    )
-
-    def share(times: int, total: Column) -> Column:
-        return F.least(times * common / F.greatest(total, F.lit(1)) + 0.5, F.lit(100.0))
+def _first_of_each(key: np.ndarray, *order: np.ndarray) -> np.ndarray:
+    rank = np.lexsort((*reversed(order), key))
+    return rank[np.r_[True, key[rank][1:] != key[rank][:-1]]] if len(rank) else rank
 
-    ratio = share(200, F.col("s_shortest") + F.col("t_shortest"))
-    partial = share(100, F.least("s_shortest", "t_shortest"))
-    token_set = F.lit(100.0) if shared else share(200, F.col("s_least_size") + F.col("t_least_size"))
-    return weights["ratio"] * ratio + weights["token_set"] * token_set + weights["partial"] * partial
 
+class _Scorer:
+    """Exact scores of pairs of two blocks; a pair that cannot reach its bar may come back as -1."""
 
-def _packed_pairs(s_packed: DataFrame, t_packed: DataFrame, weights, threshold: float, shared: bool, reach=None) -> DataFrame:
-    """Source blocks beside the target blocks that may hold a winner.
+    def __init__(self, a: _Names, b: _Names, weights, shared: bool):
+        self.weights, self.shared = weights, shared
+        self.a, self.b = encode_together(a.strings, b.strings)
+        self.joined_a, self.joined_b = encode_together(a.joined, b.joined)
+        self.tokens = TokenSets(a.tokens, b.tokens) if shared else None
+        self.plain_a, self.plain_b = (
+            np.fromiter((x == y for x, y in zip(n.strings, n.joined)), bool, len(n.strings)) for n in (a, b)
+        )
 
-    Summaries meet first, on the key or on the keys that ``reach`` lists; names
-    are copied only for the block pairs whose bound can reach a bar.
+    def ratio(self, i, j) -> np.ndarray:
+        return ratio_of(self.a, i, self.b, j)
+
+    def bound(self, i, j, ratio) -> np.ndarray:
+        """What a pair can score, its ratio known; without common tokens that of the token sets is often the same."""
+        same = np.full(len(i), False) if self.shared else self.plain_a[i] & self.plain_b[j]
+        token_set = np.where(same, ratio, 100.0)
+        return weighted(ratio, token_set, 100.0, self.weights) + _EPS
+
+    def score(self, i, j, ratio, bar) -> np.ndarray:
+        out = np.full(len(i), -1.0)
+        if self.shared:
+            token_set = self.tokens.compare(i, j)
+        else:
+            token_set = ratio.copy()
+            odd = ~(self.plain_a[i] & self.plain_b[j])
+            token_set[odd] = ratio_of(self.joined_a, i[odd], self.joined_b, j[odd])
+        alive = np.flatnonzero(weighted(ratio, token_set, 100.0, self.weights) >= bar - _EPS)
+        ratio, token_set, i, j = ratio[alive], token_set[alive], i[alive], j[alive]
+        partial = ratio.copy()
+        uneven = self.a.length[i] != self.b.length[j]
+        partial[uneven] = partial_of(self.a, i[uneven], self.b, j[uneven])
+        out[alive] = weighted(ratio, token_set, partial, self.weights)
+        return out
+
+
+def _order_key(order, name: str) -> tuple:
+    return (0, 0, name) if order is None else (1, order, name)
+
+
+class _Best:
+    """The best targets found so far for the names of a source block."""
+
+    def __init__(self, names: _Names, weights: Mapping[str, float], threshold: float):
+        self.names, self.weights, self.threshold = names, weights, threshold
+        self.bar = np.full(len(names.strings), float(threshold))
+        self.found: dict[int, tuple] = {}
+        self.looked_at = 0
+
+    def meet(self, target: _Names, orders: list, shared: bool, only: str | None) -> None:
+        """Compare with a target block; ``only`` names a token that all its names have."""
+        rows = np.arange(len(self.names.strings))
+        if only is not None:
+            rows = np.array([k for k in rows if only in self.names.tokens[k]], np.int64)
+        source = self.names.take(rows)
+        i, j, bound, looked_at = _candidates(source, target, self.bar[rows], self.weights, self.threshold, shared)
+        self.looked_at += looked_at
+        if not len(i):
+            return
+        left, right = np.unique(i), np.unique(j)
+        scorer = _Scorer(source.take(left), target.take(right), self.weights, shared)
+        i, j, row = np.searchsorted(left, i), np.searchsorted(right, j), rows[i]
+        ratio = scorer.ratio(i, j)
+        # With the ratio known, most bounds fall. The most promising pairs of each
+        # name go first and raise the bar for the rest.
+        bound = np.minimum(bound, scorer.bound(i, j, ratio))
+        waiting = np.flatnonzero(bound >= self.bar[row])
+        for turn in range(_TURNS + 1):
+            now = waiting
+            if turn < _TURNS:
+                now = waiting[_first_of_each(i[waiting], -bound[waiting])]
+                waiting = np.setdiff1d(waiting, now, assume_unique=True)
+            score = scorer.score(i[now], j[now], ratio[now], self.bar[row[now]])
+            for k in np.flatnonzero(score > self.threshold):
+                self.keep(int(row[now[k]]), score[k], orders[right[j[now[k]]]], target.strings[right[j[now[k]]]])
+            waiting = waiting[bound[waiting] >= self.bar[row[waiting]]]
+
+    def keep(self, row: int, score: float, order, name: str) -> None:
+        known = self.found.get(row)
+        if known is None or (-score, _order_key(order, name)) < (-known[0], _order_key(*known[1:])):
+            self.found[row] = (score, order, name)
+            self.bar[row] = max(self.bar[row], score)
+
+
+# --- blocks and their meetings -------------------------------------------------
+
+
+def _blocks(names: DataFrame, space: P.Space, most: int) -> DataFrame:
+    """Names as blocks of names that are alike: both sides by cell, targets also by each token that a source has.
+
+    A key with very many names is dealt out by code, so that its parts are alike
+    too; ``most`` is the size of the larger side.
     """
-    s_sums = s_packed.drop("s_norm", "s_bar").withColumnRenamed("key", "s_key")
-    s_sums = s_sums.withColumn("key", F.explode(reach) if reach is not None else F.col("s_key"))
-    bound = _summary_bound(weights, shared) + _EPS
-    pairs = s_sums.join(t_packed.drop("t_norm", "t_order"), "key").where(
-        (bound > threshold) & (bound >= F.col("s_lowest_bar"))
-    )
-    pairs = pairs.select("s_key", "s_block", "key", "t_block")
-    # Scoring a block pair costs far more than its bytes suggest, so the number of
-    # tasks is fixed here; adaptive coalescing would merge small shuffles into one.
-    tasks = TASKS_PER_PARTITION * int(s_packed.sparkSession.conf.get("spark.sql.shuffle.partitions"))
-    left = pairs.join(s_packed.select(F.col("key").alias("s_key"), "s_block", "s_norm", "s_bar"), ["s_key", "s_block"])
-    both = left.join(t_packed.select("key", "t_block", "t_order", "t_norm"), ["key", "t_block"])
-    return both.repartition(tasks, "s_key", "s_block", "key", "t_block").select("s_norm", "s_bar", "t_order", "t_norm")
-
-
-def _scored(
-    blocks: DataFrame, t_names: DataFrame, weights, threshold: float, shared: bool
-) -> DataFrame:
-    """Best target of each source name in each block pair."""
-    schema = T.StructType(
-        [
-            T.StructField("norm", T.StringType()),
-            T.StructField("t_order", t_names.schema["order"].dataType),
-            T.StructField("t_norm", T.StringType()),
-            T.StructField("score", T.DoubleType()),
-        ]
-    )
-
-    def score(frames):
-        return _best_in_blocks(frames, weights, threshold, shared)
-
-    return blocks.mapInPandas(score, schema)
+    low = P.DEPTH - space.cell_depth
+    cell = F.concat_ws(" ", F.when(F.col("plain"), "plain").otherwise("odd"), F.shiftright("code", low))
+    tokens = F.when(F.col("side") == 1, F.col("tokens")).otherwise(F.array().cast("array<string>"))
+    keyed = P.measured(names, space).select("*", F.explode(F.concat(tokens, F.array(cell))).alias("key"))
+    each = names.select("side", F.explode(name_tokens(F.col("norm"))).alias("token"))
+    counts = each.groupBy("token").agg(F.count_if(F.col("side") == 0).alias("s"), F.count_if(F.col("side") == 1).alias("names"))
+    known = counts.where("s > 0 and names > 0").drop("s")
+    keyed = keyed.join(known, F.col("key") == F.col("token"), "left").where("token is not null or contains(key, ' ')")
+    parts = F.ceil(F.coalesce("names", F.lit(most)) / NAMES_TOGETHER)
+    within = F.when(F.col("token").isNull(), F.col("code") % (1 << low) / (1 << low)).otherwise(F.col("code") / (1 << P.DEPTH))
+    tasks = int(names.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    dealt = keyed.withColumn("part", F.floor(within * parts)).repartition(tasks, "key", "part")
+    rows = dealt.sortWithinPartitions("side", "key", "code", "norm")
+    carried = rows.select("side", "key", "norm", "order", "size", "marks", "tokens")
+    return materialize(P.packed(carried, names.schema["order"].dataType, BLOCK), "blocks")
+
+
+def _meetings(blocks: DataFrame, reach: DataFrame, weights, threshold: float) -> DataFrame:
+    """``(s_block, t_block, token, bound)`` of the block pairs that may hold a match; names are not read."""
+
+    def side(k: int, prefix: str) -> DataFrame:
+        chosen = blocks.where(F.col("side") == k)
+        return chosen.select(F.col("key").alias(f"{prefix}_key"), *[F.col(c).alias(f"{prefix}_{c}") for c in ["block", *P.SUMMARY]])
+
+    s, t = side(0, "s"), side(1, "t")
+    by_token = s.withColumn("token", F.explode("s_tokens")).join(t.withColumnRenamed("t_key", "token"), "token")
+    by_cell = s.join(reach, "s_key").join(t, "t_key").drop("t_key").withColumn("token", F.lit(None).cast("string"))
+    common = F.array_intersect("s_tokens", "t_tokens")
+    size = F.aggregate(common, F.lit(0), lambda total, token: total + F.length(token) + 1)
+    met = by_token.unionByName(by_cell).withColumn("common", F.when(F.col("token").isNotNull(), size))
+
+    def bounded(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            if not batch.num_rows:
+                continue
+            a, b = (P.boxes(batch, x) for x in ("s_", "t_"))
+            shared = batch.column("common").is_valid().to_numpy(zero_copy_only=False)
+            common = batch.column("common").fill_null(0).to_numpy()
+            bound = np.where(shared, P.score_bounds(a, b, weights, common), P.score_bounds(a, b, weights, None))
+            columns = [batch.column(c) for c in ("s_block", "t_block", "token")]
+            out = pa.RecordBatch.from_arrays([*columns, pa.array(bound)], names=["s_block", "t_block", "token", "bound"])
+            yield out.filter(pa.array(bound > threshold))
+
+    columns = ["s_block", "t_block", "token", "common", *[f"{x}_{c}" for x in "st" for c in P.SUMMARY if c != "tokens"]]
+    return met.select(columns).mapInArrow(bounded, "s_block long, t_block long, token string, bound double")
+
+
+def _best_of_blocks(batches: Iterator[pa.RecordBatch], weights, threshold: float, arrow: pa.Schema) -> Iterator[pa.RecordBatch]:
+    """Rows of a source block: itself, then the target blocks it meets, the most promising first."""
+    best: _Best | None = None
+
+    def done() -> pa.RecordBatch:
+        rows = [(best.names.strings[k], order, name, score) for k, (score, order, name) in best.found.items()]
+        return pa.RecordBatch.from_arrays([pa.array([r[c] for r in rows], f.type) for c, f in enumerate(arrow)], schema=arrow)
+
+    for batch in batches:
+        for row in batch.to_pylist():
+            names = _Names.of(row["norms"], row["marks"])
+            if row["t_block"] is None:
+                if best is not None and best.found:
+                    yield done()
+                best = _Best(names, weights, threshold)
+            elif row["bound"] >= best.bar.min():
+                best.meet(names, row["orders"], row["token"] is not None, row["token"])
+    if best is not None and best.found:
+        yield done()
+
+
+def _scored(meetings: DataFrame, blocks: DataFrame, weights, threshold: float) -> DataFrame:
+    """Best target ``(norm, t_order, t_norm, score)`` of each source name.
+
+    A source block and the target blocks that it meets are rows of one task, which
+    visits the best first, so that bars rise before the rest is read.
+    """
+    order = blocks.schema["orders"].dataType.elementType
+    fields = [("norm", T.StringType()), ("t_order", order), ("t_norm", T.StringType()), ("score", T.DoubleType())]
+    schema = T.StructType([T.StructField(*f) for f in fields])
+    held = ["norms", "orders", "marks"]
+    targets = blocks.where("side = 1").select(F.col("block").alias("t_block"), *held)
+    # Token by token first: names with a common token score best as a rule.
+    rows = meetings.join(targets, "t_block").withColumn("place", F.when(F.col("token").isNotNull(), 1).otherwise(2))
+    heads = blocks.where("side = 0").select(
+        F.lit(None).cast("long").alias("t_block"), F.col("block").alias("s_block"), F.lit(None).cast("string").alias("token"),
+        F.lit(None).cast("double").alias("bound"), *held, F.lit(0).alias("place"),
+    )
+    # Scoring costs far more than its bytes suggest, so the number of tasks is
+    # fixed here; adaptive coalescing would merge small shuffles into one.
+    tasks = TASKS_PER_PARTITION * int(blocks.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    dealt = heads.unionByName(rows).repartition(tasks, "s_block")
+    rows = dealt.sortWithinPartitions("s_block", "place", F.desc("bound"), "t_block")
+    arrow = to_arrow_schema(schema)
+
+    def score(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        return _best_of_blocks(batches, weights, threshold, arrow)
+
+    return rows.select("t_block", "token", "bound", *held).mapInArrow(score, schema)
 
 
 def _keep_best(pairs: DataFrame) -> DataFrame:
@@ -339,43 +326,18 @@ def _keep_best(pairs: DataFrame) -> DataFrame:
     return pairs.groupBy("norm").agg(best.alias("best")).select("norm", "best.t_order", "best.t_norm", "best.score")
 
 
-def _shaped(names: DataFrame) -> DataFrame:
-    """Adds ``size``, the length of the joined distinct tokens, ``family`` and ``key``, which holds both."""
-    joined = F.array_join(name_tokens(F.col("norm")), " ")
-    family = F.when(F.col("norm") == joined, "plain").otherwise("odd")
-    shaped = names.withColumn("size", F.length(joined)).withColumn("family", family)
-    return shaped.withColumn("key", F.concat_ws(":", "family", "size"))
-
-
-def _reach(weights, longest: Column) -> Column:
-    """Keys of the target blocks that a source block's names can reach, from its key and its lowest bar.
-
-    With ``x`` the ratio two lengths allow, a token-disjoint pair scores at most
-    ``(ratio + token_set) * x + partial * 100``. A name with repeated tokens or
-    irregular spacing is longer than its joined tokens; there only the token-set
-    part is bounded by the (joined) lengths, so the window is wider.
-    """
-    bar, size = F.col("s_lowest_bar"), F.col("s_least_size")
-
-    def window(family: str) -> Column:
-        both_plain = F.startswith(F.col("s_key"), F.lit("plain")) & F.lit(family == "plain")
-        loose = F.when(both_plain, 0.0).otherwise(weights["ratio"] * 100)
-        steep = F.when(both_plain, weights["ratio"] + weights["token_set"]).otherwise(weights["token_set"])
-        spare = bar - weights["partial"] * 100 - loose - _EPS
-        need = F.when(steep > 0, spare / F.greatest(steep, F.lit(1e-9)) - 0.5).otherwise(
-            F.when(spare > 0, 201.0).otherwise(0.0)
-        )
-        share = F.when(need <= 0, 0.0).otherwise(need / F.greatest(200 - need, F.lit(1e-9)))
-        low = F.greatest(F.ceil(size * share - _EPS), F.lit(1))
-        far = F.least(size / F.greatest(share, F.lit(1e-9)) + _EPS, longest.cast("double"))
-        high = F.when(share > 0, F.floor(far)).otherwise(longest)
-        usable = (need <= 100.5) & (low <= high)
-        lengths = F.when(usable, F.sequence(low.cast("int"), high.cast("int")))
-        return F.transform(
-            F.coalesce(lengths, F.array().cast("array<int>")), lambda n: F.concat_ws(":", F.lit(family), n)
-        )
-
-    return F.concat(window("plain"), window("odd"))
+def _close_names(open_names: DataFrame, t_names: DataFrame, weights, threshold: float) -> DataFrame:
+    """Best targets of the names that have no equal one."""
+    target = t_names.select(F.lit(1).alias("side"), "norm", "order")
+    no_order = F.lit(None).cast(t_names.schema["order"].dataType)
+    names = open_names.select(F.lit(0).alias("side"), "norm", no_order.alias("order")).unionByName(target)
+    sides = names.groupBy("side").agg(F.count("*").alias("n"), F.max(F.length("norm")).alias("longest")).collect()
+    counts = {r.side: r.n for r in sides}
+    space = P.space_of(P.sampled_names(open_names, t_names), min(counts.get(0, 0), counts.get(1, 0)) // BLOCK)
+    blocks = _blocks(names, space, max(counts.values(), default=0))
+    reach = P.reachable_cells(space, max((r.longest for r in sides), default=0), weights, threshold)
+    reach = t_names.sparkSession.createDataFrame(reach, "s_key string, t_key string")
+    return _scored(_meetings(blocks, reach, weights, threshold), blocks, weights, threshold)
 
 
 # --- operators ----------------------------------------------------------------
@@ -439,37 +401,6 @@ def best_matches(
     ).select("norm", "t_order", "t_norm", "t_name", "score")
 
 
-def _close_names(open_names: DataFrame, t_names: DataFrame, weights, threshold: float) -> DataFrame:
-    """Best pairs by common tokens, then by length among the names without one."""
-
-    telling = _telling(t_names)
-    source, target = _shaped(open_names), _shaped(t_names)
-
-    def by_token(df: DataFrame) -> DataFrame:
-        return df.withColumn("key", F.explode(name_tokens(F.col("norm"))))
-
-    def pack(df: DataFrame, side: str) -> DataFrame:
-        names = ["norm", "bar"] if side == "s" else ["order", "norm"]
-        return _packed(df, telling, SOURCE_BLOCK if side == "s" else TARGET_BLOCK, side, names)
-
-    def best(pairs: DataFrame, shared: bool) -> DataFrame:
-        return _keep_best(_scored(pairs, t_names, weights, threshold, shared))
-
-    token_pairs = _packed_pairs(
-        pack(by_token(source), "s"), pack(by_token(target), "t"), weights, threshold, shared=True
-    )
-    token_best = materialize(best(token_pairs, True), "token_matches")
-    raised = source.join(token_best.select("norm", "score"), "norm", "left").withColumn(
-        "bar", F.greatest("bar", "score")
-    )
-    # The longest target name bounds the keys that a block may reach.
-    longest = target.agg(F.coalesce(F.max("size"), F.lit(0))).first()[0]
-    length_pairs = _packed_pairs(
-        pack(raised, "s"), pack(target, "t"), weights, threshold, shared=False, reach=_reach(weights, F.lit(longest))
-    )
-    return token_best.unionByName(best(length_pairs, False))
-
-
 def _default_order(target: DataFrame, target_column: str, target_order: str | None) -> str:
     if target_order is not None:
         return target_order

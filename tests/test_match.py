@@ -1,8 +1,12 @@
 import random
 
+import numpy as np
+import pyarrow as pa
 import pytest
+from pyspark.sql import functions as F
 
 from linkloom.operators import match as M
+from linkloom.operators import pivots as P
 from tests import brute
 
 
@@ -55,8 +59,8 @@ def vocabulary(rng, n):
     [(1, 65, (0.4, 0.5, 0.1)), (2, 80, (0.4, 0.5, 0.1)), (3, 45, (0.4, 0.5, 0.1)), (4, 65, (0.2, 0.2, 0.6))],
 )
 def test_equals_brute_force(spark, seed, threshold, weights, monkeypatch):
-    monkeypatch.setattr(M, "SOURCE_BLOCK", 16)
-    monkeypatch.setattr(M, "TARGET_BLOCK", 24)
+    monkeypatch.setattr(M, "BLOCK", 7)
+    monkeypatch.setattr(P, "SAMPLE", 60)
     rng = random.Random(seed)
     targets = vocabulary(rng, 160)
     sources = vocabulary(rng, 120) + rng.sample(targets, 20) + [None]
@@ -124,8 +128,7 @@ def test_quality_report_on_band_edges(spark):
 
 @pytest.mark.parametrize("block", [1, 1000])
 def test_plan_has_no_cartesian_product(spark, monkeypatch, block):
-    monkeypatch.setattr(M, "SOURCE_BLOCK", block)
-    monkeypatch.setattr(M, "TARGET_BLOCK", block)
+    monkeypatch.setattr(M, "BLOCK", block)
     s, t = frames(spark, ["abcd", "efgh"], ["abce", "efgk"])
     plan = M.match_tables(s, t, "name", "title", target_order="pos")._jdf.queryExecution().toString()
     assert "CartesianProduct" not in plan and "NestedLoop" not in plan
@@ -136,3 +139,118 @@ def test_empty_sides(spark):
     assert run(spark, ["abc"], [None, "!!"]) == {}
     empty = M.empty_matches(spark, None, "ru", "en")
     assert empty.columns == ["name_ru", "name_en", "match_score", "confidence"]
+
+
+def test_hot_key_in_parts(spark, monkeypatch):
+    """One token in every name, dealt out to several parts."""
+    monkeypatch.setattr(M, "BLOCK", 9)
+    monkeypatch.setattr(M, "NAMES_TOGETHER", 40)
+    rng = random.Random(11)
+    targets = [f"castle {x}" for x in vocabulary(rng, 150)]
+    sources = [f"{x} castle" for x in vocabulary(rng, 90)]
+    assert run(spark, sources, targets) == expect(sources, targets)
+
+
+def as_points(space, names):
+    joined = [P.joined_tokens(n) for n in names]
+    marks = np.hstack([space.measures(names), space.measures(joined), P.letter_counts(joined)])
+    return P.points(names, joined, marks)
+
+
+@pytest.mark.parametrize("seed", range(4))
+def test_block_bounds_hold_for_every_pair(seed):
+    rng = random.Random(seed)
+    names = [n.strip().lower().replace("!", "") for n in vocabulary(rng, 200)]
+    names = [n for n in names if n]
+    space = P.space_of(rng.sample(names, 80), 8)
+    weights = {"ratio": 0.4, "token_set": 0.5, "partial": 0.1}
+    order = sorted(names, key=lambda n: space.codes(space.measures([P.joined_tokens(n)]))[0])
+    blocks = [order[k : k + 6] for k in range(0, len(order), 6)]
+    for _ in range(60):
+        a, b = rng.sample(blocks, 2)
+        common = {t for n in a for t in n.split()} & {t for n in b for t in n.split()}
+        size = np.array([sum(len(t) + 1 for t in common)])
+        x, y = as_points(space, a), as_points(space, b)
+        whole = [np.array([0])]
+        shared, apart = (P.score_bounds(x.grouped(*whole), y.grouped(*whole), weights, c)[0] for c in (size, None))
+        sizes = np.array([[sum(len(t) + 1 for t in set(n.split()) & set(m.split())) for m in b] for n in a])
+        single, single_apart = (P.score_bounds(x, y, weights, c, every=True) for c in (sizes, None))
+        for k, left in enumerate(a):
+            for m, right in enumerate(b):
+                score = brute.score(left, right)
+                met = bool(set(left.split()) & set(right.split()))
+                assert score <= (single if met else single_apart)[k, m] + 1e-9, (left, right)
+                assert (single if met else single_apart)[k, m] <= (shared if met else apart) + 1e-9
+
+
+def test_cells_out_of_reach_hold_no_match():
+    rng = random.Random(5)
+    names = list(dict.fromkeys("".join(rng.choices("abcdefgh", k=rng.randint(1, 30))) for _ in range(500)))
+    space = P.space_of(names, 32)
+    assert space.cell_depth == 5
+    weights = {"ratio": 0.4, "token_set": 0.5, "partial": 0.1}
+    reach = P.reachable_cells(space, max(map(len, names)), weights, 80)
+    pairs = set(zip(reach["s_key"], reach["t_key"]))
+    cells = space.codes(space.measures(names)) >> (P.DEPTH - space.cell_depth)
+    assert len(pairs) < 4 * 32 * 32
+    for a, b in (rng.sample(range(len(names)), 2) for _ in range(4000)):
+        if brute.score(names[a], names[b]) > 80:
+            assert (f"plain {cells[a]}", f"plain {cells[b]}") in pairs
+
+
+def test_space_of_few_names():
+    for names in ([], [""], ["a"], ["same", "same"], ["a b", "b a"]):
+        space = P.space_of(names, 16)
+        assert (space.codes(space.measures(names)) >= 0).all() or not names
+        lows, highs = space.regions()
+        assert (lows <= highs).all()
+
+
+def test_most_pairs_are_never_looked_at():
+    """A few targets at once are ruled out by their box; the pairs that are looked at are counted."""
+    adjectives = ["blue", "red", "hot", "cold", "old", "new", "small", "large"]
+    nouns = ["ring", "bolt", "rod", "gear", "anvil", "plate", "pipe", "lamp"]
+    sources = [f"{k} {a} {n}" for k in ("economy", "standard", "promo", "medium") for a in adjectives for n in nouns]
+    targets = [f"brand{k} {a} {n}" for k in range(20) for a in adjectives for n in nouns]
+    space = P.space_of(random.Random(1).sample(sources + targets, 600), 8)
+    weights = {"ratio": 0.4, "token_set": 0.5, "partial": 0.1}
+
+    def names(strings):
+        order = np.argsort(space.codes(space.measures([P.joined_tokens(n) for n in strings])), kind="stable")
+        strings = [strings[k] for k in order]
+        marks = as_points(space, strings).low
+        return [M._Names.of(strings[k : k + 128], marks[k : k + 128].tobytes()) for k in range(0, len(strings), 128)]
+
+    looked_at = 0
+    for block in names(sources):
+        best = M._Best(block, weights, 65.0)
+        for token in sorted({t for n in block.tokens for t in n}):
+            for target in names([t for t in targets if token in t.split()]):
+                best.meet(target, list(range(len(target.strings))), True, token)
+        for target in names(targets):
+            best.meet(target, list(range(len(target.strings))), False, None)
+        assert len(best.found) >= 0.9 * len(block.strings)
+        looked_at += best.looked_at
+    assert looked_at < 0.2 * len(sources) * len(targets)
+
+
+def test_blocks_are_cut_at_keys_and_sizes():
+    def table(rows):
+        side, key, norm = zip(*rows)
+        n = len(rows)
+        return pa.table(
+            {
+                "side": pa.array(side, pa.int32()), "key": list(key), "norm": list(norm), "order": list(range(n)),
+                "size": pa.array([len(x) for x in norm], pa.int32()), "tokens": [x.split() for x in norm],
+                "marks": P.as_bytes(np.array([[len(x), k] for k, x in enumerate(norm)], np.uint8)),
+            }
+        )
+
+    rows = table([(0, "k", "a"), (0, "k", "bb"), (0, "k", "ccc"), (0, "l", "d"), (1, "l", "e e"), (1, "l", "f")])
+    out, rest = P._cut(rows, 2, 7, False)
+    assert out.column("norms").to_pylist() == [["a", "bb"], ["ccc"], ["d"]] and rest.num_rows == 2
+    assert out.column("block").to_pylist() == [7, 8, 9]
+    assert out.column("box").to_pylist() == [bytes([1, 0, 2, 1]), bytes([3, 2, 3, 2]), bytes([1, 3, 1, 3])]
+    out, rest = P._cut(rest, 2, 10, True)
+    assert out.column("norms").to_pylist() == [["e e", "f"]] and out.column("tokens").to_pylist() == [["e", "f"]] and rest.num_rows == 0
+    assert out.column("marks").to_pylist() == [bytes([3, 4, 1, 5])]

@@ -6,6 +6,7 @@ from pyspark.sql import functions as F
 
 from linkloom.functions import normalize as N
 from linkloom.functions import similarity as S
+from linkloom.operators import pivots as P
 from tests import brute
 
 
@@ -89,9 +90,29 @@ def test_long_names_equal_brute_force():
     assert S.lcs(left, i, right, j).tolist() == want
 
 
-def test_counts_of_very_long_names_do_not_wrap():
-    from linkloom.operators.match import _overlap
+def test_marks_of_very_long_names_only_shrink_differences():
+    names = ["a" * 80_001, "a" * 80_000 + "b", "ab"]
+    counts = P.letter_counts(names).astype(int)
+    assert counts[:, 0].tolist() == [255, 255, 1] and counts[:, 1].tolist() == [0, 1, 1]
+    space = P.space_of(["abc", "x" * 300], 1)
+    far = space.measures(names).astype(int)
+    for a in range(3):
+        for b in range(3):
+            true = len(names[a]) + len(names[b]) - 2 * brute_lcs(names[a], names[b])
+            assert abs(far[a] - far[b]).max() <= true
 
-    names = S.NameBatch(["a" * 80_001, "a" * 80_000 + "b"] * 40)
-    found = _overlap(names.counts(), names.counts())
-    assert found.min() == 80_000 and found.max() == 80_001
+
+def brute_lcs(a, b):
+    return S._lcs_alone(a, b)
+
+
+def test_token_sets_equal_brute_force():
+    rng = random.Random(3)
+    words = ["old", "town", "new", "é", "x" * 70, "towns", "a"]
+    names = [" ".join(rng.choices(words, k=rng.randint(0, 6))) for _ in range(60)] + [" ".join(["long"] + ["w" * 90] * 30)]
+    tokens = [sorted(set(n.split())) for n in names]
+    sets = S.TokenSets(tokens, tokens[::-1])
+    i, j = np.divmod(np.arange(len(names) ** 2), len(names))
+    want = [brute.token_set(names[a], names[::-1][b]) for a, b in zip(i, j)]
+    assert sets.compare(i, j).tolist() == want
+    assert S.TokenSets([], []).compare(np.empty(0, int), np.empty(0, int)).tolist() == []
