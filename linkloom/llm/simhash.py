@@ -120,16 +120,20 @@ def keep_one(docs: DataFrame, words: int = 3, seed: int = SEED) -> DataFrame:
     ids = found.groupBy("doc_id").agg(
         F.count("*").alias("n"), F.bool_or(~F.col("doc_id").eqNullSafe(F.col("component_id"))).alias("goes")
     )
-    ids = materialize(ids.where("goes or n > 1 or doc_id is null"), "ids")
-    left = docs.join(ids.select(F.col("doc_id").alias("_id")), F.col("doc_id").eqNullSafe(F.col("_id")), "left_anti")
-    odd = ids.where("n > 1 or doc_id is null").select(F.col("doc_id").alias("_id"))
+    ids = materialize(ids.where("goes or n > 1 or doc_id is null").withColumnRenamed("doc_id", "_id"), "ids")
+    # Columns of docs may have any name, so they are numbered meanwhile.
+    numbered = {c: f"_c{k}" for k, c in enumerate(docs.columns)}
+    plain = docs.select([F.col(c).alias(k) for c, k in numbered.items()])
+    own, text = F.col(numbered["doc_id"]).cast("long"), numbered["text"]
+    back = [F.col(k).alias(c) for c, k in numbered.items()]
+    left = plain.join(ids.select("_id"), own.eqNullSafe(F.col("_id")), "left_anti")
+    odd = ids.where("n > 1 or _id is null").select("_id")
     if odd.isEmpty():
-        return left
-    again = with_fingerprint(
-        docs.join(odd, F.col("doc_id").eqNullSafe(F.col("_id")), "left_semi"), words, seed, "_fp"
-    )
-    groups = found.select(F.col("fp").alias("_fp"), "root", "component_id").distinct()
-    tied = again.join(groups, "_fp").where(F.col("doc_id").eqNullSafe(F.col("component_id")))
-    row = F.struct(*docs.columns)
-    one = tied.groupBy("root").agg(F.min_by(row, F.struct(F.coalesce("text", F.lit("")))).alias("row"))
-    return left.unionByName(one.select("row.*"))
+        return left.select(back)
+    again = plain.join(odd, own.eqNullSafe(F.col("_id")), "left_semi").withColumnRenamed(text, "text")
+    again = with_fingerprint(again, words, seed, "_fp").withColumnRenamed("text", text)
+    groups = found.select(F.col("fp").alias("_fp"), F.col("root").alias("_root"), F.col("component_id").alias("_least")).distinct()
+    tied = again.join(groups, "_fp").where(own.eqNullSafe(F.col("_least")))
+    row = F.struct(*numbered.values())
+    one = tied.groupBy("_root").agg(F.min_by(row, F.struct(F.coalesce(text, F.lit("")))).alias("_row"))
+    return left.unionByName(one.select("_row.*")).select(back)

@@ -33,6 +33,9 @@ SYLLABLES = {
     "cyrillic": ["ба", "вер", "гор", "дан", "жел", "кор", "лен", "мар", "нов", "пет", "рус", "сол", "тар", "фил"],
 }
 
+#: Attempts after which a surrogate may be one character longer than its value.
+WIDEN = 8
+
 _MARK = r"\p{L}\p{N}._%+\-"
 _OCTET = r"(?:25[0-5]|2[0-4][0-9]|1?[0-9]?[0-9])"
 #: Kind -> pattern, in order of precedence. Every run is possessive or bounded, so matching is linear.
@@ -164,7 +167,10 @@ def surrogate(key: str) -> Column:
         out = out.when(kind == f"given-{gender}-{script}", F.lower(F.array_join(_pick(parts, names), "-")))
     for script, syllables in SYLLABLES.items():
         out = out.when(kind == f"surname-{script}", F.array_join(_pick(more, syllables), ""))
-    return out
+    # Short shapes can be used up, so the others become longer at their end, a character each few attempts.
+    longer = F.slice(n, F.char_length(canon) + 1, F.floor(attempt / WIDEN).cast("int"))
+    tail = F.transform(longer, lambda x: F.when(kind == "email", _char(F.lit("a"), x)).otherwise(_char(F.lit("0"), x)))
+    return F.when(kind.isin("email", "ssn", "phone", "card"), F.concat(out, F.array_join(tail, ""))).otherwise(out)
 
 
 def assign(entities: DataFrame, key: str) -> DataFrame:
@@ -172,7 +178,8 @@ def assign(entities: DataFrame, key: str) -> DataFrame:
 
     In each round a surrogate stands if no real value and no standing surrogate
     of its kind equals it and it is the first of those that ask for it; the rest
-    try their next one. The first to ask is the smallest value, so reruns agree.
+    try their next one, which in time is longer, so that every shape has room. The
+    first to ask is the smallest value, so reruns agree.
     """
     real = materialize(entities, "entities")
     waiting, standing, attempt = real, None, 0
@@ -201,7 +208,7 @@ def _cased(value: Column, fake: Column) -> Column:
 
 
 def _pour(value: Column, fake: Column) -> Column:
-    """``fake``'s letters and digits in the format of the mention ``value``."""
+    """``fake``'s letters and digits in the format of the mention ``value``; what it has more stands at the end."""
     start = F.struct(F.lit("").alias("out"), F.lit(1).alias("at"))
     plain = F.split(F.regexp_replace(fake, r"[^\p{L}\p{N}]", ""), "")
 
@@ -214,7 +221,10 @@ def _pour(value: Column, fake: Column) -> Column:
             (acc["at"] + F.when(mark, 1).otherwise(0)).alias("at"),
         )
 
-    return F.aggregate(F.split(value, ""), start, step, lambda acc: acc["out"])
+    def ended(acc: Column) -> Column:
+        return F.concat(acc["out"], F.array_join(F.slice(plain, acc["at"], F.greatest(F.size(plain) - acc["at"] + 1, F.lit(0))), ""))
+
+    return F.aggregate(F.split(value, ""), start, step, ended)
 
 
 def _mention(kind: Column, value: Column, fake: Column) -> Column:
@@ -225,14 +235,18 @@ def _mention(kind: Column, value: Column, fake: Column) -> Column:
 
 
 def replace_entities(docs: DataFrame, key: str = "surrogates") -> DataFrame:
-    """``docs`` with the entities in ``text`` replaced; all columns and rows kept, plus ``n_entities``.
+    """``docs`` with the entities in ``text`` replaced; all columns and rows kept, plus a count, the last column.
 
+    The count is ``n_entities``, with a ``_`` more at its end where that is a column already.
     Equal entities get equal surrogates in all documents, different ones
     different surrogates, none a real value of its kind. Null text stays null.
     Text without an entity stays as it is. ``n_chars``, where there is one,
     follows the new text. Spans are replaced all, however many.
     """
     names = docs.columns
+    counted = "n_entities"
+    while counted in names:
+        counted += "_"
     renamed = {c: f"_{i}" for i, c in enumerate(names)}
     plain = docs.select([F.col(c).alias(renamed[c]) for c in names])
     text = F.col(renamed["text"])
@@ -267,5 +281,4 @@ def replace_entities(docs: DataFrame, key: str = "surrogates") -> DataFrame:
         for c in renamed.values()
     ]
     both = clean.unionByName(mixed.select(*columns, size))
-    kept = [F.col(renamed[c]).alias(c) for c in names if c != "n_entities"]
-    return both.select(*kept, "n_entities")
+    return both.select(*[F.col(renamed[c]).alias(c) for c in names], F.col("n_entities").alias(counted))

@@ -290,3 +290,30 @@ def test_pipeline_of_odd_rows(spark, docs, none):
         for _, stage in corpus_pipeline.STAGES:
             out = stage(spark, out, SMALL)
         out.count()
+
+
+def test_surrogates_of_a_used_up_shape(spark):
+    """All 81 addresses of a shape occur, so none of that shape is free; they become longer."""
+    mails = [f"{a}@{b}.c" for a in range(1, 10) for b in range(1, 10)]
+    df = documents(spark, [(k, f"write to {m} now") for k, m in enumerate(mails)])
+    got = {r.doc_id: r.text.split()[2] for r in surrogates.replace_entities(df).collect()}
+    assert len(set(got.values())) == 81 and not set(got.values()) & set(mails)
+    assert all(re.fullmatch(r"[\w]@[\w]\.[a-z]{2,}", m) for m in got.values())
+
+
+def test_surrogates_keep_a_column_named_as_their_count(spark):
+    df = documents(spark, [(1, "mail to ann@example.org"), (2, "nothing")]).withColumn("n_entities", F.lit(5))
+    got = surrogates.replace_entities(df)
+    assert got.columns == [*df.columns, "n_entities_"]
+    assert sorted((r.n_entities, r.n_entities_) for r in got.collect()) == [(5, 0), (5, 1)]
+
+
+def test_keep_one_with_clashing_columns(spark):
+    text = prose(1, 40)
+    rows = [(1, text), (2, text), (3, prose(2, 40)), (3, prose(3, 40)), (None, prose(4, 40))]
+    df = documents(spark, rows)
+    for name in ("_id", "_fp", "root", "component_id", "_row", "_c0", "n", "_root", "_least", "goes"):
+        df = df.withColumn(name, F.lit(name))
+    got = simhash.keep_one(df)
+    assert got.columns == df.columns
+    assert sorted((r.doc_id or 0, r.root, r._id) for r in got.collect()) == [(k, "root", "_id") for k in (0, 1, 3, 3)]
