@@ -523,16 +523,18 @@ def confidence_histogram(matches: DataFrame) -> DataFrame:
     return matches.groupBy("confidence").agg(F.count("*").alias("matches"))
 
 
+# The reported bands.
+BANDS = {
+    "90-100": lambda score: score >= 90,
+    "80-89": lambda score: (score >= 80) & (score < 90),
+    "70-79": lambda score: (score >= 70) & (score < 80),
+    "60-69": lambda score: (score >= 60) & (score < 70),
+    "below_60": lambda score: score < 60,
+}
+
+
 def score_bands(matches: DataFrame) -> DataFrame:
     """Matches per score band, all bands in one pass."""
-    score = F.col("match_score")
-    # The reported bands.
-    bands = {
-        "90-100": score >= 90,
-        "80-89": (score >= 80) & (score < 90),
-        "70-79": (score >= 70) & (score < 80),
-        "60-69": (score >= 60) & (score < 70),
-        "below_60": score < 60,
-    }
-    counted = matches.agg(*[F.count_if(rule).alias(band) for band, rule in bands.items()])
-    return counted.unpivot([], list(bands), "band", "matches")
+    rules = {band: rule(F.col("match_score")) for band, rule in BANDS.items()}
+    counted = matches.agg(*[F.count_if(rule).alias(band) for band, rule in rules.items()])
+    return counted.unpivot([], list(rules), "band", "matches")

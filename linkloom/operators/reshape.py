@@ -49,7 +49,9 @@ def language_to_long(df: DataFrame, language: str, include_enrichments: bool = T
     ]
     chosen.append(F.lit(language).alias("language"))
     if include_enrichments:
-        chosen += [F.col(f"{c}_{language}").alias(c) for c in ENRICHMENTS if f"{c}_{language}" in df.columns]
+        for c in (*ENRICHMENTS, *(f"{c}_error" for c in ENRICHMENTS)):
+            if f"{c}_{language}" in df.columns:
+                chosen.append(F.col(f"{c}_{language}").alias(c))
     chosen += [F.col(c) for c in EXTRAS if c in df.columns]
     return df.select(*chosen)
 

@@ -6,6 +6,7 @@ Each entry takes a session and a folder of Parquet tables and returns a frame.
 from __future__ import annotations
 
 from collections.abc import Callable, Sequence
+from dataclasses import replace
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -23,6 +24,7 @@ from linkloom.operators import reshape as R
 from linkloom.operators import validate as V
 from linkloom.plans import demo
 from linkloom.plans import enrich as job
+from linkloom.plans import job as whole_job
 from linkloom.sources import readers, writers
 from linkloom.sources.scratch import new_path
 
@@ -612,7 +614,7 @@ def wide_records(spark, folder) -> DataFrame:
         cyrillic(F.col("p_name")).alias("name_de"),
         F.concat_ws(" ", F.lower("p_type"), "p_name").alias("name_en"),
     )
-    return names.join(docs, "id").select(
+    return names.join(docs, "id", "full_outer").select(
         "id",
         "name_de",
         "name_en",
@@ -651,11 +653,6 @@ def enrich_matches(spark, folder):
     return flagged.select("de_id", "name_de", "name_en", "match_score", "confidence", "matched_own_row")
 
 
-@query
-def enrich_report(spark, folder):
-    return job.report(job.enrich(wide_records(spark, folder), job_config()), job_config())
-
-
 def _failing_model():
     """A stand-in for a user's model: counts two letters, refuses texts with a marker."""
 
@@ -670,6 +667,54 @@ def _failing_model():
     return model
 
 
+def modelled_config() -> job.Config:
+    """The job's configuration with a user's model for the categories; the model refuses some texts."""
+    return replace(job_config(), models={"category": _failing_model}, model_labels={"category": ["a", "e"]})
+
+
+@query
+def enrich_with_model(spark, folder):
+    """A model in the job: rows that it refuses have an error and keep the rest."""
+    done = job.enrich(wide_records(spark, folder), modelled_config(), ["category", "tags"])
+    both = job.combine(done, ("de", "en"))
+    errors = [F.col(c) for c in ("category_error_de", "category_error_en")]
+    return both.select("id", "category_de", "category_en", *errors, F.array_join("tags_en", "|").alias("tags_en"))
+
+
+def long_records(spark, folder) -> DataFrame:
+    """Labelled documents as a long table; those of one source have an empty name."""
+    name = F.when(F.col("source") != "src3", F.col("source")).otherwise("")
+    return long_documents(spark, folder).withColumnRenamed("name", "source").withColumn("name", name).drop("source")
+
+
+@query
+def enrich_long_input(spark, folder):
+    """Rows of a long table that lack a required field are dropped before the job."""
+    done = job.enrich(long_records(spark, folder), job_config(), ["category"])
+    frames = [
+        frame.select("id", F.col(f"name_{x}").alias("name"), F.lit(x).alias("language"), F.col(f"category_{x}").alias("category"))
+        for x, frame in done.records.items()
+    ]
+    return R.stack(frames)
+
+
+@query
+def save_results_long(spark, folder):
+    """The long output of the saved job, read back from its folders by language."""
+    done = job.enrich(wide_records(spark, folder), job_config(), ["category", "tags"])
+    out = new_path(spark, "saved")
+    paths = job.save_results(done, out, long_path=f"{out}/long")
+    long = spark.read.parquet(paths["long"])
+    return long.select("id", "name", "language", "category", F.array_join("tags", "|").alias("tags"))
+
+
+@query
+def enrich_report(spark, folder):
+    """The report of the whole job, counted while its results are written; without the seconds it took."""
+    done = whole_job.run_job(wide_records(spark, folder), new_path(spark, "job"), modelled_config())
+    return done.report.where(~F.startswith("metric", F.lit("seconds")))
+
+
 @query
 def model_slot_errors(spark, folder):
     run = models.apply_model(texts(spark, folder), "text", "lang", _failing_model, "labels", "labels")

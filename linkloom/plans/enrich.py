@@ -4,20 +4,22 @@ from __future__ import annotations
 
 import logging
 from collections.abc import Callable, Mapping, Sequence
-from dataclasses import dataclass, field
+from dataclasses import dataclass, field, replace
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from linkloom.functions.entities import MIN_SCORE, primary_location_of_record
+from linkloom.functions.entities import MIN_SCORE, entity_record, primary_location_of_record
 from linkloom.functions.similarity import HIGH_CONFIDENCE, REVIEW_CONFIDENCE, THRESHOLD, WEIGHTS
 from linkloom.operators import entities as E
 from linkloom.operators import labels as L
 from linkloom.operators import match as M
+from linkloom.operators import models as X
 from linkloom.operators import profile as P
 from linkloom.operators import reshape as R
 from linkloom.operators.validate import WIDE_COLUMNS, drop_invalid
 from linkloom.sources.readers import load
+from linkloom.sources.scratch import materialize, released
 from linkloom.sources.writers import save
 
 log = logging.getLogger(__name__)
@@ -62,6 +64,11 @@ class Config:
     high: float = HIGH_CONFIDENCE
     review: float = REVIEW_CONFIDENCE
     target_order: str | None = None
+    #: A user's own model per step (``ner``, ``category``, ``tags``), as a function that loads it in a task.
+    models: Mapping[str, Callable[[], X.Model]] = field(default_factory=dict)
+    model_batch: int = 256
+    #: The closed label list of a model's step, for the counts of the job's report.
+    model_labels: Mapping[str, Sequence[str]] = field(default_factory=dict)
 
 
 @dataclass(frozen=True)
@@ -85,47 +92,39 @@ def chosen_steps(steps: Sequence[str] | None) -> list[str]:
     return [s for s in STEPS if steps is None or s in steps]
 
 
-def enrich_language(df: DataFrame, language: str, config: Config, steps: Sequence[str]) -> DataFrame:
-    """Add ``ner_``, ``category_`` and ``tags_<language>`` from ``description_<language>``.
+def _enrich_texts(
+    df: DataFrame, text: str, language: str | Column, config: Config, steps: Sequence[str], suffix: str
+) -> DataFrame:
+    """Add ``ner``, ``category`` and ``tags`` of a text column, each by the user's model if there is one.
 
-    A table without that column comes back as it is.
+    A model's step also adds ``<step>_error``, null where all went well; a row
+    that fails has an empty result and keeps the results of its other steps.
     """
-    text, constant = f"description_{language}", F.lit(language)
-    if text not in df.columns:
-        log.warning("column %s not found, skipping %s", text, language)
-        return df
+
+    def modelled(x: DataFrame, step: str, kind: str) -> DataFrame:
+        loader, failed = config.models[step], f"{step}_error{suffix}"
+        return X.apply_model(x, text, language, loader, kind, "_found", failed, config.model_batch)
 
     def ner(x: DataFrame) -> DataFrame:
-        return E.add_entity_record(
-            x,
-            text,
-            constant,
-            config.gazetteer,
-            config.patterns,
-            f"ner_{language}",
-            config.min_entity_score,
-        )
+        name = f"ner{suffix}"
+        if "ner" in config.models:
+            found = modelled(x, "ner", "entities")
+            return found.withColumn(name, entity_record(F.col("_found"), config.min_entity_score)).drop("_found")
+        return E.add_entity_record(x, text, language, config.gazetteer, config.patterns, name, config.min_entity_score)
 
     def category(x: DataFrame) -> DataFrame:
-        return L.classify(
-            x,
-            text,
-            constant,
-            config.categories,
-            f"category_{language}",
-            evidence_only=config.evidence_only,
-        )
+        name = f"category{suffix}"
+        if "category" in config.models:
+            best = X.top_model_labels(F.col("_found"), 1)
+            return modelled(x, "category", "labels").withColumn(name, F.try_element_at(best, F.lit(1))).drop("_found")
+        return L.classify(x, text, language, config.categories, name, evidence_only=config.evidence_only)
 
     def tags(x: DataFrame) -> DataFrame:
-        return L.tag(
-            x,
-            text,
-            constant,
-            config.tags,
-            f"tags_{language}",
-            config.top_tags,
-            config.evidence_only,
-        )
+        name = f"tags{suffix}"
+        if "tags" in config.models:
+            best = X.top_model_labels(F.col("_found"), config.top_tags)
+            return modelled(x, "tags", "labels").withColumn(name, best).drop("_found")
+        return L.tag(x, text, language, config.tags, name, config.top_tags, config.evidence_only)
 
     actions: dict[str, Callable[[DataFrame], DataFrame]] = {"ner": ner, "category": category, "tags": tags}
     for step in steps:
@@ -134,6 +133,18 @@ def enrich_language(df: DataFrame, language: str, config: Config, steps: Sequenc
     return df
 
 
+def enrich_language(df: DataFrame, language: str, config: Config, steps: Sequence[str]) -> DataFrame:
+    """Add ``ner_``, ``category_`` and ``tags_<language>`` from ``description_<language>``.
+
+    A table without that column comes back as it is.
+    """
+    text = f"description_{language}"
+    if text not in df.columns:
+        log.warning("column %s not found, skipping %s", text, language)
+        return df
+    return _enrich_texts(df, text, F.lit(language), config, steps, f"_{language}")
+
+
 def enrich_long(
     df: DataFrame,
     config: Config,
@@ -143,27 +154,21 @@ def enrich_long(
 ) -> DataFrame:
     """Add ``ner``, ``category``, ``tags`` and ``location`` to a long table, all languages in one pass."""
     wanted = chosen_steps(steps)
+    df = _enrich_texts(df, text, language, config, wanted, "")
     if "ner" in wanted:
-        df = E.add_entity_record(
-            df, text, language, config.gazetteer, config.patterns, "ner", config.min_entity_score
-        ).withColumn("location", primary_location_of_record(F.col("ner")))
-    if "category" in wanted:
-        df = L.classify(
-            df, text, language, config.categories, "category", evidence_only=config.evidence_only
-        )
-    if "tags" in wanted:
-        df = L.tag(
-            df,
-            text,
-            language,
-            config.tags,
-            "tags",
-            config.top_tags,
-            config.evidence_only,
-        )
+        df = df.withColumn("location", primary_location_of_record(F.col("ner")))
     return df
 
 
+def long_required(config: Config, columns: Sequence[str]) -> list[str]:
+    """The required fields of a long table: those of the wide one without their language."""
+    names = []
+    for name in config.required:
+        for x in config.languages:
+            names.append(name.removesuffix(f"_{x}"))
+    return [n for n in dict.fromkeys(names) if n in columns]
+
+
 def match_languages(
     first: DataFrame, second: DataFrame, languages: tuple[str, str], config: Config
 ) -> DataFrame:
@@ -193,13 +198,13 @@ def match_languages(
 def enrich(df: DataFrame, config: Config | None = None, steps: Sequence[str] | None = None) -> Enriched:
     """Run the job on a wide table, or on a long one (recognised by its ``language`` column).
 
-    Invalid rows of a wide table are dropped first.
+    Rows that lack a required field are dropped first.
     """
     config = config or Config()
     wanted = chosen_steps(steps)
     a, b = config.languages
     if "language" in df.columns:
-        frames = R.to_wide(df, config.languages)
+        frames = R.to_wide(drop_invalid(df, long_required(config, df.columns)), config.languages)
     else:
         valid = drop_invalid(df, config.required)
         frames = {a: valid, b: valid}
@@ -242,19 +247,42 @@ def own_row_matches(matches: DataFrame, own_name: str, target_name: str) -> Data
 
 
 def save_results(
-    result: Enriched, folder: str, format: str = "parquet", combined_path: str | None = None
+    result: Enriched,
+    folder: str,
+    format: str = "parquet",
+    combined_path: str | None = None,
+    long_path: str | None = None,
+    mode: str = "error",
 ) -> dict[str, str]:
     """Write every output and return the paths by name.
 
-    The match table is written only if it has rows.
+    Enrichment and match run once: they are written as scratch tables that all
+    outputs read. The match table is written only if it has rows. The long output
+    has one folder per language. Scratch tables are deleted at the end.
     """
-    paths = {
-        x: save(frame, f"{folder}/{x}_enriched", format) for x, frame in result.records.items()
-    }
+    spark = result.source.sparkSession
+    with released(spark):
+        if result.side_by_side is not None:
+            whole = materialize(result.side_by_side, "enriched")
+            frames = {x: whole.select(frame.columns) for x, frame in result.records.items()}
+            done = replace(result, records=frames, side_by_side=whole)
+        else:
+            done = replace(result, records={x: materialize(f, f"enriched-{x}") for x, f in result.records.items()})
+        matches = None if done.matches is None else materialize(done.matches, "matches")
+        return write_outputs(replace(done, matches=matches), folder, format, combined_path, long_path, mode)
+
+
+def write_outputs(
+    result: Enriched, folder: str, format: str, combined_path: str | None, long_path: str | None, mode: str
+) -> dict[str, str]:
+    """Write results that are already computed."""
+    paths = {x: save(frame, f"{folder}/{x}_enriched", format, mode) for x, frame in result.records.items()}
     if result.matches is not None and not result.matches.isEmpty():
-        paths["matches"] = save(result.matches, f"{folder}/name_matches", format)
+        paths["matches"] = save(result.matches, f"{folder}/name_matches", format, mode)
     if combined_path:
-        paths["combined"] = save(combine(result, tuple(result.records)), combined_path, format)
+        paths["combined"] = save(combine(result, tuple(result.records)), combined_path, format, mode)
+    if long_path:
+        paths["long"] = save(R.to_long(result.records), long_path, format, mode, ["language"])
     return paths
 
 
@@ -296,9 +324,10 @@ def run(
     steps: Sequence[str] | None = None,
     config: Config | None = None,
     format: str = "parquet",
+    **options,
 ) -> Enriched:
-    """Load, enrich and, with ``output``, save."""
-    result = enrich(load(spark, source, validate=False), config, steps)
+    """Load, enrich and, with ``output``, save; ``options`` go to ``load`` (``split``, ``schema``, ``default_format``)."""
+    result = enrich(load(spark, source, validate=False, **options), config, steps)
     if output:
         save_results(result, output, format)
     return result

@@ -613,51 +613,83 @@ TAG_ROWS = (
     "(SELECT 'de' AS l, doc_id, label FROM tag_de UNION ALL SELECT 'en', doc_id, label FROM tag_en)"
 )
 TAGGED = f"SELECT count(*) FROM (SELECT DISTINCT l, doc_id FROM {TAG_ROWS})"
+# The stand-in model of the job: the more frequent of two letters, no result for texts with a marker.
+MODEL = """model AS (
+  SELECT id, contains(text, '%%%') OR contains(text, '###') AS bad,
+    CASE WHEN length(text) - length(replace(text, 'a', '')) >= length(text) - length(replace(text, 'e', ''))
+    THEN 'a' ELSE 'e' END AS label
+  FROM (SELECT id, description_en AS text FROM wide) w)"""
+ORACLE["enrich_with_model"] = f"""
+WITH {JOB}, {MODEL}
+SELECT w.id, CASE WHEN NOT bad THEN label END AS category_de, CASE WHEN NOT bad THEN label END AS category_en,
+  CASE WHEN bad THEN 'marker in text' END AS category_error_de,
+  CASE WHEN bad THEN 'marker in text' END AS category_error_en, {tag_text("en")}
+FROM wide w JOIN model m ON m.id = w.id"""
+ORACLE["enrich_long_input"] = f"""
+WITH {CATEGORY}
+SELECT d.doc_id AS id, source AS name, d.lang AS language, category
+FROM documents d JOIN category c ON c.doc_id = d.doc_id
+WHERE d.lang IN ('de', 'en') AND source <> 'src3' AND source <> '' AND text <> ''"""
+ORACLE["save_results_long"] = f"""
+WITH {JOB}
+SELECT w.id, name_de AS name, 'de' AS language, cd.category, {tag_text("de").removesuffix("_de")}
+FROM wide w JOIN category_de cd ON cd.doc_id = w.id
+UNION ALL
+SELECT w.id, name_en, 'en', ce.category, {tag_text("en").removesuffix("_en")}
+FROM wide w JOIN category_en ce ON ce.doc_id = w.id"""
+
+
+def counted_rate(done: str, all_rows: str) -> str:
+    return f"SELECT round_even(CAST({done} AS DOUBLE) / ({all_rows}), 3)"
+
+
+BAD, GOOD = "(SELECT 2 * count(*) FROM model WHERE bad)", "(SELECT 2 * count(*) FROM model WHERE NOT bad)"
+LOADED = "(SELECT count(*) FROM part FULL JOIN documents d ON d.doc_id = p_partkey)"
+ENRICHED = "(SELECT 2 * count(*) FROM wide)"
+WITH_ENTITIES = f"(SELECT count(*) FROM {ENTITY_ROWS} WHERE n > 0)"
+QUALITY = {
+    "average_score": "round_even(avg(score), 2)",
+    "median_score": "round_even(median(score), 2)",
+    "min_score": "min(score)",
+    "max_score": "max(score)",
+    **{f"{c}_confidence_matches": f"count(*) FILTER (WHERE confidence = '{c}')" for c in ("high", "medium", "low")},
+    "band_90-100": "count(*) FILTER (WHERE score >= 90)",
+    "band_80-89": "count(*) FILTER (WHERE score >= 80 AND score < 90)",
+    "band_70-79": "count(*) FILTER (WHERE score >= 70 AND score < 80)",
+    "band_60-69": "count(*) FILTER (WHERE score >= 60 AND score < 70)",
+    "band_below_60": "count(*) FILTER (WHERE score < 60)",
+}
 ORACLE["enrich_report"] = f"""
-WITH RECURSIVE {JOB_MATCH}, {JOB_TABLES},
+WITH RECURSIVE {JOB_MATCH}, {JOB_TABLES}, {MODEL},
 stats AS (SELECT {MATCH_STATISTICS} FROM src s LEFT JOIN found f ON f.id = s.id)
 """ + " UNION ALL ".join(
     [
-        metric(
-            "job",
-            "total_records",
-            "SELECT count(*) FROM part JOIN documents d ON d.doc_id = p_partkey",
-        ),
-        metric("job", "enriched_records", "SELECT 2 * count(*) FROM wide"),
-        metric("entities", "processed", "SELECT 2 * count(*) FROM wide"),
-        metric("entities", "with_entities", f"SELECT count(*) FROM {ENTITY_ROWS} WHERE n > 0"),
-        metric("entities", "errors", "0"),
-        metric(
-            "entities",
-            "success_rate",
-            f"SELECT round_even(count(*) FILTER (WHERE n > 0) / count(*), 3) FROM {ENTITY_ROWS}",
-        ),
-        metric(
-            "entities",
-            "hit_rate",
-            f"SELECT round_even(count(*) FILTER (WHERE n > 0) / count(*), 3) FROM {ENTITY_ROWS}",
-        ),
-        metric("entities", "ok_rate", "1"),
-        metric("categories", "processed", f"SELECT count(category) FROM {CATEGORY_ROWS}"),
-        metric("categories", "errors", "0"),
-        metric("categories", "unique_labels", f"SELECT count(DISTINCT category) FROM {CATEGORY_ROWS}"),
-        metric("categories", "success_rate", "1"),
-        metric("categories", "ok_rate", "1"),
+        metric("job", "enriched_records", f"SELECT {ENRICHED}"),
+        metric("load", "loaded_records", f"SELECT {LOADED}"),
+        metric("load", "valid_records", "SELECT count(*) FROM wide"),
+        metric("load", "invalid_records", f"SELECT {LOADED} - count(*) FROM wide"),
+        metric("load", "validation_rate", counted_rate("(SELECT count(*) FROM wide)", LOADED)),
+        metric("entities", "processed", f"SELECT {ENRICHED}"),
+        metric("entities", "with_entities", f"SELECT {WITH_ENTITIES}"),
+        metric("entities", "errors", f"SELECT {ENRICHED} - count(*) FROM {ENTITY_ROWS}"),
+        metric("entities", "total_entities", f"SELECT sum(n) FROM {ENTITY_ROWS}"),
+        metric("entities", "success_rate", counted_rate(WITH_ENTITIES, ENRICHED)),
+        metric("entities", "hit_rate", counted_rate(WITH_ENTITIES, ENRICHED)),
+        metric("entities", "ok_rate", counted_rate(ENRICHED, f"SELECT count(*) FROM {ENTITY_ROWS}")),
+        metric("categories", "processed", f"SELECT {GOOD}"),
+        metric("categories", "errors", f"SELECT {BAD}"),
+        metric("categories", "unique_labels", "SELECT count(DISTINCT label) FROM model WHERE NOT bad"),
+        metric("categories", "success_rate", counted_rate(f"({GOOD} - {BAD})", GOOD)),
+        metric("categories", "ok_rate", counted_rate(GOOD, ENRICHED)),
+        "SELECT 'categories', 'label:' || label, CAST(2 * count(*) AS DOUBLE) FROM model WHERE NOT bad GROUP BY label",
         metric("tags", "processed", TAGGED),
-        metric("tags", "errors", "0"),
+        metric("tags", "errors", f"SELECT {ENRICHED} - count(*) FROM (SELECT 1 FROM wide UNION ALL SELECT 1 FROM wide) x"),
         metric("tags", "unique_labels", f"SELECT count(DISTINCT label) FROM {TAG_ROWS}"),
-        metric("tags", "success_rate", "1"),
-        metric("tags", "ok_rate", "1"),
-        *[
-            metric("matches", m, f"SELECT {m} FROM stats")
-            for m in (
-                "total_matches",
-                "high_confidence_matches",
-                "low_confidence_matches",
-                "no_matches",
-                "match_rate",
-            )
-        ],
+        metric("tags", "success_rate", counted_rate(f"({TAGGED})", TAGGED)),
+        metric("tags", "ok_rate", counted_rate(f"({TAGGED})", TAGGED)),
+        f"SELECT 'tags', 'label:' || label, CAST(count(*) AS DOUBLE) FROM {TAG_ROWS} GROUP BY label",
+        *[metric("matches", m, f"SELECT {m} FROM stats") for m in ("total_matches", "no_matches", "match_rate")],
+        *[metric("matches", m, f"SELECT {sql} FROM found") for m, sql in QUALITY.items()],
     ]
 )
 

@@ -24,10 +24,10 @@ def save(
     df: DataFrame,
     path: str,
     format: str = "csv",
-    mode: str = "overwrite",
+    mode: str = "error",
     partition_by: tuple[str, ...] | list[str] = (),
 ) -> str:
-    """Write a dataset folder and return its path.
+    """Write a dataset folder and return its path; a path that is taken is an error unless ``mode`` says otherwise.
 
     ``json`` and ``jsonl`` both write JSON lines, one file per task.
     """
