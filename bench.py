@@ -34,7 +34,10 @@ HEADLINE = [
     "location_top15",
     "completeness",
     "summary_pivot",
+    "quality_metrics",
     "enrich_records",
+    "enrich_matches",
+    "enrich_report",
     "model_slot_errors",
     "roundtrip_csv_texts",
 ]

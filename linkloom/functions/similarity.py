@@ -280,14 +280,19 @@ def _pair_scores(a: pd.Series, b: pd.Series, measure: str, weights: Mapping[str,
     return pd.Series(out)
 
 
-def _score_column(a: Column, b: Column, measure: str, weights: Mapping[str, float] = WEIGHTS) -> Column:
+def score_udf(measure: str, weights: Mapping[str, float] = WEIGHTS):
+    """A measure (``ratio``, ``token_set``, ``partial`` or ``score``) of two columns, batch by batch."""
     weights = dict(weights)
 
     @F.pandas_udf("double")
     def score(left: pd.Series, right: pd.Series) -> pd.Series:
         return _pair_scores(left, right, measure, weights)
 
-    return score(a, b)
+    return score
+
+
+def _score_column(a: Column, b: Column, measure: str, weights: Mapping[str, float] = WEIGHTS) -> Column:
+    return score_udf(measure, weights)(a, b)
 
 
 def ratio(a: Column, b: Column) -> Column:

@@ -11,7 +11,7 @@ import re
 from collections.abc import Mapping, Sequence
 from dataclasses import dataclass
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from linkloom.functions.entities import ENTITY_TYPE, entity_record
@@ -173,3 +173,35 @@ def gazetteer_entities(
     return placed.join(gazetteer.withColumnRenamed("surface", "word"), ["language", "word"]).select(
         key, "word", "entity_group", "score", "pos"
     )
+
+
+def merge_pieces(pieces: DataFrame, key: str, mark: str = "##", gap: int = 1) -> DataFrame:
+    """Spans ``key, word, entity_group, score, start, end`` from typed pieces ``key, start, end, word, entity_group, score``.
+
+    A piece belongs to the span before it if it has the same type and begins with
+    ``mark`` or at most ``gap`` characters behind it. Marked pieces are joined to
+    the word before them without a blank, others with one. ``B-`` and ``I-`` before a
+    type are left out, and ``B-`` begins a span. The score is the mean of the
+    pieces'. A marked piece that has nothing to join begins a span, without its
+    mark. Windows run per key, over the pieces of one text.
+    """
+    kind = F.regexp_replace("entity_group", "^[BI]-", "")
+    rows = pieces.select(
+        key, "start", "end", "word", "score", kind.alias("entity_group"),
+        F.startswith("entity_group", F.lit("B-")).alias("_begins"), F.startswith("word", F.lit(mark)).alias("_marked"),
+    )
+    order = Window.partitionBy(key).orderBy("start", "end", "word")
+    near = F.col("_marked") | (F.col("start") - F.lag("end").over(order) <= gap)
+    joins = (F.lag("entity_group").over(order) == F.col("entity_group")) & ~F.col("_begins") & near
+    flagged = rows.withColumn("_joins", F.coalesce(joins, F.lit(False)))
+    islands = flagged.withColumn("_span", F.sum((~F.col("_joins")).cast("int")).over(order))
+    bare = F.when(F.col("_marked"), F.substring("word", len(mark) + 1, 1 << 30)).otherwise(F.col("word"))
+    text = F.concat(F.when(F.col("_joins") & ~F.col("_marked"), " ").otherwise(""), bare)
+    parts = islands.withColumn("_text", text).groupBy(key, "_span").agg(
+        F.sort_array(F.collect_list(F.struct("start", "end", "_text"))).alias("_parts"),
+        F.first("entity_group").alias("entity_group"),
+        F.avg("score").alias("score"),
+        F.min("start").alias("start"),
+        F.max("end").alias("end"),
+    )
+    return parts.select(key, F.array_join("_parts._text", "").alias("word"), "entity_group", "score", "start", "end")

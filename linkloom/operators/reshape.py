@@ -3,12 +3,14 @@
 from __future__ import annotations
 
 from collections.abc import Mapping, Sequence
+from dataclasses import dataclass
 
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from linkloom.operators.validate import check_columns
-from linkloom.sources.scratch import materialize
+from linkloom.sources.scratch import materialize, new_path
 
 # Long-format columns that become per-language columns, and the
 # columns carried through unchanged.
@@ -114,3 +116,54 @@ def number_rows(df: DataFrame, within: Sequence[str], order: Sequence[str], name
     same = [F.col(k).eqNullSafe(F.col(f"_of_{k}")) for k in keys]
     placed = ranges.withColumn("_nr", F.row_number().over(inside) - 1)
     return placed.join(starts, same).select(*df.columns, (F.col("_start") + F.col("_nr")).alias(name))
+
+
+@dataclass(frozen=True)
+class PositionIndex:
+    """A table laid out by an order, and how many rows its parts have.
+
+    ``path`` holds one folder per part; parts follow one another in the order.
+    ``starts`` has the position at which each part begins, one number per part.
+    """
+
+    path: str
+    order: tuple[str, ...]
+    starts: tuple[tuple[int, int], ...]
+    rows: int
+    schema: T.StructType
+
+
+def position_index(df: DataFrame, order: Sequence[str], parts: int | None = None) -> PositionIndex:
+    """Lay ``df`` out in ranges of ``order`` and count them. Runs jobs; the table is a scratch table.
+
+    Rows are dealt out by range but not sorted: a part is sorted only when a
+    position in it is asked for. ``order`` should tell all rows apart.
+    """
+    spark = df.sparkSession
+    ranged = df.repartitionByRange(parts, *order) if parts else df.repartitionByRange(*order)
+    path = new_path(spark, "positions")
+    ranged.withColumn("_part", F.spark_partition_id()).write.partitionBy("_part").parquet(path)
+    counts = spark.read.schema("_part int").parquet(path).groupBy("_part").count().collect()
+    starts, at = [], 0
+    for part, n in sorted(map(tuple, counts)):
+        starts.append((part, at))
+        at += n
+    return PositionIndex(path, tuple(order), tuple(starts), at, df.schema)
+
+
+def row_at(spark: SparkSession, index: PositionIndex, position: int) -> DataFrame:
+    """The row at a zero-based position, negative ones from the end; only its part is read.
+
+    A position outside the table is an error.
+    """
+    wanted = position + index.rows if position < 0 else position
+    if not 0 <= wanted < index.rows:
+        raise IndexError(f"position {position} of {index.rows} rows")
+    part, start = max((s for s in index.starts if s[1] <= wanted), key=lambda s: s[1])
+    rows = spark.read.schema(index.schema).option("basePath", index.path).parquet(f"{index.path}/_part={part}")
+    return rows.orderBy(*index.order).offset(wanted - start).limit(1).select(index.schema.names)
+
+
+def head(df: DataFrame, n: int, order: Sequence[Column | str]) -> DataFrame:
+    """The first ``n`` rows by ``order``: every task keeps its own first ``n``, so there is no full sort."""
+    return df.orderBy(*order).limit(n)

@@ -5,16 +5,18 @@ Each entry takes a session and a folder of Parquet tables and returns a frame.
 
 from __future__ import annotations
 
-from collections.abc import Callable, Sequence
+from collections.abc import Callable, Iterator, Sequence
 from dataclasses import replace
 
-from pyspark.sql import Column, DataFrame, SparkSession
+import pyarrow as pa
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from linkloom.functions import entities as FE
 from linkloom.functions import normalize as N
 from linkloom.functions import similarity as S
+from linkloom.functions import sql as sql_functions
 from linkloom.functions.text import display_list, text_length
 from linkloom.operators import entities as E
 from linkloom.operators import labels as L
@@ -156,7 +158,15 @@ def row_numbers(spark, folder):
 
 @query
 def preview_head(spark, folder):
-    return table(spark, folder, "part").orderBy(F.desc("p_retailprice"), "p_partkey").limit(10)
+    return R.head(table(spark, folder, "part"), 10, [F.desc("p_retailprice"), "p_partkey"])
+
+
+@query
+def row_at(spark, folder):
+    """The first, a middle and the last order by date, each read from one part of the table."""
+    index = R.position_index(table(spark, folder, "orders"), ["o_orderdate", "o_orderkey"])
+    rows = [R.row_at(spark, index, at) for at in (0, index.rows // 2, -1)]
+    return R.stack(rows).select("o_orderkey", "o_custkey")
 
 
 # --- labels -------------------------------------------------------------------------
@@ -355,6 +365,20 @@ def score_pairs(spark, folder):
     )
 
 
+@query
+def sql_fuzzy_score(spark, folder):
+    """The name functions called from SQL text."""
+    sql_functions.register(spark)
+    return spark.sql(
+        """
+        SELECT p_partkey, fuzzy_score(a, b) AS score, match_confidence(fuzzy_score(a, b)) AS confidence,
+          fuzzy_token_set(a, b) AS token_set, size(name_tokens(b)) AS tokens
+        FROM (SELECT p_partkey, name_normalize(a) AS a, name_normalize(b) AS b FROM {pairs}) n
+        """,
+        pairs=name_pairs(spark, folder),
+    )
+
+
 def part_matches(spark, folder) -> DataFrame:
     """Cyrillic part names against typed English titles."""
     return M.match_tables(
@@ -514,6 +538,47 @@ def location_from_json(spark, folder):
     return as_text.select("doc_id", FE.primary_location_of_json(F.col("ner")).alias("location"))
 
 
+def word_pieces(spark, folder) -> DataFrame:
+    """Long words of the texts in pieces of four letters, as a model's word pieces.
+
+    Offsets count the characters of the words joined by blanks. The type goes by
+    the first letter; every seventh word of a text begins a new span.
+    """
+    words = texts(spark, folder).select("doc_id", F.posexplode(F.regexp_extract_all("text", F.lit(r"\p{L}+"), F.lit(0))).alias("pos", "token"))
+    before = Window.partitionBy("doc_id").orderBy("pos").rowsBetween(Window.unboundedPreceding, -1)
+    placed = words.withColumn("at", F.coalesce(F.sum(F.length("token") + 1).over(before), F.lit(0)))
+    cut = F.sequence(F.lit(0), F.floor((F.length("token") - 1) / 4).cast("int"))
+    pieces = placed.where(F.length("token") >= 8).withColumn("nr", F.explode(cut))
+    letters = F.substring("token", 4 * F.col("nr") + 1, F.lit(4))
+    kind = F.when(F.lower(F.substring("token", 1, 1)).isin(*"aeiou"), "LOC").otherwise("PER")
+    tag = F.when(F.col("nr") > 0, "I-").when(F.col("pos") % 7 == 0, "B-").otherwise("I-")
+    start = F.col("at") + 4 * F.col("nr")
+    return pieces.select(
+        "doc_id", start.alias("start"), (start + F.length(letters)).alias("end"),
+        F.concat(F.when(F.col("nr") > 0, "##").otherwise(""), letters).alias("word"),
+        F.concat(tag, kind).alias("entity_group"), (1.0 / (1 + F.col("nr"))).alias("score"),
+    )
+
+
+@query
+def entities_merged_pieces(spark, folder):
+    merged = E.merge_pieces(word_pieces(spark, folder), "doc_id")
+    return merged.select("doc_id", "word", "entity_group", F.round("score", 6).alias("score"), "start", "end")
+
+
+@query
+def location_from_objects(spark, folder):
+    """JSON text whose lists mix objects with ``text`` or ``word``, bare strings and word pieces; some texts are null."""
+    words = F.regexp_extract_all("text", F.lit(r"\p{L}+"), F.lit(0))
+    pick = lambda k: F.coalesce(F.get(words, F.lit(k)), F.lit(""))
+    objects = F.concat(
+        F.lit('{"PER": ["Nobody here"], "LOC": [{"text": "'), pick(0), F.lit('", "word": "no"}, {"word": "##'), pick(1),
+        F.lit('"}, "##'), pick(2), F.lit('", "'), pick(3), F.lit('", {"score": 1}], "places": "'), pick(4), F.lit('"}'),
+    )
+    docs = texts(spark, folder).withColumn("ner", F.when(F.col("lang").isin("en", "de"), objects).when(F.col("lang") == "fr", "[]"))
+    return docs.select("doc_id", FE.primary_location_of_json(F.col("ner")).alias("location"))
+
+
 @query
 def location_top15(spark, folder):
     return profile.location_frequency(located(spark, folder), "location")
@@ -748,6 +813,25 @@ def roundtrip_json(spark, folder):
     return _round_trip(spark, folder, "part", "json", with_schema=False)
 
 
+def _as_array(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """Lines of one file: JSON records become one JSON array."""
+    mark = "["
+    for batch in batches:
+        yield pa.RecordBatch.from_arrays([pa.array([f"{mark if k == 0 else ','}{v}" for k, v in enumerate(batch.column(0).to_pylist())])], ["value"])
+        mark = "," if batch.num_rows else mark
+    yield pa.RecordBatch.from_arrays([pa.array(["[]" if mark == "[" else "]"])], ["value"])
+
+
+@query
+def roundtrip_json_array(spark, folder):
+    """A folder that mixes JSON arrays with files of JSON lines."""
+    data, path = table(spark, folder, "part"), f"{new_path(spark, 'mixed')}.json"
+    lines = data.select("p_size", F.to_json(F.struct(*data.columns)).alias("value"))
+    lines.where("p_size <= 25").select("value").repartition(3).mapInArrow(_as_array, "value string").write.text(path)
+    lines.where("p_size > 25").select("value").write.mode("append").text(path)
+    return readers.read_any(spark, path).select(data.columns)
+
+
 @query
 def roundtrip_jsonl(spark, folder):
     return _round_trip(spark, folder, "conversations", "jsonl", with_schema=True)

@@ -83,6 +83,10 @@ ORACLE["row_numbers"] = """
 SELECT doc_id, lang, row_number() OVER (PARTITION BY lang ORDER BY doc_id) - 1 AS "row" FROM documents"""
 ORACLE["preview_head"] = "SELECT * FROM part ORDER BY p_retailprice DESC, p_partkey LIMIT 10"
 
+ORACLE["row_at"] = """
+WITH placed AS (SELECT *, row_number() OVER (ORDER BY o_orderdate, o_orderkey) - 1 AS at_, count(*) OVER () AS n FROM orders)
+SELECT o_orderkey, o_custkey FROM placed WHERE at_ IN (0, n // 2, n - 1)"""
+
 # --- labels -------------------------------------------------------------------------
 
 
@@ -297,6 +301,9 @@ ORACLE["ratio_pairs"] = pair_query("r AS score")
 ORACLE["token_set_pairs"] = pair_query("t AS score")
 ORACLE["partial_pairs"] = pair_query("p AS score")
 ORACLE["score_pairs"] = pair_query(f"score, {confidence('score')} AS confidence")
+ORACLE["sql_fuzzy_score"] = pair_query(
+    f"score, {confidence('score')} AS confidence, t AS token_set, CAST(len({tokens('b')}) AS INTEGER) AS tokens"
+)
 
 
 def best_match(source: str, target: str) -> str:
@@ -450,6 +457,33 @@ SELECT *, {rate("with_entities", "processed")} AS success_rate,
   {rate("processed", "(processed + errors)")} AS ok_rate FROM n"""
 ORACLE["primary_location"] = f"WITH {ENTITIES}, {LOCATION} SELECT doc_id, location FROM located"
 ORACLE["location_from_json"] = ORACLE["primary_location"]
+ORACLE["location_from_objects"] = f"""
+WITH w AS (SELECT doc_id, lang, regexp_extract_all(text, '\\p{{L}}+') AS w FROM documents),
+named AS (
+  SELECT doc_id, coalesce(w[k.i], '') AS word, k.nr FROM w, (VALUES (1, 1), (2, 2), (4, 3), (5, 4)) k(i, nr)
+  WHERE lang IN ('en', 'de')),
+place AS (
+  SELECT doc_id, word, row_number() OVER (PARTITION BY doc_id ORDER BY length(word) DESC, nr) AS rank FROM named
+  WHERE length(word) >= 4 AND lower(word) NOT IN ({", ".join(text(x) for x in SKIP_WORDS)}))
+SELECT d.doc_id, coalesce(p.word, '') AS location FROM documents d LEFT JOIN place p ON p.doc_id = d.doc_id AND p.rank = 1"""
+ORACLE["entities_merged_pieces"] = """
+WITH w AS (SELECT doc_id, regexp_extract_all(text, '\\p{L}+') AS w FROM documents),
+token AS (SELECT doc_id, unnest(w) AS t, generate_subscripts(w, 1) - 1 AS pos FROM w),
+placed AS (
+  SELECT *, coalesce(sum(length(t) + 1) OVER (PARTITION BY doc_id ORDER BY pos ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0) AS at_
+  FROM token),
+long AS (
+  SELECT doc_id, pos, t, at_, CASE WHEN lower(t[1]) IN ('a', 'e', 'i', 'o', 'u') THEN 'LOC' ELSE 'PER' END AS kind,
+    1 + (length(t) - 1) // 4 AS pieces
+  FROM placed WHERE length(t) >= 8),
+flagged AS (
+  SELECT *, CASE WHEN pos % 7 <> 0 AND lag(kind) OVER o = kind AND at_ - (lag(at_ + length(t)) OVER o) <= 1 THEN 0 ELSE 1 END AS fresh
+  FROM long WINDOW o AS (PARTITION BY doc_id ORDER BY pos)),
+islands AS (SELECT *, sum(fresh) OVER (PARTITION BY doc_id ORDER BY pos) AS span FROM flagged)
+SELECT doc_id, string_agg(t, ' ' ORDER BY pos) AS word, kind AS entity_group,
+  round(sum(list_sum(list_transform(range(1, pieces + 1), lambda k: 1.0::DOUBLE / k))) / sum(pieces), 6) AS score,
+  CAST(min(at_) AS BIGINT) AS start, CAST(max(at_ + length(t)) AS BIGINT) AS "end"
+FROM islands GROUP BY doc_id, span, kind"""
 ORACLE["location_top15"] = f"""
 WITH {ENTITIES}, {LOCATION}, n AS (SELECT location, count(*) AS n FROM located GROUP BY location)
 SELECT location, n, {percent("n", "(SELECT count(*) FROM located)")} AS percent
@@ -707,6 +741,7 @@ ORACLE["roundtrip_csv"] = """
 SELECT p_partkey, p_name, p_brand, p_type, CAST(p_size AS BIGINT) AS p_size, p_retailprice FROM part"""
 ORACLE["roundtrip_csv_texts"] = "SELECT * FROM documents"
 ORACLE["roundtrip_json"] = ORACLE["roundtrip_csv"]
+ORACLE["roundtrip_json_array"] = ORACLE["roundtrip_csv"]
 ORACLE["roundtrip_jsonl"] = "SELECT * FROM conversations"
 ORACLE["roundtrip_parquet"] = "SELECT * FROM part"
 ORACLE["nested_csv"] = f"""

@@ -3,12 +3,15 @@
 from __future__ import annotations
 
 import logging
+from collections.abc import Sequence
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from linkloom.operators.validate import drop_invalid
+from linkloom.sources import records
+from linkloom.sources.scratch import new_path
 
 log = logging.getLogger(__name__)
 
@@ -21,7 +24,8 @@ NA_VALUES = [
 
 
 def _blank_to_null(name: str) -> Column:
-    return F.when(F.col(name).isin(NA_VALUES), None).otherwise(F.col(name)).alias(name)
+    value = F.col(f"`{name}`")
+    return F.when(value.isin(NA_VALUES), None).otherwise(value).alias(name)
 
 
 def infer_types(df: DataFrame) -> DataFrame:
@@ -33,7 +37,7 @@ def infer_types(df: DataFrame) -> DataFrame:
     candidates = ("bigint", "double", "boolean")
 
     def fits(name: str, kind: str) -> Column:
-        value = F.col(name)
+        value = F.col(f"`{name}`")
         if kind == "boolean":
             good = F.lower(value).isin("true", "false")
         elif kind == "bigint":
@@ -43,7 +47,7 @@ def infer_types(df: DataFrame) -> DataFrame:
         return F.bool_and(value.isNull() | good).alias(f"{name}|{kind}")
 
     checks = [fits(n, k) for n in names for k in candidates]
-    filled = [F.count(n).alias(f"{n}|filled") for n in names]
+    filled = [F.count(f"`{n}`").alias(f"{n}|filled") for n in names]
     if not checks:
         return df
     found = df.agg(*checks, *filled).first()
@@ -51,8 +55,15 @@ def infer_types(df: DataFrame) -> DataFrame:
     for name in names:
         kind = next((k for k in candidates if found[f"{name}|{k}"]), None)
         if kind and found[f"{name}|filled"]:
-            casts[name] = F.trim(F.col(name)).cast(kind)
-    return df.withColumns(casts) if casts else df
+            casts[name] = F.trim(F.col(f"`{name}`")).cast(kind).alias(name)
+    return df.select([casts.get(c, F.col(f"`{c}`")) for c in df.columns])
+
+
+CSV_OPTIONS = {"quote": '"', "escape": '"', "ignoreLeadingWhiteSpace": "false", "ignoreTrailingWhiteSpace": "false"}
+
+
+def _text_schema(names: Sequence[str]) -> str:
+    return ", ".join(f"`{n.replace('`', '``')}` string" for n in names)
 
 
 def read_csv(
@@ -60,36 +71,46 @@ def read_csv(
 ) -> DataFrame:
     """CSV with a header; quoted line breaks are kept and NA markers become null.
 
-    Give a ``schema`` to skip the pass that infers the column types. A file that
-    may hold quoted line breaks is read by one task; for large files without
-    them set ``multi_line=False``, which lets Spark split the files.
+    A file is read in splits however large it is. Where quoted values may hold
+    line breaks, a first pass finds out which splits begin inside one (``records``);
+    ``multi_line=False`` saves that pass for files without any. Give a ``schema``
+    to skip the pass that infers the column types.
     """
-    reader = (
-        spark.read.option("header", True)
-        .option("multiLine", multi_line)
-        .option("quote", '"')
-        .option("escape", '"')
-        .option("ignoreLeadingWhiteSpace", False)
-        .option("ignoreTrailingWhiteSpace", False)
-    )
-    if schema is not None:
-        text = T.StructType([T.StructField(f.name, T.StringType()) for f in schema])
-        raw = reader.schema(text).csv(path)
-        raw = raw.select([_blank_to_null(c) for c in raw.columns])
-        return raw.select([F.col(f.name).cast(f.dataType).alias(f.name) for f in schema])
-    raw = reader.csv(path)
-    return infer_types(raw.select([_blank_to_null(c) for c in raw.columns]))
-
-
-def _is_json_array(spark: SparkSession, path: str) -> bool:
-    first = spark.read.text(path).where(F.trim("value") != "").limit(1).collect()
-    return bool(first) and first[0][0].lstrip().startswith("[")
+    reader = spark.read.options(**CSV_OPTIONS).option("header", True)
+    names = [f.name for f in schema] if schema is not None else reader.csv(path).columns
+    if multi_line:
+        scan = records.pieces(spark, path, records.CsvLines.separator)
+        layout = records.CsvLines()
+        found = records.records(scan, layout, records.summed(scan, layout))
+        # The first record of a file is its header.
+        body = found.where("start > 0 or nr > 0")
+        raw = body.select(F.from_csv("text", _text_schema(names), CSV_OPTIONS).alias("record")).select("record.*")
+    else:
+        raw = reader.schema(_text_schema(names)).csv(path)
+    raw = raw.select([_blank_to_null(c) for c in raw.columns])
+    if schema is None:
+        return infer_types(raw)
+    return raw.select([F.col(f"`{f.name}`").cast(f.dataType).alias(f.name) for f in schema])
 
 
 def read_json(spark: SparkSession, path: str, schema: T.StructType | None = None) -> DataFrame:
-    """A JSON array of records, or JSON lines as the writer leaves them."""
+    """JSON arrays of records or JSON lines, told apart file by file.
+
+    Arrays are read in splits however large they are, and written as JSON lines to
+    a scratch table, from where Spark's own reader takes them with the other files.
+    """
+    layout = records.JsonArrayParts()
+    scan = records.pieces(spark, path, layout.separator)
+    splits = records.summed(scan, layout)
+    lines = frozenset(file for file, first in splits.first_of.items() if first != "[")
     reader = spark.read if schema is None else spark.read.schema(schema)
-    return reader.option("multiLine", _is_json_array(spark, path)).json(path)
+    if len(lines) == len(splits.first_of):
+        return reader.json(path)
+    # Line breaks inside strings are escaped, so those that are left separate tokens only.
+    found = records.records(scan, layout, splits, lines)
+    place = new_path(spark, "json-lines")
+    found.select(F.translate("text", "\r\n", "  ").alias("value")).write.text(place)
+    return reader.json([place, *sorted(lines)])
 
 
 def read_jsonl(spark: SparkSession, path: str, schema: T.StructType | None = None) -> DataFrame:

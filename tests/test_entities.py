@@ -164,3 +164,19 @@ def test_two_kinds_of_one_surface_are_both_found(spark):
     want = {("Paris", "LOC", 0.9, 0), ("Paris", "PER", 0.6, 0), ("St Denis", "LOC", 0.8, 2)}
     assert {(e.word, e.entity_group, e.score, e.pos) for e in inline[0].entities} == want
     assert {(r.word, r.entity_group, r.score, r.pos) for r in long} == want
+
+
+def test_merge_pieces(spark):
+    rows = [
+        (1, 0, 4, "Tbil", "B-LOC", 0.9), (1, 4, 8, "##isi", "I-LOC", 0.7), (1, 9, 12, "Sea", "I-LOC", 0.8),
+        (1, 13, 16, "Ann", "PER", 0.5), (1, 20, 23, "Bob", "PER", 0.5), (1, 24, 27, "Eve", "B-PER", 0.4),
+        (2, 0, 3, "##tail", "LOC", 1.0), (2, 90, 93, "##er", "LOC", 0.5), (2, 94, 96, "A", "ORG", 0.1),
+        (None, 0, 1, "x", "ORG", 0.3),
+    ]
+    pieces = spark.createDataFrame(rows, "doc int, start int, end int, word string, entity_group string, score double")
+    got = {(r.doc, r.word, r.entity_group, round(r.score, 6), r.start, r.end) for r in E.merge_pieces(pieces, "doc").collect()}
+    assert got == {
+        (1, "Tbilisi Sea", "LOC", 0.8, 0, 12), (1, "Ann", "PER", 0.5, 13, 16), (1, "Bob", "PER", 0.5, 20, 23),
+        (1, "Eve", "PER", 0.4, 24, 27), (2, "tailer", "LOC", 0.75, 0, 93), (2, "A", "ORG", 0.1, 94, 96),
+        (None, "x", "ORG", 0.3, 0, 1),
+    }

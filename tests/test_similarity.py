@@ -116,3 +116,17 @@ def test_token_sets_equal_brute_force():
     want = [brute.token_set(names[a], names[::-1][b]) for a, b in zip(i, j)]
     assert sets.compare(i, j).tolist() == want
     assert S.TokenSets([], []).compare(np.empty(0, int), np.empty(0, int)).tolist() == []
+
+
+def test_functions_in_sql(spark):
+    from linkloom.functions import sql
+
+    names = sql.register(spark, high=80.0)
+    assert {"name_normalize", "name_tokens", "fuzzy_score", "match_confidence"} <= set(names)
+    texts = [" Щит Ёлки! ", "Straße № 5", "ǅ Œuvre", None, "  ", "don't\tstop", "ქართული", "Ωmega"]
+    df = spark.createDataFrame([(t,) for t in texts], "t string")
+    got = spark.sql("SELECT t, name_normalize(t) AS n, name_tokens(name_normalize(t)) AS k FROM {df}", df=df).collect()
+    want = df.select(N.normalize_name(F.col("t")).alias("n"), N.name_tokens(N.normalize_name(F.col("t"))).alias("k")).collect()
+    assert [(r.n, r.k) for r in got] == [(r.n, r.k) for r in want]
+    row = spark.sql("SELECT fuzzy_score('old town', 'town old') s, match_confidence(85D) c, match_confidence(null) d").first()
+    assert row.s == brute.score("old town", "town old") and row.c == "high" and row.d is None

@@ -235,3 +235,26 @@ def test_row_level_work_also_runs_on_a_stream(spark, wide, tmp_path):
     task.processAllAvailable()
     task.stop()
     assert spark.table("enriched").count() == 5
+
+
+# --- positions ---------------------------------------------------------------------------
+
+
+def test_row_at(spark):
+    df = spark.createDataFrame([(k, str(k % 3)) for k in range(200)], "id int, x string")
+    index = R.position_index(df, ["x", "id"], 7)
+    order = sorted((str(k % 3), k) for k in range(200))
+    for at in (0, 1, 66, 67, 133, 199, -1, -200):
+        assert [(r.x, r.id) for r in R.row_at(spark, index, at).collect()] == [order[at]]
+    assert R.row_at(spark, index, 5).columns == ["id", "x"]
+    assert len(R.row_at(spark, index, 100).inputFiles()) < 7
+    for at in (200, -201):
+        with pytest.raises(IndexError):
+            R.row_at(spark, index, at)
+    with pytest.raises(IndexError):
+        R.row_at(spark, R.position_index(df.where("id < 0"), ["id"]), 0)
+
+
+def test_head(spark):
+    df = spark.createDataFrame([(3,), (1,), (2,)], "id int")
+    assert [r.id for r in R.head(df, 2, ["id"]).collect()] == [1, 2]
