@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from collections.abc import Callable, Iterable
+from collections.abc import Callable, Iterable, Mapping
 
 from pyspark.sql import Column
 from pyspark.sql import functions as F
@@ -68,16 +68,33 @@ def by_word_count(phrases: Iterable[str]) -> dict[int, list[str]]:
     return dict(sorted(groups.items()))
 
 
-def phrase_at(tokens: str, phrases: list[str], words_each: int) -> str:
-    """SQL for the phrase that starts at token ``t``, index ``i``, or null if none can.
+def phrase_spots(tokens: str, language: str, phrases: Mapping[str, Iterable[str]]) -> str:
+    """SQL for the places in a word list where a phrase of its language may begin: ``array<struct<pos, run>>``.
 
-    A phrase is put together only where its first word occurs.
+    ``run`` holds the word there and as many after it as the longest phrase of the
+    language has. Only the first words of phrases are compared, without regard to
+    case, so this is the one pass over the words that all lexicons share.
     """
-    if words_each == 1:
-        return f"IF(t IN ({sql_list(phrases)}), t, NULL)"
-    firsts = dict.fromkeys(p.split()[0] for p in phrases)
-    joined = f"array_join(slice({tokens}, i + 1, {words_each}), ' ')"
-    return f"IF(t IN ({sql_list(firsts)}), {joined}, NULL)"
+    cases = []
+    for lang, found in phrases.items():
+        sizes = by_word_count(found)
+        firsts = dict.fromkeys(p.split()[0].lower() for sized in sizes.values() for p in sized if p.split())
+        if firsts:
+            run = f"slice({tokens}, i + 1, {max(sizes)})"
+            here = f"IF(lower(t) IN ({sql_list(firsts)}), named_struct('pos', i, 'run', {run}), NULL)"
+            cases.append(f"WHEN {sql_text(lang)} THEN filter(transform({tokens}, (t, i) -> {here}), e -> e IS NOT NULL)")
+    return f"CASE {language} {' '.join(cases)} END" if cases else "NULL"
+
+
+def phrases_at(spots: str, phrases: Iterable[str], lower: bool) -> str:
+    """SQL for ``array<struct<pos, word>>``: the phrases found at ``spots``, phrases of fewer words first."""
+    parts = []
+    for n, sized in by_word_count(phrases).items():
+        if n:
+            joined = f"array_join(slice(e.run, 1, {n}), ' ')"
+            placed = f"transform({spots}, e -> named_struct('pos', e.pos, 'word', {f'lower({joined})' if lower else joined}))"
+            parts.append(f"filter({placed}, e -> e.word IN ({sql_list(sized)}))")
+    return f"concat({', '.join(parts)})" if parts else "array()"
 
 
 def text_length(col: Column) -> Column:

@@ -16,15 +16,13 @@ from pyspark.sql import functions as F
 
 from linkloom.functions.entities import ENTITY_TYPE, entity_record
 from linkloom.functions.text import (
-    by_word_count,
     grams,
     is_missing,
-    phrase_at,
-    sql_list,
+    phrases_at,
     sql_text,
     words,
 )
-from linkloom.operators.labels import longest_phrase
+from linkloom.operators.labels import longest_phrase, with_spots
 
 
 @dataclass(frozen=True)
@@ -50,22 +48,21 @@ def _spelling(surface: str) -> str:
     return " ".join(re.findall(r"[^\W\d_]+", surface))
 
 
-def _dictionary_hits(surfaces: Sequence[Surface]) -> str:
-    """SQL for the gazetteer entries found in ``_tokens``, in text order."""
+def gazetteer_phrases(gazetteer: Mapping[str, Sequence[Surface]]) -> dict[str, list[str]]:
+    """The surface forms of each language, in the words the tokenizer sees."""
+    found = {lang: list(dict.fromkeys(_spelling(s.text) for s in surfaces)) for lang, surfaces in gazetteer.items()}
+    return {lang: spelled for lang, spelled in found.items() if spelled}
+
+
+def _dictionary_hits(surfaces: Sequence[Surface], spots: str) -> str:
+    """SQL for the gazetteer entries found at ``spots``, in text order."""
     known: dict[str, list[Surface]] = {}
     for surface in surfaces:
         known.setdefault(_spelling(surface.text), []).append(surface)
     kinds = ", ".join(
         f"{sql_text(k)}, array({', '.join(_kind(s) for s in dict.fromkeys(found))})" for k, found in known.items()
     )
-    parts = []
-    for n, sized in by_word_count(known).items():
-        word = phrase_at("_tokens", sized, n)
-        placed = f"transform(_tokens, (t, i) -> named_struct('pos', i, 'word', {word}))"
-        if n == 1:
-            placed = f"transform(_tokens, (t, i) -> IF(t IN ({sql_list(sized)}), named_struct('pos', i, 'word', t), NULL))"
-        parts.append(f"filter({placed}, e -> e.word IN ({sql_list(sized)}))")
-    ordered = f"array_sort(concat({', '.join(parts)}))"
+    ordered = f"array_sort({phrases_at(spots, known, False)})"
     return (
         f"flatten(transform({ordered}, e -> transform(map({kinds})[e.word], k -> named_struct('word', e.word,"
         f" 'entity_group', k.kind, 'score', k.score, 'pos', e.pos))))"
@@ -96,9 +93,12 @@ def extract_entities(
     gazetteer: Mapping[str, Sequence[Surface]],
     patterns: Sequence[Pattern] = (),
     output: str = "entities",
+    spots: str | None = None,
 ) -> DataFrame:
     """Add ``array<struct<word, entity_group, score, pos>>`` in text order.
 
+    ``spots`` is as for :func:`linkloom.operators.labels.with_evidence`.
+
     ``pos`` is the index of the first word of a dictionary entity. Pattern
     entities follow, in the order found, without a word index. Missing texts
     and languages without a gazetteer get an empty array.
@@ -110,17 +110,17 @@ def extract_entities(
     empty = F.array().cast(ENTITY_TYPE)
     if not known:
         return df.withColumn(output, empty)
-    hits = " ".join(f"WHEN {sql_text(x)} THEN {_dictionary_hits(found)}" for x, found in known.items())
-    extra = [_pattern_hits(F.col(text), p).cast(ENTITY_TYPE) for p in patterns]
+    if spots is None:
+        own = with_spots(df, text, language, gazetteer_phrases(known), "_spots")
+        return extract_entities(own, text, language, gazetteer, patterns, output, "_spots").drop("_spots")
+    hits = " ".join(f"WHEN {sql_text(x)} THEN {_dictionary_hits(found, spots)}" for x, found in known.items())
     usable = language.isin(list(known)) & ~is_missing(F.col(text))
+    extra = [F.when(usable, _pattern_hits(F.col(text), p)).cast(ENTITY_TYPE) for p in patterns]
     return (
-        df.withColumns({"_lang": language, "_tokens": F.when(usable, words(F.col(text)))})
-        .withColumn(
-            "_hits",
-            F.expr(f"IF(_tokens IS NULL, NULL, CASE _lang {hits} END)").cast(ENTITY_TYPE),
-        )
+        df.withColumn("_lang", language)
+        .withColumn("_hits", F.expr(f"IF({spots} IS NULL, NULL, CASE _lang {hits} END)").cast(ENTITY_TYPE))
         .withColumn(output, F.coalesce(F.concat("_hits", *extra), empty))
-        .drop("_lang", "_tokens", "_hits")
+        .drop("_lang", "_hits")
     )
 
 
@@ -132,9 +132,10 @@ def add_entity_record(
     patterns: Sequence[Pattern] = (),
     output: str = "ner_entities",
     min_score: float = 0.5,
+    spots: str | None = None,
 ) -> DataFrame:
     """Add the four-list entity record of each text."""
-    found = extract_entities(df, text, language, gazetteer, patterns, "_entities")
+    found = extract_entities(df, text, language, gazetteer, patterns, "_entities", spots)
     return found.withColumn(output, entity_record(F.col("_entities"), min_score)).drop("_entities")
 
 

@@ -17,10 +17,10 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from linkloom.functions.text import (
-    by_word_count,
     grams,
     is_missing,
-    phrase_at,
+    phrase_spots,
+    phrases_at,
     sql_list,
     sql_text,
     words,
@@ -60,19 +60,6 @@ def _terms(labels: Sequence[Label]) -> list[str]:
     return list(dict.fromkeys(t for label in labels for t in label.terms))
 
 
-def _term_hits(terms: Sequence[str]) -> str:
-    """SQL for the occurrences of ``terms`` in ``_tokens``, as a short array of the terms found."""
-    parts = []
-    for n, sized in by_word_count(terms).items():
-        listed = sql_list(sized)
-        if n == 1:
-            parts.append(f"filter(_tokens, t -> t IN ({listed}))")
-        else:
-            found = f"transform(_tokens, (t, i) -> {phrase_at('_tokens', sized, n)})"
-            parts.append(f"filter({found}, g -> g IN ({listed}))")
-    return f"concat({', '.join(parts)})" if parts else "array()"
-
-
 def _raw(label: Label) -> str:
     """SQL for the weighted number of ``_hits`` that speak for a label."""
     by_weight: dict[float, list[str]] = {}
@@ -86,6 +73,26 @@ def _raw(label: Label) -> str:
 
 
 EVIDENCE_TYPE = "array<struct<raw:double,pos:int,label:string>>"
+SPOTS_TYPE = "array<struct<pos:int,run:array<string>>>"
+
+
+def lexicon_phrases(lexicon: Lexicon) -> dict[str, list[str]]:
+    """The terms of each language."""
+    return {lang: _terms(labels) for lang, labels in lexicon.items() if labels}
+
+
+def with_spots(
+    df: DataFrame, text: str, language: str | Column, phrases: Mapping[str, Sequence[str]], output: str
+) -> DataFrame:
+    """Add the places where a phrase may begin, for all steps that look for phrases in ``text``.
+
+    Null where the text is missing or its language has no phrases.
+    """
+    language = F.col(language) if isinstance(language, str) else language
+    usable = language.isin(list(phrases)) & ~is_missing(F.col(text))
+    tokens = df.withColumns({"_lang": language, "_tokens": F.when(usable, words(F.col(text)))})
+    found = F.expr(f"IF(_tokens IS NULL, NULL, {phrase_spots('_tokens', '_lang', phrases)})").cast(SPOTS_TYPE)
+    return tokens.withColumn(output, found).drop("_lang", "_tokens")
 
 
 def with_evidence(
@@ -94,11 +101,14 @@ def with_evidence(
     language: str | Column,
     lexicon: Lexicon,
     output: str = "evidence",
+    spots: str | None = None,
 ) -> DataFrame:
     """Add the raw score of every candidate label, in candidate order.
 
     ``language`` is a column name or a literal column. Missing texts and
-    languages without labels get an empty array.
+    languages without labels get an empty array. ``spots`` names a column that
+    ``with_spots`` made with these phrases among others; without it the words of
+    the text are looked through here.
     """
     if text not in df.columns:
         raise ValueError(f"column {text} not found")
@@ -107,6 +117,9 @@ def with_evidence(
     known = {lang: labels for lang, labels in lexicon.items() if labels}
     if not known:
         return df.withColumn(output, empty)
+    if spots is None:
+        own = with_spots(df, text, language, lexicon_phrases(lexicon), "_spots")
+        return with_evidence(own, text, language, lexicon, output, "_spots").drop("_spots")
 
     # One SQL text per expression: a lexicon of many terms would otherwise take
     # thousands of calls to assemble.
@@ -116,22 +129,16 @@ def with_evidence(
             f"named_struct('raw', {_raw(label)}, 'pos', {pos}, 'label', {sql_text(label.name)})"
             for pos, label in enumerate(labels, 1)
         ]
-        hits.append(f"WHEN {sql_text(lang)} THEN {_term_hits(_terms(labels))}")
+        hits.append(f"WHEN {sql_text(lang)} THEN transform({phrases_at(spots, _terms(labels), True)}, e -> e.word)")
         raw.append(f"WHEN {sql_text(lang)} THEN array({', '.join(entries)})")
-    usable = language.isin(list(known)) & ~is_missing(F.col(text))
     return (
-        df.withColumns(
-            {
-                "_lang": language,
-                "_tokens": F.when(usable, words(F.lower(F.col(text)))),
-            }
-        )
-        .withColumn("_hits", F.expr(f"IF(_tokens IS NULL, NULL, CASE _lang {' '.join(hits)} END)"))
+        df.withColumn("_lang", language)
+        .withColumn("_hits", F.expr(f"IF({spots} IS NULL, NULL, CASE _lang {' '.join(hits)} END)").cast("array<string>"))
         .withColumn(
             output,
             F.coalesce(F.expr(f"IF(_hits IS NULL, NULL, CASE _lang {' '.join(raw)} END)"), empty),
         )
-        .drop("_lang", "_tokens", "_hits")
+        .drop("_lang", "_hits")
     )
 
 
@@ -197,9 +204,10 @@ def classify(
     output: str = "category",
     top_k: int = 1,
     evidence_only: bool = True,
+    spots: str | None = None,
 ) -> DataFrame:
     """Add the best category (``top_k=1``: a string or null) or an array of the best ones."""
-    scored = with_evidence(df, text, language, lexicon, "_evidence")
+    scored = with_evidence(df, text, language, lexicon, "_evidence", spots)
     best = top_labels(F.col("_evidence"), top_k, evidence_only)
     return scored.withColumn(output, F.try_element_at(best, F.lit(1)) if top_k == 1 else best).drop(
         "_evidence"
@@ -214,9 +222,10 @@ def tag(
     output: str = "tags",
     top_k: int = 5,
     evidence_only: bool = True,
+    spots: str | None = None,
 ) -> DataFrame:
     """Add the best ``top_k`` tags as an array, best first."""
-    scored = with_evidence(df, text, language, lexicon, "_evidence")
+    scored = with_evidence(df, text, language, lexicon, "_evidence", spots)
     return scored.withColumn(output, top_labels(F.col("_evidence"), top_k, evidence_only)).drop("_evidence")
 
 
@@ -229,7 +238,8 @@ def term_counts(df: DataFrame, key: str, text: str, language: str, max_words: in
     Counting happens before any shuffle of consequence: all words of a text are
     in one task, so partial aggregation already yields one row per run.
     """
-    usable = df.where(~is_missing(F.col(text))).withColumn("_tokens", words(F.lower(F.col(text))))
+    lowered = F.transform(words(F.col(text)), lambda t: F.lower(t))
+    usable = df.where(~is_missing(F.col(text))).withColumn("_tokens", lowered)
     runs = F.concat(*[grams(F.col("_tokens"), n) for n in range(1, max_words + 1)])
     tokens = usable.select(key, F.col(language).alias("language"), F.explode(runs).alias("term"))
     return tokens.groupBy(key, "language", "term").agg(F.count("*").alias("n"))
@@ -255,6 +265,51 @@ def lexicon_scores(df: DataFrame, key: str, text: str, language: str, lexicon: D
     )
 
 
+def rank_labels(
+    df: DataFrame,
+    key: str,
+    text: str,
+    language: str,
+    lexicon: DataFrame,
+    top_k: int = 3,
+    evidence_only: bool = True,
+) -> DataFrame:
+    """``key, language, rank, label, raw, score``: as :func:`top_labels_with_scores`, from a lexicon table.
+
+    The table has ``language, label, pos, term, weight``; ``pos`` is the candidate
+    position of the label, from 1, without gaps. A text meets only the labels that it has terms of.
+    All others have the same raw score, 0, so their part of the softmax is their
+    number times one weight, and the ones that can be among the best are the first
+    of them: they are told from their positions, without a row per text and label.
+    ``key`` tells the rows of ``df`` apart.
+    """
+    labels = lexicon.select("language", "pos", "label").distinct()
+    totals = labels.groupBy("language").agg(F.count("*").cast("int").alias("_labels"))
+    hits = term_counts(df, key, text, language, longest_phrase(lexicon, "term"))
+    seen = hits.join(lexicon, ["language", "term"]).groupBy(key, "language", "pos").agg(
+        F.sum(F.col("n") * F.col("weight")).alias("raw")
+    )
+    seen = seen.groupBy(key).agg(F.collect_list(F.struct("raw", F.col("pos").cast("int").alias("pos"))).alias("_seen"))
+    usable = df.where(~is_missing(F.col(text))).select(key, F.col(language).alias("language"))
+    rows = usable.join(totals, "language").join(seen, key, "left")
+    rows = rows.withColumn("_seen", F.coalesce("_seen", F.array().cast("array<struct<raw:double,pos:int>>")))
+    places = F.transform("_seen", lambda e: e["pos"])
+    first = F.sequence(F.lit(1), F.least(F.col("_labels"), F.size("_seen") + top_k))
+    others = F.transform(F.array_except(first, places), lambda p: F.struct(F.lit(0.0).alias("raw"), p.alias("pos")))
+    unseen = F.col("_labels") - F.size("_seen")
+    top = F.coalesce(F.array_max(F.transform("_seen", lambda e: e["raw"])), F.lit(0.0))
+    rows = rows.withColumn("_top", F.when(unseen > 0, F.greatest(top, F.lit(0.0))).otherwise(top))
+    mass = F.aggregate("_seen", unseen * F.exp(-F.col("_top")), lambda sum_, e: sum_ + F.exp(e["raw"] - F.col("_top")))
+    rows = rows.withColumn("_mass", mass).withColumn("_all", F.concat("_seen", others))
+    kept = F.filter("_all", lambda e: e["raw"] > 0) if evidence_only else F.col("_all")
+    ordered = F.array_sort(F.transform(kept, lambda e: F.struct((-e["raw"]).alias("loss"), e["pos"].alias("pos"))))
+    best = rows.select(key, "language", "_top", "_mass", F.posexplode(F.slice(ordered, 1, top_k)).alias("nr", "e"))
+    named = best.withColumn("pos", F.col("e.pos")).join(labels, ["language", "pos"])
+    raw = -F.col("e.loss")
+    score = F.exp(raw - F.col("_top")) / F.col("_mass")
+    return named.select(key, "language", (F.col("nr") + 1).alias("rank"), "label", raw.alias("raw"), score.alias("score"))
+
+
 def top_by_score(
     scores: DataFrame, key: str, top_k: int, score: str = "raw", tie: str = "label"
 ) -> DataFrame:

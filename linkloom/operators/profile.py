@@ -241,14 +241,33 @@ def category_entropy(df: DataFrame, category: str, by: Sequence[str] = ()) -> Da
 def quality_metrics(
     df: DataFrame, text: str, entities: str, tags: str, category: str, min_length: int = LONG_TEXT
 ) -> DataFrame:
-    """Average entities and tags per row, long texts and category entropy."""
-    averages = df.agg(
-        F.coalesce(F.avg(entity_total(df, entities)), F.lit(0.0)).alias("avg_entities"),
-        F.coalesce(F.avg(list_size(tags)), F.lit(0.0)).alias("avg_tags"),
-        F.count_if(text_length(F.col(text)) >= min_length).alias("good_descriptions"),
+    """Average entities and tags per row, long texts and category entropy.
+
+    One pass sums per category; averages and entropy follow from those few rows.
+    """
+    cells = df.groupBy(F.col(category).alias("category")).agg(
+        F.count("*").alias("n"),
+        F.sum(entity_total(df, entities)).alias("entities"),
+        F.sum(list_size(tags)).alias("tags"),
+        F.count_if(text_length(F.col(text)) >= min_length).alias("long"),
+    )
+    named = F.when(F.col("category").isNotNull() & (F.col("category") != ""), F.col("n"))
+    sums = cells.withColumn("named", named).agg(
+        F.sum("n").alias("rows"),
+        F.sum("entities").alias("entities"),
+        F.sum("tags").alias("tags"),
+        F.coalesce(F.sum("long"), F.lit(0)).alias("long"),
+        F.sum("named").alias("named"),
+        F.sum(F.col("named") * F.log("named")).alias("weighted"),
+    )
+    # Entropy of shares n / N: log N minus the mean of log n.
+    entropy = F.log("named") - F.col("weighted") / F.col("named")
+    return sums.select(
+        F.coalesce(F.col("entities") / F.col("rows"), F.lit(0.0)).alias("avg_entities"),
+        F.coalesce(F.col("tags") / F.col("rows"), F.lit(0.0)).alias("avg_tags"),
+        F.col("long").alias("good_descriptions"),
+        F.coalesce(entropy, F.lit(0.0)).alias("category_entropy"),
     )
-    entropy = category_entropy(df, category).select("category_entropy").scalar()
-    return averages.withColumn("category_entropy", F.coalesce(entropy, F.lit(0.0)))
 
 
 def totals(

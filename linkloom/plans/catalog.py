@@ -278,6 +278,29 @@ def lexicon_table_scores(spark, folder):
     return L.top_by_score(scores, "doc_id", 3).select("doc_id", "rank", "label", "raw")
 
 
+def source_lexicon(spark, folder) -> DataFrame:
+    """A lexicon table over all languages: each source is a label, with two words and a pair of words of its texts."""
+    lowered = F.transform(L.words(F.col("text")), lambda t: F.lower(t))
+    words = table(spark, folder, "documents").select("lang", "source", lowered.alias("w")).where("size(w) > 1")
+    pair = F.concat_ws(" ", F.get("w", F.lit(0)), F.get("w", F.lit(1)))
+    terms = words.groupBy("lang", "source").agg(
+        F.min(F.array_min("w")).alias("first"), F.max(F.array_max("w")).alias("last"), F.min(pair).alias("pair")
+    )
+    place = F.row_number().over(Window.partitionBy("lang").orderBy("source"))
+    weighted = F.array(*[F.struct(F.col(c).alias("term"), F.lit(w).alias("weight")) for c, w in (("first", 1.0), ("last", 2.0), ("pair", 3.0))])
+    placed = terms.withColumn("pos", place)
+    rows = placed.select(F.col("lang").alias("language"), F.col("source").alias("label"), "pos", F.explode(weighted).alias("t"))
+    return rows.select("language", "label", "pos", "t.term", "t.weight").distinct()
+
+
+@query
+def lexicon_table_phrases(spark, folder):
+    """Labels ranked from a lexicon table, those without evidence included, in all languages."""
+    lexicon = source_lexicon(spark, folder)
+    ranked = L.rank_labels(texts(spark, folder), "doc_id", "text", "lang", lexicon, 3, evidence_only=False)
+    return ranked.select("doc_id", "rank", "label", "raw", F.round("score", 6).alias("score"))
+
+
 @query
 def centroid_labels(spark, folder):
     vectors = table(spark, folder, "embeddings")

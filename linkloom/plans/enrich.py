@@ -110,27 +110,40 @@ def _enrich_texts(
         if "ner" in config.models:
             found = modelled(x, "ner", "entities")
             return found.withColumn(name, entity_record(F.col("_found"), config.min_entity_score)).drop("_found")
-        return E.add_entity_record(x, text, language, config.gazetteer, config.patterns, name, config.min_entity_score)
+        found = config.gazetteer, config.patterns, name, config.min_entity_score
+        return E.add_entity_record(x, text, language, *found, spots=spots)
 
     def category(x: DataFrame) -> DataFrame:
         name = f"category{suffix}"
         if "category" in config.models:
             best = X.top_model_labels(F.col("_found"), 1)
             return modelled(x, "category", "labels").withColumn(name, F.try_element_at(best, F.lit(1))).drop("_found")
-        return L.classify(x, text, language, config.categories, name, evidence_only=config.evidence_only)
+        return L.classify(x, text, language, config.categories, name, 1, config.evidence_only, spots)
 
     def tags(x: DataFrame) -> DataFrame:
         name = f"tags{suffix}"
         if "tags" in config.models:
             best = X.top_model_labels(F.col("_found"), config.top_tags)
             return modelled(x, "tags", "labels").withColumn(name, best).drop("_found")
-        return L.tag(x, text, language, config.tags, name, config.top_tags, config.evidence_only)
+        return L.tag(x, text, language, config.tags, name, config.top_tags, config.evidence_only, spots)
 
     actions: dict[str, Callable[[DataFrame], DataFrame]] = {"ner": ner, "category": category, "tags": tags}
+    lexicons = {
+        "ner": E.gazetteer_phrases(config.gazetteer),
+        "category": L.lexicon_phrases(config.categories),
+        "tags": L.lexicon_phrases(config.tags),
+    }
+    # All steps without a model look at the same places, found in one pass over the words.
+    spots, wanted = f"_spots{suffix}", [s for s in steps if s in actions and s not in config.models]
+    phrases: dict[str, list[str]] = {}
+    for step in wanted:
+        for lang, found in lexicons[step].items():
+            phrases.setdefault(lang, []).extend(found)
+    df = L.with_spots(df, text, language, {x: list(dict.fromkeys(p)) for x, p in phrases.items()}, spots)
     for step in steps:
         if step in actions:
             df = df.transform(actions[step])
-    return df
+    return df.drop(spots)
 
 
 def enrich_language(df: DataFrame, language: str, config: Config, steps: Sequence[str]) -> DataFrame:

@@ -189,6 +189,34 @@ scores AS (
 ranked AS (
   SELECT *, row_number() OVER (PARTITION BY doc_id ORDER BY raw DESC, label) AS rank FROM scores)
 SELECT doc_id, rank, label, raw FROM ranked WHERE rank <= 3"""
+ORACLE["lexicon_table_phrases"] = """
+WITH tk AS (
+  SELECT doc_id, lang, source, text, list_transform(regexp_extract_all(text, '\\p{L}+'), lambda t: lower(t)) AS w
+  FROM documents),
+grams AS (
+  SELECT doc_id, lang, unnest(w) AS term FROM tk
+  UNION ALL
+  SELECT doc_id, lang, unnest(list_transform(range(1, len(w)), lambda i: w[i] || ' ' || w[i + 1])) FROM tk),
+made AS (
+  SELECT lang, source, min(list_min(w)) AS first, max(list_max(w)) AS last, min(w[1] || ' ' || w[2]) AS pair
+  FROM tk WHERE len(w) > 1 GROUP BY lang, source),
+label AS (SELECT lang, source, row_number() OVER (PARTITION BY lang ORDER BY source) AS pos FROM made),
+lexicon AS (
+  SELECT DISTINCT lang, source, term, weight FROM (
+    SELECT lang, source, first AS term, 1.0::DOUBLE AS weight FROM made
+    UNION ALL SELECT lang, source, last, 2.0 FROM made UNION ALL SELECT lang, source, pair, 3.0 FROM made) x),
+hits AS (
+  SELECT g.doc_id, x.source, sum(x.weight) AS raw FROM grams g JOIN lexicon x ON x.lang = g.lang AND x.term = g.term
+  GROUP BY g.doc_id, x.source),
+cell AS (
+  SELECT d.doc_id, l.source AS label, l.pos, coalesce(h.raw, 0.0) AS raw
+  FROM documents d JOIN label l ON l.lang = d.lang LEFT JOIN hits h ON h.doc_id = d.doc_id AND h.source = l.source
+  WHERE d.text IS NOT NULL AND d.text <> ''),
+ranked AS (
+  SELECT *, row_number() OVER (PARTITION BY doc_id ORDER BY raw DESC, pos) AS rank,
+    exp(raw - max(raw) OVER (PARTITION BY doc_id)) AS part FROM cell),
+scored AS (SELECT *, part / sum(part) OVER (PARTITION BY doc_id) AS score FROM ranked)
+SELECT doc_id, rank, label, raw, round(score, 6) AS score FROM scored WHERE rank <= 3"""
 ORACLE["centroid_labels"] = """
 WITH cells AS (
   SELECT vec_id, label, generate_subscripts(embedding, 1) AS dim, CAST(unnest(embedding) AS DOUBLE) AS cell

@@ -157,3 +157,44 @@ def test_centroids(spark):
     got = L.nearest_label(df, "id", "v", centres).collect()
     assert {r.id: r.label for r in got} == want
     assert all(abs(r.cosine) <= 1 + 1e-9 for r in got)
+
+
+def test_table_lexicon_ranks_as_an_inline_one(spark):
+    """Ties, labels without evidence, negative weights, missing texts and unknown languages."""
+    lexicon = {
+        "en": [L.Label("a", {"sea": 1.0}), L.Label("b", {"old town": 2.0, "sea": 1.0}), L.Label("c", {"fog": -1.0}), L.Label("d", {"x": 1.0})],
+        "ru": [L.Label("я", {"море": 0.5}), L.Label("а", {"море": 0.5})],
+    }
+    rows = [
+        (1, "en", "Sea, SEA and an old  town"), (2, "en", "nothing"), (3, "en", "fog fog"), (4, "ru", "Море"), (5, "ru", "ничего"),
+        (6, "en", None), (7, "en", ""), (8, "ka", "sea"), (9, "en", "x sea fog old town"), (10, None, "sea"), (11, "en", "123"),
+    ]
+    df = spark.createDataFrame(rows, "id int, lang string, text string")
+    table = spark.createDataFrame(
+        [(x, label.name, pos, t, w) for x, labels in lexicon.items() for pos, label in enumerate(labels, 1) for t, w in label.terms.items()],
+        "language string, label string, pos int, term string, weight double",
+    )
+    inline = L.with_evidence(df, "text", "lang", lexicon)
+    for only in (True, False):
+        for k in (1, 2, 5):
+            want = inline.select("id", L.top_labels_with_scores(F.col("evidence"), k, only).alias("top")).collect()
+            got = L.rank_labels(df, "id", "text", "lang", table, k, only).orderBy("id", "rank").collect()
+            found = {r.id: [] for r in want}
+            for r in got:
+                assert r.rank == len(found[r.id]) + 1
+                found[r.id].append((r.label, round(r.score, 9)))
+            assert found == {r.id: [(e.label, round(e.score, 9)) for e in r.top] for r in want}, (only, k)
+
+
+def test_one_pass_over_the_words_serves_all_steps(spark):
+    """The plan of the whole enrichment takes a text apart once."""
+    from linkloom.operators.entities import Surface
+    from linkloom.plans import enrich as N
+
+    config = N.Config(gazetteer={"en": [Surface("Old Town", "LOC", 0.9), Surface("Sea", "LOC", 0.8)]})
+    df = spark.createDataFrame([(1, "en", "The Old Town by the lake, Sea castle")], "id int, language string, description string")
+    done = N.enrich_long(df, config)
+    row = done.first()
+    assert row.ner.locations == ["Old Town", "Sea"] and row.tags == ["lake", "castle"] and row.location == "Old Town"
+    plan = done.select("ner", "category", "tags")._jdf.queryExecution().executedPlan().toString()
+    assert plan.count("regexp_extract_all(description") == 1
