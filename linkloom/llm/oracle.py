@@ -47,6 +47,57 @@ SELECT lang, source, part, item, value::BIGINT AS value, place::INTEGER AS rank
 WHERE part = 'pair' OR place <= 50
 """
 
+_RULES = {
+    "short": "n_words < 50",
+    "repetitive": "100 * n_repeat_words > 50 * n_words",
+    "symbols": "100 * n_symbols > 10 * word_chars",
+    "dup_lines": "100 * n_dup_lines > 30 * n_lines",
+}
+
+
+def _op6() -> str:
+    each = _RULES.items()
+    sums = ", ".join(f"sum(CASE WHEN {sql} THEN 1 ELSE 0 END)::DOUBLE AS {k}" for k, sql in each)
+    means = ", ".join(f"sum({k}) / sum(n) AS m_{k}, sum({k} * {k} / n) / sum(n) AS s_{k}" for k in _RULES)
+    between = ", ".join(f"s_{k} - m_{k} * m_{k} - m_{k} * (1 - m_{k}) * hosts / n_all AS b_{k}" for k in _RULES)
+    weights = ", ".join(
+        f"CASE WHEN b_{k} > 0 THEN least(greatest(m_{k} * (1 - m_{k}) / b_{k} - 1, 1.0), n_all) ELSE n_all END AS w_{k}" for k in _RULES
+    )
+    rates = ", ".join(f"({k} + m_{k} * w_{k}) / (n + w_{k}) AS r_{k}" for k in _RULES)
+    sure = ", ".join(f"r_{k} - 1.645::DOUBLE * sqrt(r_{k} * (1 - r_{k}) / (n + w_{k} + 1)) AS q_{k}" for k in _RULES)
+    bad = " OR ".join(f"q_{k} > m_{k} + 2.326::DOUBLE * sqrt(m_{k} * (1 - m_{k}) / (w_{k} + 1))" for k in _RULES)
+    suspect = ", ".join(f"q_{k} > m_{k} AS z_{k}" for k in _RULES)
+    tainted = " OR ".join(f"(z_{k} AND {sql})" for k, sql in each)
+    return rf"""
+WITH d AS (SELECT row_number() OVER () AS r, doc_id, source, coalesce(text, '') AS t FROM documents),
+split AS (SELECT r, doc_id, source, t, regexp_extract_all(t, '[^\x20\x09-\x0D]+') AS ws, string_split(t, chr(10)) AS ls FROM d),
+windows AS (
+  SELECT r, i, ws[i] || ' ' || ws[i + 1] || ' ' || ws[i + 2] AS g
+  FROM (SELECT r, ws, unnest(range(1, len(ws) - 1)) AS i FROM split WHERE len(ws) > 2) x),
+twice AS (SELECT r, g FROM windows GROUP BY r, g HAVING count(*) > 1),
+marked AS (
+  SELECT r, count(DISTINCT i + k) AS n FROM windows JOIN twice USING (r, g), (VALUES (0), (1), (2)) o(k) GROUP BY r),
+lines AS (SELECT r, unnest(ls) AS l FROM split),
+dups AS (SELECT r, count(*) - count(DISTINCT l) AS n FROM lines WHERE regexp_matches(l, '[^\x20\x09-\x0D]') GROUP BY r),
+counted AS (
+  SELECT s.r, doc_id, source, len(ws)::BIGINT AS n_words, length(array_to_string(ws, ''))::BIGINT AS word_chars,
+    len(regexp_extract_all(t, '[#*$%&|<>]'))::BIGINT AS n_symbols, coalesce(u.n, 0) AS n_dup_lines,
+    coalesce(m.n, 0) AS n_repeat_words, len(ls) AS n_lines
+  FROM split s LEFT JOIN dups u ON u.r = s.r LEFT JOIN marked m ON m.r = s.r),
+hosts AS (SELECT source, count(*)::DOUBLE AS n, {sums} FROM counted GROUP BY source),
+overall AS (SELECT sum(n) AS n_all, count(*)::DOUBLE AS hosts, {means} FROM hosts),
+spread AS (SELECT *, {between} FROM overall),
+prior AS (SELECT *, {weights} FROM spread),
+rated AS (SELECT h.*, p.*, {rates} FROM hosts h, prior p),
+certain AS (SELECT *, {sure} FROM rated),
+verdict AS (SELECT source, {bad} AS bad, {suspect} FROM certain)
+SELECT doc_id, n_words, word_chars, n_symbols, n_dup_lines, n_repeat_words,
+  ({_RULES["short"]}) OR ({_RULES["repetitive"]}) AS base_failed,
+  NOT (({_RULES["short"]}) OR ({_RULES["repetitive"]}) OR bad OR {tainted}) AS kept
+FROM counted c JOIN verdict v ON c.source IS NOT DISTINCT FROM v.source
+"""
+
+
 # CRC-32 of an ASCII string: one table-free step per bit.
 _CRC = """
 xor(list_reduce(list_concat([4294967295::BIGINT], list_transform(string_split({0}, ''), lambda x: ascii(x)::BIGINT)),
@@ -195,6 +246,7 @@ FROM split s LEFT JOIN told ON told.doc_id = s.doc_id
 
 
 ORACLE = {
+    "op6_quality_rules": _op6(),
     "op11_source_divergence": OP11,
     "op12_conversation_repair": OP12,
     "op13_license_scans": _op13(),

@@ -7,9 +7,12 @@ their rates, and its verdict is joined back as a small written table.
 
 from __future__ import annotations
 
+import math
 import re
 from collections.abc import Iterator
 from dataclasses import dataclass
+from functools import reduce
+from operator import or_
 
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame
@@ -52,15 +55,23 @@ class Rules:
 
     A document fails with fewer than ``min_words`` words or with more than
     ``max_repeat_percent`` of its words in repeated windows; these failures
-    reject it. Symbols and repeated lines are counted against its host only. A
-    host is rejected when the shrunk rate of any rule exceeds ``max_host_rate``.
+    reject it. Symbols and repeated lines alone don't.
+
+    A host's failures of a rule, with the fitted beta prior, give a posterior of
+    its rate. The host is rejected if that exceeds, with a certainty of
+    ``host_certainty`` standard deviations, the rate that ``host_quantile`` of them
+    above the prior's mean marks: a rate that hosts hardly have. It is suspect if
+    it exceeds the prior's mean so; then its documents that fail this rule are
+    rejected too. Both deviations are those of normal distributions with the
+    moments of the betas.
     """
 
     min_words: int = 50
     max_repeat_percent: int = 50
     max_symbol_percent: int = 10
     max_dup_line_percent: int = 30
-    max_host_rate: float = 0.9
+    host_quantile: float = 2.326
+    host_certainty: float = 1.645
 
     def failures(self) -> dict[str, Column]:
         return {
@@ -93,12 +104,12 @@ def count_words(docs: DataFrame, keep: list[str]) -> DataFrame:
 
 
 def host_rates(counted: DataFrame, host: str, rules: Rules) -> DataFrame:
-    """Per host and rule: documents, failures, shrunk rate; and the host's ``host_kept``.
+    """Per host and rule: documents, failures, shrunk rate, whether the host is suspect; and its ``host_kept``.
 
     The prior is fitted by moments to the hosts' rates, each weighted by its
-    documents: their mean, and their variance beyond what chance explains. Where hosts don't
-    differ beyond that, the prior is as heavy as all documents and every host
-    gets the common rate. Null is a host like any other.
+    documents: their mean, and their variance beyond what chance explains. Where
+    hosts don't differ beyond that, the prior is as heavy as all documents, every
+    host gets the common rate, and none is rejected. Null is a host like any other.
     """
     names = list(rules.failures())
     failed = counted.select(F.col(host).alias("host"), *[c.cast("long").alias(k) for k, c in rules.failures().items()])
@@ -111,7 +122,7 @@ def host_rates(counted: DataFrame, host: str, rules: Rules) -> DataFrame:
         *[F.sum(k).alias(k) for k in names],
         *[F.sum(F.col(k) * F.col(k) / F.col("n")).alias(f"{k}_squares") for k in names],
     ).first()
-    out = hosts
+    out, kept = hosts, F.lit(True)
     for k in names:
         n = total["n"] or 1
         mean = (total[k] or 0) / n
@@ -119,9 +130,30 @@ def host_rates(counted: DataFrame, host: str, rules: Rules) -> DataFrame:
         between = spread - mean * (1 - mean) * total["hosts"] / n
         weight = mean * (1 - mean) / between - 1 if between > 0 else float(n)
         weight = min(max(weight, 1.0), float(n))
-        out = out.withColumn(f"{k}_rate", (F.col(k) + mean * weight) / (F.col("n") + weight))
-    worst = F.greatest(*[F.col(f"{k}_rate") for k in names])
-    return out.withColumn("host_kept", worst <= rules.max_host_rate)
+        limit = mean + rules.host_quantile * math.sqrt(mean * (1 - mean) / (weight + 1))
+        rate = (F.col(k) + mean * weight) / (F.col("n") + weight)
+        sure = rate - rules.host_certainty * F.sqrt(rate * (1 - rate) / (F.col("n") + weight + 1))
+        out = out.withColumn(f"{k}_rate", rate).withColumn(f"{k}_suspect", sure > mean)
+        kept = kept & (sure <= limit)
+    return out.withColumn("host_kept", kept)
+
+
+def _verdicts(counted: DataFrame, host: str, rules: Rules) -> DataFrame:
+    """The hosts that are rejected or suspect, a written table ``(_host, _bad, _<rule>)``."""
+    names = list(rules.failures())
+    rates = host_rates(counted, host, rules)
+    told = rates.select(
+        F.col("host").alias("_host"), (~F.col("host_kept")).alias("_bad"), *[F.col(f"{k}_suspect").alias(f"_{k}") for k in names]
+    )
+    return materialize(told.where(F.greatest("_bad", *[f"_{k}" for k in names])), "verdicts")
+
+
+def _rejected(rules: Rules) -> Column:
+    """Whether a document joined with its host's verdict goes."""
+    fails = rules.failures()
+    own = fails["short"] | fails["repetitive"]
+    tainted = [F.coalesce(F.col(f"_{k}"), F.lit(False)) & failed for k, failed in fails.items()]
+    return own | F.coalesce(F.col("_bad"), F.lit(False)) | reduce(or_, tainted)
 
 
 def judge(counted: DataFrame, host: str = "source", rules: Rules = Rules()) -> DataFrame:
@@ -129,14 +161,13 @@ def judge(counted: DataFrame, host: str = "source", rules: Rules = Rules()) -> D
 
     A document is kept if it passes its own rules and its host's verdict.
     """
-    verdict = materialize(host_rates(counted, host, rules).where(~F.col("host_kept")).select("host"), "rejected")
-    verdict = verdict.select(F.col("host").alias("_host"), F.lit(True).alias("_bad"))
+    verdict, names = _verdicts(counted, host, rules), counted.columns
     fails = rules.failures()
     return (
         counted.join(verdict, F.col(host).eqNullSafe(F.col("_host")), "left")
         .withColumn("base_failed", fails["short"] | fails["repetitive"])
-        .withColumn("kept", ~F.col("base_failed") & F.col("_bad").isNull())
-        .drop("_host", "_bad")
+        .withColumn("kept", ~_rejected(rules))
+        .select(*names, "base_failed", "kept")
     )
 
 
@@ -160,9 +191,6 @@ def keep_good(docs: DataFrame, host: str = "source", rules: Rules = Rules()) ->
     renamed = dict(zip(names, plain.columns))
     plain = plain.select("*", F.col(renamed["text"]).alias("text"))
     counted = count_words(plain, list(renamed.values()))
-    verdict = host_rates(count_words(plain, [renamed[host]]), renamed[host], rules)
-    rejected = materialize(verdict.where(~F.col("host_kept")).select(F.col("host").alias("_host")), "rejected")
-    fails = rules.failures()
-    kept = counted.where(~(fails["short"] | fails["repetitive"]))
-    kept = kept.join(rejected, F.col(renamed[host]).eqNullSafe(F.col("_host")), "left_anti")
-    return kept.select([F.col(renamed[c]).alias(c) for c in names])
+    verdict = _verdicts(count_words(plain, [renamed[host]]), renamed[host], rules)
+    joined = counted.join(verdict, F.col(renamed[host]).eqNullSafe(F.col("_host")), "left")
+    return joined.where(~_rejected(rules)).select([F.col(renamed[c]).alias(c) for c in names])

@@ -5,7 +5,7 @@ import itertools
 import random
 import re
 import zlib
-from collections import Counter
+from collections import Counter, defaultdict
 
 import numpy as np
 import pytest
@@ -218,6 +218,56 @@ def test_rates_shrink_towards_all_hosts(spark):
     assert 0.85 < rate["a"] < 0.9 and 0.1 < rate["b"] < 0.15 and rate["c"] < 0.9
 
 
+def plain_kept(rows):
+    """``kept`` per row of ``(doc, host, counts..., n_lines)``, by the definitions."""
+    def fails(c):
+        n_words, chars, symbols, dups, repeat, lines = c
+        return [n_words < 50, 100 * repeat > 50 * n_words, 100 * symbols > 10 * chars, 100 * dups > 30 * lines]
+
+    hosts, failed = defaultdict(list), {}
+    for doc, host, c in rows:
+        failed[doc] = fails(c)
+        hosts[host].append(failed[doc])
+    n, bad, suspect = len(rows), set(), set()
+    for k in range(4):
+        mean = sum(f[k] for f in failed.values()) / n
+        spread = sum(sum(f[k] for f in g) ** 2 / len(g) for g in hosts.values()) / n - mean * mean
+        between = spread - mean * (1 - mean) * len(hosts) / n
+        weight = min(max(mean * (1 - mean) / between - 1, 1.0), n) if between > 0 else n
+        for host, g in hosts.items():
+            rate = (sum(f[k] for f in g) + mean * weight) / (len(g) + weight)
+            sure = rate - 1.645 * (rate * (1 - rate) / (len(g) + weight + 1)) ** 0.5
+            if sure > mean + 2.326 * (mean * (1 - mean) / (weight + 1)) ** 0.5:
+                bad.add(host)
+            if sure > mean:
+                suspect.add((host, k))
+    return {
+        doc: not (failed[doc][0] or failed[doc][1] or host in bad or any((host, k) in suspect and failed[doc][k] for k in range(4)))
+        for doc, host, _ in rows
+    }
+
+
+def test_verdict_against_brute_force(spark):
+    """A host at 30 % failures among hosts at 5 % goes, one with two documents does not."""
+    rng = random.Random(2)
+    rows = []
+    for h in range(21):
+        share = 0.3 if h == 7 else 0.05
+        for _ in range(300):
+            c = [10 if rng.random() < share else 100, 400, 90 if rng.random() < 0.02 * (h % 3) else 3, 0, 0, 10]
+            rows.append((len(rows), f"h{h}", c))
+    rows += [(len(rows) + k, "tiny", [10, 50, 0, 0, 0, 1]) for k in range(2)] + [(99999, None, [100, 400, 0, 9, 0, 10])]
+    columns = ["doc_id", "source", "n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", "n_lines"]
+    counted = spark.createDataFrame([(i, h, *c) for i, h, c in rows], columns)
+    got = {r.doc_id: r.kept for r in quality.judge(counted).collect()}
+    assert got == plain_kept(rows)
+    hosts = {r.host: r.host_kept for r in quality.host_rates(counted, "source", quality.Rules()).collect()}
+    assert not hosts["h7"] and hosts["tiny"] and all(hosts[f"h{h}"] for h in range(21) if h != 7)
+    assert any(not got[i] for i, h, c in rows if c[0] == 100 and h != "h7"), "suspect hosts taint their failing documents"
+    equal = spark.createDataFrame([(i, f"h{i % 9}", 10 if i % 7 == 0 else 100, 400, 0, 0, 0, 1) for i in range(900)], columns)
+    assert all(r.kept != r.base_failed for r in quality.judge(equal).collect()), "hosts that don't differ are left alone"
+
+
 # --- secrets ---------------------------------------------------------------
 
 
