@@ -104,6 +104,15 @@ def strict_prepare(spark, folder):
 # --- reshaping ----------------------------------------------------------------------
 
 
+#: The languages of the documents.
+LANGUAGES = ["en", "de", "fr", "es"]
+
+
+def every_language() -> Column:
+    """One row per language."""
+    return F.explode(F.array(*map(F.lit, LANGUAGES)))
+
+
 def long_documents(spark, folder) -> DataFrame:
     return table(spark, folder, "documents").select(
         F.col("doc_id").alias("id"),
@@ -122,7 +131,7 @@ def lang_split_wide(spark, folder):
 
 @query
 def wide_to_long(spark, folder):
-    frames = R.to_wide(long_documents(spark, folder), ["en", "de"])
+    frames = R.to_wide(long_documents(spark, folder), LANGUAGES)
     return R.to_long(frames, include_enrichments=False)
 
 
@@ -269,7 +278,7 @@ def lexicon_table_scores(spark, folder):
     word = F.explode(F.array_distinct(L.words(F.lower("text"))))
     terms = table(spark, folder, "benchmark").select(word.alias("term")).distinct()
     lexicon = terms.select(
-        F.lit("en").alias("language"),
+        every_language().alias("language"),
         F.substring("term", 1, 1).alias("label"),
         "term",
         F.length("term").cast("double").alias("weight"),
@@ -532,7 +541,7 @@ def entities_gazetteer_table(spark, folder):
         .where(F.col("surface").rlike("^[A-Z]"))
         .distinct()
         .select(
-            F.lit("en").alias("language"),
+            every_language().alias("language"),
             "surface",
             F.lit("LOC").alias("entity_group"),
             F.lit(1.0).alias("score"),

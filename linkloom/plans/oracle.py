@@ -67,8 +67,7 @@ WHERE regexp_matches(name_ru, '\\S') AND regexp_matches(name_en, '\\S')
 ORACLE["lang_split_wide"] = """
 SELECT doc_id AS id, source AS name_en, text AS description_en FROM documents WHERE lang = 'en'"""
 ORACLE["wide_to_long"] = """
-SELECT source AS name, text AS description, lang AS language, doc_id AS id
-FROM documents WHERE lang IN ('en', 'de')"""
+SELECT source AS name, text AS description, lang AS language, doc_id AS id FROM documents"""
 ORACLE["stack_with_gaps"] = """
 SELECT doc_id, text, lang, NULL::BIGINT AS conv_id, NULL::BIGINT AS turn FROM documents
 UNION ALL
@@ -181,8 +180,7 @@ ORACLE["lexicon_table_scores"] = """
 WITH lexicon AS (
   SELECT DISTINCT unnest(regexp_extract_all(lower(text), '\\p{L}+')) AS term FROM benchmark),
 words AS (
-  SELECT doc_id, unnest(regexp_extract_all(lower(text), '\\p{L}+')) AS term FROM documents
-  WHERE lang = 'en'),
+  SELECT doc_id, unnest(regexp_extract_all(lower(text), '\\p{L}+')) AS term FROM documents),
 scores AS (
   SELECT doc_id, substr(x.term, 1, 1) AS label, CAST(sum(length(x.term)) AS DOUBLE) AS raw
   FROM words w JOIN lexicon x ON x.term = w.term GROUP BY ALL),
@@ -472,7 +470,7 @@ ORACLE["entities_gazetteer_table"] = """
 WITH surfaces AS (
   SELECT DISTINCT word FROM (SELECT unnest(regexp_extract_all(text, '\\p{L}+')) AS word FROM benchmark)
   WHERE regexp_matches(word, '^[A-Z]')),
-w AS (SELECT doc_id, regexp_extract_all(text, '\\p{L}+') AS w FROM documents WHERE lang = 'en'),
+w AS (SELECT doc_id, regexp_extract_all(text, '\\p{L}+') AS w FROM documents),
 runs AS (SELECT doc_id, unnest(w) AS word, generate_subscripts(w, 1) - 1 AS pos FROM w)
 SELECT doc_id, word, count(*) AS n, CAST(min(pos) AS INTEGER) AS first_pos
 FROM runs JOIN surfaces USING (word) GROUP BY doc_id, word"""
