@@ -12,6 +12,8 @@ import pytest
 from hypothesis import given, settings
 from hypothesis import strategies as st
 
+from pyspark.sql import functions as F
+
 from linkloom.llm import extraction, minhash, packing, quality, secrets, simhash, toxicity
 from tests.llm.conftest import documents, prose
 
@@ -296,37 +298,87 @@ def test_added_spans(spark):
 
 
 def plain_cost(value):
-    """The cheapest segmentation by trying all."""
+    """The cheapest segmentation, by the rules of a password's guess cost, over all segmentations."""
     import functools
     import math
 
-    spans = {}
-    for a, b, c in secrets._runs(value):
-        spans[a, b] = min(c, spans.get((a, b), c))
+    log, n = math.log10, len(value)
+    rows = ["1234567890", "qwertyuiop", "asdfghjkl", "zxcvbnm", "azertyuiop", "qsdfghjklm", "wxcvbn", "abcdefghijklmnopqrstuvwxyz"]
+    steps = {r[k : k + 2] for row in rows for r in (row, row[::-1]) for k in range(len(row) - 1)}
+    leet = {"4": "a", "@": "a", "8": "b", "3": "e", "1": "i", "!": "i", "0": "o", "$": "s", "5": "s", "7": "t"}
+    date = re.compile(
+        r"(0?[1-9]|[12]\d|3[01])[-/._]?(0?[1-9]|1[0-2])[-/._]?(19|20)?\d\d|(19|20)\d\d([-/._]?(0[1-9]|1[0-2])[-/._]?(0[1-9]|[12]\d|3[01]))?"
+    )
+
+    def letters(c):
+        return 10 if c.isdigit() else 26 if c.isalpha() and c.isascii() else 33 if c.isascii() else 1000
+
+    def costs(part):
+        low = part.lower()
+        plain = "".join(leet.get(c, c) for c in low)
+        for spelled, swaps in ((low, 0), (plain, sum(a != b for a, b in zip(low, plain)))):
+            if spelled in secrets.WORDS:
+                ups = sum(c.isupper() for c in part)
+                easy = ups == len(part) or (ups == 1 and part[0].isupper())
+                yield log(secrets.WORDS.index(spelled) + 2) + (log(2) if easy else len(part) * log(2) if ups else 0) + swaps * log(2)
+                break
+        if date.fullmatch(part):
+            yield log(150) if len(part) == 4 else log(365 * 150)
+        for width in (1, 2, 3, 4):
+            times = len(part) // width
+            if len(part) == width * times and times >= (3 if width == 1 else 2) and part == part[:width] * times:
+                yield sum(log(letters(c)) for c in part[:width]) + log(times)
+        if len(part) >= 3 and all(low[k : k + 2] in steps for k in range(len(part) - 1)):
+            yield log(len(steps)) + log(len(part)) + (log(2) if any(a > b for a, b in zip(low, low[1:])) else 0)
 
     @functools.cache
     def best(at, loose):
-        if at == len(value):
+        if at == n:
             return 0.0
-        cut = math.log10(2) if at else 0.0
-        out = math.log10(secrets._alphabet(value[at])) + (0 if loose else cut) + best(at + 1, True)
-        for end in range(at + 1, len(value) + 1):
-            costs = [secrets._word_cost(value[at:end])] if end - at >= 3 else []
-            m = secrets._DATE.match(value, at)
-            if m and m.end() == end and value[at].isdigit():
-                costs.append(math.log10(150) if end - at == 4 else math.log10(365 * 150))
-            costs += [c for (a, b), c in spans.items() if (a, b) == (at, end)]
-            out = min([out] + [c + cut + best(end, False) for c in costs if c is not None])
+        cut = log(2) if at else 0.0
+        out = log(letters(value[at])) + (0 if loose else cut) + best(at + 1, True)
+        for end in range(at + 3, n + 1):
+            out = min([out] + [c + cut + best(end, False) for c in costs(value[at:end])])
         return out
 
     return best(0, False)
 
 
-@pytest.mark.parametrize("value", ["", "password", "P4ssword1", "qwerty2019", "aaaaaaaa", "abcabcabc", "12.05.1998", "k3J!x", "zzz1999asdf", "letmeinDragon77"])
+VALUES = ["", "password", "P4ssword1", "qwerty2019", "aaaaaaaa", "abcabcabc", "12.05.1998", "k3J!x", "zzz1999asdf", "letmeinDragon77"]
+VALUES += ["qwertyuiopassword", "aaaaadmin", "ababababc1999", "1234512345", "PASSWORDpassword", "fdsaasdf01011990", "Ж" * 5]
+
+
+@pytest.mark.parametrize("value", VALUES)
 def test_guess_cost_is_the_cheapest(value):
     assert secrets.guess_cost(value) == pytest.approx(plain_cost(value))
 
 
+@settings(max_examples=200, deadline=None)
+@given(st.lists(st.sampled_from(["pass", "word", "admin", "q", "we", "rty", "19", "99", "aa", "ab", "0", "1", "X", "é", "!"]), max_size=7))
+def test_guess_cost_of_any_value(parts):
+    value = "".join(parts)
+    assert secrets.guess_cost(value) == pytest.approx(plain_cost(value))
+
+
+def test_values_come_through_their_cost(spark, monkeypatch):
+    rows = [(1, "my password is kXqVbZpLwMnTrYh"), (2, "Пароль: Zk8#pQm2vL!x"), (3, "secret: seasonal"), (4, "token = changeme123x")]
+    rows += [(5, 'password = "qwerty12345"'), (6, "password: your_password"), (7, None), (8, "token: 9c8b45435718dcc700c184a7e303cdc6")]
+    rows += [(k, "the seasonal words") for k in range(10, 14)]
+    df = documents(spark, rows).withColumn("judged", F.lit(1)).withColumn("_text", F.lit("x")).withColumn("spans", F.lit("y"))
+    got = {r.doc_id: r for r in secrets.scan(df).collect()}
+    assert [got[k].n_guess for k in (1, 2, 3, 7)] == [1, 1, 0, 0]
+    assert got[2].spans == "guess:8:20" and got[4].judged == ["placeholder"]
+    assert (got[5].judged, got[6].judged, got[8].judged) == (["guessable"], ["placeholder"], ["secret"])
+    monkeypatch.setattr(secrets, "guess_cost", lambda value, known=None: 0.0)
+    assert secrets.guess_spans("my password is kXqVbZpLwMnTrYh", [], secrets.Limits()) == [], "the cost decides"
+
+
+def test_common_words(spark):
+    df = documents(spark, [(1, "To be OR not to be"), (2, "not é été " * 3), (3, None), (4, "ab1cde été")])
+    assert secrets.common_words(df, 3) == ["not", "été", "cde"]
+    assert secrets.common_words(df, 9, 4) == ["not", "été"]
+
+
 def test_guess_cost_orders_values():
     costs = [secrets.guess_cost(v) for v in ("password", "qwerty123", "summer2019", "Xk9#mQ2vL!", "9c8b45435718dcc700c184a7e303cdc6")]
     assert costs == sorted(costs) and costs[2] < 8 < costs[3]
