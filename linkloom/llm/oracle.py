@@ -98,6 +98,22 @@ FROM counted c JOIN verdict v ON c.source IS NOT DISTINCT FROM v.source
 """
 
 
+# Base 32 of a SHA-1, five bits a character.
+OP9 = """
+WITH p AS (SELECT page_id, coalesce(html, '') AS t FROM pages),
+hashed AS (
+  SELECT page_id, t, array_to_string(list_transform(string_split(sha1(t), ''),
+    lambda h: ['0000', '0001', '0010', '0011', '0100', '0101', '0110', '0111', '1000', '1001', '1010', '1011', '1100',
+      '1101', '1110', '1111'][instr('0123456789abcdef', h)]), '') AS bits,
+    max(page_id) OVER (PARTITION BY t) AS newest FROM p)
+SELECT page_id, octet_length(encode(t))::BIGINT AS payload_bytes,
+  array_to_string(list_transform(range(0, 32), lambda k: 'ABCDEFGHIJKLMNOPQRSTUVWXYZ234567'[1 +
+    16 * bits[5 * k + 1]::INT + 8 * bits[5 * k + 2]::INT + 4 * bits[5 * k + 3]::INT + 2 * bits[5 * k + 4]::INT
+    + bits[5 * k + 5]::INT]), '') AS payload_digest,
+  CASE WHEN page_id = newest THEN 'response' ELSE 'revisit' END AS record_type,
+  CASE WHEN page_id <> newest THEN newest END AS refers_to
+FROM hashed"""
+
 # CRC-32 of an ASCII string: one table-free step per bit.
 _CRC = """
 xor(list_reduce(list_concat([4294967295::BIGINT], list_transform(string_split({0}, ''), lambda x: ascii(x)::BIGINT)),
@@ -247,6 +263,7 @@ FROM split s LEFT JOIN told ON told.doc_id = s.doc_id
 
 ORACLE = {
     "op6_quality_rules": _op6(),
+    "op9_warc_normaliser": OP9,
     "op11_source_divergence": OP11,
     "op12_conversation_repair": OP12,
     "op13_license_scans": _op13(),
