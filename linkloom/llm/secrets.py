@@ -15,10 +15,12 @@ from collections.abc import Iterator, Mapping, Sequence
 from dataclasses import dataclass
 
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from linkloom.sources.scratch import materialize
+
 # Base patterns: kind, pattern, group that must reach a length, that length (fixed values).
 ASSIGN = r"""(password|passwd|secret|token|api_?key)["']?\x20*[:=]\x20*["']?([A-Za-z0-9+/_.=-]+)"""
 KINDS = ["assign", "access", "hex", "guess"]
@@ -230,7 +232,10 @@ HELD = 300_000
 
 
 def common_words(docs: DataFrame, most: int, least: int = 1) -> list[str]:
-    """The ``most`` most frequent lower-cased words of all texts that occur ``least`` times, by count, then by themselves."""
+    """At most ``most`` lower-cased words of all texts, the most frequent that occur ``least`` times, by count, then by themselves.
+
+    Words that occur equally often are all taken or all left.
+    """
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         counts: Counter = Counter()
@@ -246,7 +251,13 @@ def common_words(docs: DataFrame, most: int, least: int = 1) -> list[str]:
 
     texts = docs.select("text").where("text is not null")
     counted = texts.mapInArrow(run, "word string, n long").groupBy("word").agg(F.sum("n").alias("n"))
-    return [r.word for r in counted.where(F.col("n") >= least).orderBy(F.desc("n"), "word").limit(most).collect()]
+    counted = materialize(counted.where(F.col("n") >= least), "words")
+    # Words of one count come in together or not at all, so only chosen ones leave the executors.
+    above = Window.orderBy(F.desc("n")).rowsBetween(Window.unboundedPreceding, 0)
+    classes = counted.groupBy("n").agg(F.count("*").alias("words")).withColumn("so_far", F.sum("words").over(above))
+    cut = classes.where(F.col("so_far") <= most).agg(F.min("n")).first()[0]
+    chosen = counted.where(F.col("n") >= cut).collect() if cut is not None else []
+    return [r.word for r in sorted(chosen, key=lambda r: (-r.n, r.word))]
 
 
 def scan(docs: DataFrame, limits: Limits = Limits()) -> DataFrame:

@@ -377,6 +377,8 @@ def test_common_words(spark):
     df = documents(spark, [(1, "To be OR not to be"), (2, "not é été " * 3), (3, None), (4, "ab1cde été")])
     assert secrets.common_words(df, 3) == ["not", "été", "cde"]
     assert secrets.common_words(df, 9, 4) == ["not", "été"]
+    assert secrets.common_words(df, 1) == [] and secrets.common_words(df, 2) == ["not", "été"]
+    assert secrets.common_words(df.where("doc_id = 3"), 9) == []
 
 
 def test_guess_cost_orders_values():
