@@ -11,7 +11,7 @@ exact: every step below may only skip pairs that provably cannot win.
    into small blocks of names that are alike. Blocks meet in an equi-join on the
    tokens that they share, and on the cells of the pivot tree that are near
    enough for names without a common token. Boxes around the measures of two
-   blocks bound all their scores.
+   blocks, and what their names begin with, bound all their scores.
 4. A task takes a source block and the target blocks that it meets, the most
    promising first. Measures rule out a few targets at once, then single pairs;
    what is left is scored exactly and raises the bar for the rest.
@@ -26,6 +26,7 @@ from dataclasses import dataclass
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -244,11 +245,11 @@ def _meetings(blocks: DataFrame, reach: DataFrame, weights, threshold: float) ->
 
     def side(k: int, prefix: str) -> DataFrame:
         chosen = blocks.where(F.col("side") == k)
-        return chosen.select(F.col("key").alias(f"{prefix}_key"), *[F.col(c).alias(f"{prefix}_{c}") for c in ["block", *P.SUMMARY]])
+        return chosen.select(F.col("key").alias(f"{prefix}_key"), F.startswith("key", F.lit("plain ")).alias(f"{prefix}_plain"), *[F.col(c).alias(f"{prefix}_{c}") for c in ["block", *P.SUMMARY]])
 
     s, t = side(0, "s"), side(1, "t")
-    by_token = s.withColumn("token", F.explode("s_tokens")).join(t.withColumnRenamed("t_key", "token"), "token")
-    by_cell = s.join(reach, "s_key").join(t, "t_key").drop("t_key").withColumn("token", F.lit(None).cast("string"))
+    by_token = s.withColumn("token", F.explode("s_tokens")).join(t.withColumnRenamed("t_key", "token"), "token").drop("s_key")
+    by_cell = s.join(reach, "s_key").join(t, "t_key").drop("s_key", "t_key").withColumn("token", F.lit(None).cast("string"))
     common = F.array_intersect("s_tokens", "t_tokens")
     size = F.aggregate(common, F.lit(0), lambda total, token: total + F.length(token) + 1)
     met = by_token.unionByName(by_cell).withColumn("common", F.when(F.col("token").isNotNull(), size))
@@ -261,11 +262,19 @@ def _meetings(blocks: DataFrame, reach: DataFrame, weights, threshold: float) ->
             shared = batch.column("common").is_valid().to_numpy(zero_copy_only=False)
             common = batch.column("common").fill_null(0).to_numpy()
             bound = np.where(shared, P.score_bounds(a, b, weights, common), P.score_bounds(a, b, weights, None))
+            # Beginnings are compared where that leaves a pair of blocks; they tell of names, and of joined tokens of plain ones.
+            left = np.flatnonzero(bound > threshold)
+            a, b, rest = a.take(left), b.take(left), batch.take(pa.array(left))
+            starts = (rest.column(c).to_pylist() for c in ("s_prefix", "t_prefix"))
+            apart = P.beginnings_apart(*starts, a.shortest - b.longest, a.longest - b.shortest)
+            plain = pc.and_(rest.column("s_plain"), rest.column("t_plain")).to_numpy(zero_copy_only=False)
+            closer = [P.score_bounds(a, b, weights, x, False, apart, np.where(plain, apart, 0)) for x in (common[left], None)]
+            bound[left] = np.where(shared[left], *closer)
             columns = [batch.column(c) for c in ("s_block", "t_block", "token")]
             out = pa.RecordBatch.from_arrays([*columns, pa.array(bound)], names=["s_block", "t_block", "token", "bound"])
             yield out.filter(pa.array(bound > threshold))
 
-    columns = ["s_block", "t_block", "token", "common", *[f"{x}_{c}" for x in "st" for c in P.SUMMARY if c != "tokens"]]
+    columns = ["s_block", "t_block", "token", "common", "s_plain", "t_plain", *[f"{x}_{c}" for x in "st" for c in P.SUMMARY if c != "tokens"]]
     return met.select(columns).mapInArrow(bounded, "s_block long, t_block long, token string, bound double")
 
 
@@ -331,11 +340,17 @@ def _close_names(open_names: DataFrame, t_names: DataFrame, weights, threshold:
     target = t_names.select(F.lit(1).alias("side"), "norm", "order")
     no_order = F.lit(None).cast(t_names.schema["order"].dataType)
     names = open_names.select(F.lit(0).alias("side"), "norm", no_order.alias("order")).unionByName(target)
-    sides = names.groupBy("side").agg(F.count("*").alias("n"), F.max(F.length("norm")).alias("longest")).collect()
+    size = F.length("norm")
+    known = [F.min(size).alias("shortest"), F.max(size).alias("longest"), F.min("norm").alias("first"), F.max("norm").alias("last")]
+    sides = names.groupBy("side").agg(F.count("*").alias("n"), *known).collect()
     counts = {r.side: r.n for r in sides}
-    space = P.space_of(P.sampled_names(open_names, t_names), min(counts.get(0, 0), counts.get(1, 0)) // BLOCK)
+    shortest, longest = min((r.shortest for r in sides), default=0), max((r.longest for r in sides), default=0)
+    ends = min((r.first for r in sides), default=""), max((r.last for r in sides), default="")
+    sampled = P.sampled_names(open_names, t_names)
+    space = P.space_of(P.mixed(sampled), min(counts.get(0, 0), counts.get(1, 0)) // BLOCK)
+    space = P.nearer_space(space, sampled, ends, longest, weights, threshold, shortest)
     blocks = _blocks(names, space, max(counts.values(), default=0))
-    reach = P.reachable_cells(space, max((r.longest for r in sides), default=0), weights, threshold)
+    reach = P.reachable_cells(space, longest, weights, threshold, shortest)
     reach = t_names.sparkSession.createDataFrame(reach, "s_key string, t_key string")
     return _scored(_meetings(blocks, reach, weights, threshold), blocks, weights, threshold)
 

@@ -254,3 +254,48 @@ def test_blocks_are_cut_at_keys_and_sizes():
     out, rest = P._cut(rest, 2, 10, True)
     assert out.column("norms").to_pylist() == [["e e", "f"]] and out.column("tokens").to_pylist() == [["e", "f"]] and rest.num_rows == 0
     assert out.column("marks").to_pylist() == [bytes([3, 4, 1, 5])]
+
+
+def test_numbered_names_meet_few_blocks(spark, monkeypatch):
+    """All are equally far from any pivot; what the names of a block begin with keeps most blocks apart."""
+    seen, scored = [], M._scored
+    monkeypatch.setattr(M, "BLOCK", 8)
+    monkeypatch.setattr(M, "_scored", lambda met, *rest: (seen.append(met.count()), scored(met, *rest))[1])
+    sources = [f"Customer#{k:09}" for k in range(1200)]
+    targets = [f"Supplier#{k:09}" for k in range(0, 900, 3)]
+    got = run(spark, sources, targets)
+    assert {k: got.get(k) for k in (0, 1, 3, 100, 897, 898, 1199)} == {
+        k: expect([sources[k]], targets).get(0) for k in (0, 1, 3, 100, 897, 898, 1199)
+    }
+    assert got == {k: (f"Supplier#{k:09}", 71.0) for k in range(0, 900, 3)}
+    assert seen[0] < 0.3 * (1200 / 8) * (300 / 8)
+
+
+def test_beginnings_bound_edit_distances():
+    rng = random.Random(6)
+    names = ["".join(rng.choices("ab é", k=rng.randint(0, 9))) for _ in range(60)]
+    pairs = [rng.sample(names, 2) for _ in range(800)]
+    cut = [[n[: rng.randint(0, len(n))] for n in pair] for pair in pairs]
+    differ = np.array([len(a) - len(b) for a, b in pairs])
+    for slack in (0, 2):
+        got = P.beginnings_apart(*zip(*cut), differ - slack, differ + slack)
+        whole = P.beginnings_apart(*zip(*pairs), differ - slack, differ + slack)
+        for (a, b), least, more in zip(pairs, got, whole):
+            assert least <= more <= len(a) + len(b) - 2 * brute.lcs(a, b), (a, b)
+
+
+def test_cells_in_alphabetical_order_hold_all_matches():
+    rng = random.Random(8)
+    names = sorted({f"{w}{rng.randint(0, 3000)}" for w in ("lake", "castle", "x y") for _ in range(300)})
+    ends = names[0], names[-1]
+    space = P.in_order(P.space_of(names, 32), rng.sample(names, 200), ends)
+    weights = {"ratio": 0.4, "token_set": 0.5, "partial": 0.1}
+    reach = P.reachable_cells(space, max(map(len, names)), weights, 65, min(map(len, names)))
+    pairs = set(zip(reach["s_key"], reach["t_key"]))
+    plain = ["plain" if P.joined_tokens(n) == n else "odd" for n in names]
+    cells = space.codes(space.measures(names), names) >> (P.DEPTH - space.cell_depth)
+    for n, cell in zip(names, cells):
+        assert n.startswith(space.beginnings()[cell])
+    for a, b in (rng.sample(range(len(names)), 2) for _ in range(3000)):
+        if not set(names[a].split()) & set(names[b].split()) and brute.score(names[a], names[b]) > 65:
+            assert (f"{plain[a]} {cells[a]}", f"{plain[b]} {cells[b]}") in pairs
