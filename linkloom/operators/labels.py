@@ -25,6 +25,7 @@ from linkloom.functions.text import (
     sql_text,
     words,
 )
+from linkloom.sources.scratch import materialize
 
 #: Centroids that a row is compared with at once.
 CENTROID_BLOCK = 256
@@ -232,16 +233,18 @@ def tag(
 # --- lexicon as a table -----------------------------------------------------------
 
 
-def term_counts(df: DataFrame, key: str, text: str, language: str, max_words: int = 1) -> DataFrame:
-    """``key, language, term, n`` for every distinct run of up to ``max_words`` words of every text.
+def term_counts(df: DataFrame, key: str, text: str, language: str, lexicon: DataFrame) -> DataFrame:
+    """``key, language, term, n`` for every distinct run of words of every text that is a term of the lexicon.
 
-    Counting happens before any shuffle of consequence: all words of a text are
-    in one task, so partial aggregation already yields one row per run.
+    Runs that are no term are dropped before anything is counted, so with a
+    lexicon below Spark's size threshold only occurrences of terms are shuffled.
     """
+    max_words = longest_phrase(lexicon, "term")
     lowered = F.transform(words(F.col(text)), lambda t: F.lower(t))
     usable = df.where(~is_missing(F.col(text))).withColumn("_tokens", lowered)
     runs = F.concat(*[grams(F.col("_tokens"), n) for n in range(1, max_words + 1)])
     tokens = usable.select(key, F.col(language).alias("language"), F.explode(runs).alias("term"))
+    tokens = tokens.join(lexicon.select("language", "term").distinct(), ["language", "term"], "left_semi")
     return tokens.groupBy(key, "language", "term").agg(F.count("*").alias("n"))
 
 
@@ -255,10 +258,12 @@ def lexicon_scores(df: DataFrame, key: str, text: str, language: str, lexicon: D
 
     Terms may be phrases, as in an inline lexicon. An equi-join on term and
     language. No join hint: a lexicon below Spark's size threshold is broadcast, a
-    larger one is shuffled, with skewed terms split at run time.
+    larger one is shuffled, with skewed terms split at run time. It is written as a
+    scratch table first, so that its size is known.
     """
+    lexicon = materialize(lexicon, "lexicon")
     return (
-        term_counts(df, key, text, language, longest_phrase(lexicon, "term"))
+        term_counts(df, key, text, language, lexicon)
         .join(lexicon, ["language", "term"])
         .groupBy(key, "language", "label")
         .agg(F.sum(F.col("n") * F.col("weight")).alias("raw"))
@@ -281,11 +286,12 @@ def rank_labels(
     All others have the same raw score, 0, so their part of the softmax is their
     number times one weight, and the ones that can be among the best are the first
     of them: they are told from their positions, without a row per text and label.
-    ``key`` tells the rows of ``df`` apart.
+    ``key`` tells the rows of ``df`` apart. The lexicon is written as a scratch table first.
     """
+    lexicon = materialize(lexicon, "lexicon")
     labels = lexicon.select("language", "pos", "label").distinct()
     totals = labels.groupBy("language").agg(F.count("*").cast("int").alias("_labels"))
-    hits = term_counts(df, key, text, language, longest_phrase(lexicon, "term"))
+    hits = term_counts(df, key, text, language, lexicon)
     seen = hits.join(lexicon, ["language", "term"]).groupBy(key, "language", "pos").agg(
         F.sum(F.col("n") * F.col("weight")).alias("raw")
     )

@@ -292,9 +292,9 @@ def source_lexicon(spark, folder) -> DataFrame:
     lowered = F.transform(L.words(F.col("text")), lambda t: F.lower(t))
     words = table(spark, folder, "documents").select("lang", "source", lowered.alias("w")).where("size(w) > 1")
     pair = F.concat_ws(" ", F.get("w", F.lit(0)), F.get("w", F.lit(1)))
-    terms = words.groupBy("lang", "source").agg(
-        F.min(F.array_min("w")).alias("first"), F.max(F.array_max("w")).alias("last"), F.min(pair).alias("pair")
-    )
+    # A text's own terms first: minima of strings are found by sorting, and whole texts need not be sorted.
+    own = words.select("lang", "source", F.array_min("w").alias("first"), F.array_max("w").alias("last"), pair.alias("pair"))
+    terms = own.groupBy("lang", "source").agg(F.min("first").alias("first"), F.max("last").alias("last"), F.min("pair").alias("pair"))
     place = F.row_number().over(Window.partitionBy("lang").orderBy("source"))
     weighted = F.array(*[F.struct(F.col(c).alias("term"), F.lit(w).alias("weight")) for c, w in (("first", 1.0), ("last", 2.0), ("pair", 3.0))])
     placed = terms.withColumn("pos", place)

@@ -198,3 +198,16 @@ def test_one_pass_over_the_words_serves_all_steps(spark):
     assert row.ner.locations == ["Old Town", "Sea"] and row.tags == ["lake", "castle"] and row.location == "Old Town"
     plan = done.select("ner", "category", "tags")._jdf.queryExecution().executedPlan().toString()
     assert plan.count("regexp_extract_all(description") == 1
+
+
+@pytest.mark.parametrize("ranked", [True, False])
+def test_runs_that_are_no_term_are_not_shuffled(spark, ranked):
+    """The lexicon comes from an aggregate, whose size is not known beforehand."""
+    docs = spark.createDataFrame([(1, "a national park here", "en"), (2, "Park park", "en"), (3, None, "en")], "id int, text string, lang string")
+    rows = [("en", "green", 1, "national park", 2.0), ("en", "green", 1, "park", 1.0), ("en", "here", 2, "here", 0.5), ("en", None, 3, None, 1.0)]
+    lexicon = spark.createDataFrame(rows * 50, "language string, label string, pos int, term string, weight double")
+    lexicon = lexicon.groupBy("language", "label", "pos", "term").agg(F.max("weight").alias("weight"))
+    found = L.rank_labels(docs, "id", "text", "lang", lexicon, 1) if ranked else L.lexicon_scores(docs, "id", "text", "lang", lexicon)
+    plan = found._jdf.queryExecution().executedPlan().toString()
+    assert any("BroadcastHashJoin" in line and "LeftSemi" in line for line in plan.splitlines())
+    assert {(r.id, r.label): r.raw for r in found.collect() if r.raw > 0.5} == {(1, "green"): 3.0, (2, "green"): 2.0}
