@@ -3,7 +3,8 @@
 from __future__ import annotations
 
 import logging
-from collections.abc import Callable, Mapping, Sequence
+from collections.abc import Callable, Iterator, Mapping, Sequence
+from contextlib import contextmanager
 from dataclasses import dataclass, field, replace
 
 from pyspark.sql import Column, DataFrame, SparkSession
@@ -19,7 +20,7 @@ from linkloom.operators import profile as P
 from linkloom.operators import reshape as R
 from linkloom.operators.validate import WIDE_COLUMNS, drop_invalid
 from linkloom.sources.readers import load
-from linkloom.sources.scratch import materialize, released
+from linkloom.sources.scratch import file_system, materialize, released
 from linkloom.sources.writers import save
 
 log = logging.getLogger(__name__)
@@ -259,6 +260,49 @@ def own_row_matches(matches: DataFrame, own_name: str, target_name: str) -> Data
     return matches.withColumn("matched_own_row", F.col(own_name).eqNullSafe(F.col(target_name)))
 
 
+class Outputs:
+    """Outputs that are written early because others are made from them, by name."""
+
+    def __init__(self, spark: SparkSession, format: str, mode: str):
+        self.spark, self.paths = spark, {}
+        # Elsewhere a table would not come back as it was, or an old one could be in the way.
+        self.possible = format == "parquet" and mode == "error"
+
+    def write(self, df: DataFrame, name: str, path: str | None) -> DataFrame:
+        """Write ``df`` once and return a reader of it; as a scratch table if its output cannot be read instead."""
+        if path is None or not self.possible or self._exists(path):
+            return materialize(df, name)
+        self.paths[name] = path
+        save(df, path, "parquet", "error")
+        return self.spark.read.schema(df.schema).parquet(path)
+
+    def withdraw(self, name: str) -> None:
+        if name in self.paths:
+            files, place = file_system(self.spark, self.paths.pop(name))
+            files.delete(place, True)
+
+    def _exists(self, path: str) -> bool:
+        files, place = file_system(self.spark, path)
+        return files.exists(place)
+
+
+@contextmanager
+def outputs(spark: SparkSession, format: str, mode: str) -> Iterator[Outputs]:
+    """Early outputs, withdrawn if the block fails."""
+    early = Outputs(spark, format, mode)
+    try:
+        yield early
+    except BaseException:
+        for name in list(early.paths):
+            early.withdraw(name)
+        raise
+
+
+def combined_output(side_by_side: DataFrame, path: str | None, key: str = "id") -> str | None:
+    """The path of the combined output if that is just the rows with both languages."""
+    return path if key in side_by_side.columns else None
+
+
 def save_results(
     result: Enriched,
     folder: str,
@@ -269,31 +313,34 @@ def save_results(
 ) -> dict[str, str]:
     """Write every output and return the paths by name.
 
-    Enrichment and match run once: they are written as scratch tables that all
-    outputs read. The match table is written only if it has rows. The long output
+    Enrichment and match run once: the other outputs read the combined one and the
+    match table, or scratch tables where these cannot be read. The match table is written only if it has rows. The long output
     has one folder per language. Scratch tables are deleted at the end.
     """
     spark = result.source.sparkSession
-    with released(spark):
+    with released(spark), outputs(spark, format, mode) as early:
         if result.side_by_side is not None:
-            whole = materialize(result.side_by_side, "enriched")
+            whole = early.write(result.side_by_side, "combined", combined_output(result.side_by_side, combined_path))
             frames = {x: whole.select(frame.columns) for x, frame in result.records.items()}
             done = replace(result, records=frames, side_by_side=whole)
         else:
             done = replace(result, records={x: materialize(f, f"enriched-{x}") for x, f in result.records.items()})
-        matches = None if done.matches is None else materialize(done.matches, "matches")
-        return write_outputs(replace(done, matches=matches), folder, format, combined_path, long_path, mode)
+        matches = None if done.matches is None else early.write(done.matches, "matches", f"{folder}/name_matches")
+        return write_outputs(replace(done, matches=matches), folder, format, combined_path, long_path, mode, early)
 
 
 def write_outputs(
-    result: Enriched, folder: str, format: str, combined_path: str | None, long_path: str | None, mode: str
+    result: Enriched, folder: str, format: str, combined_path: str | None, long_path: str | None, mode: str, early: Outputs
 ) -> dict[str, str]:
-    """Write results that are already computed."""
+    """Write results that are already computed, those that were not written early."""
     paths = {x: save(frame, f"{folder}/{x}_enriched", format, mode) for x, frame in result.records.items()}
-    if result.matches is not None and not result.matches.isEmpty():
-        paths["matches"] = save(result.matches, f"{folder}/name_matches", format, mode)
+    if result.matches is not None:
+        if result.matches.isEmpty():
+            early.withdraw("matches")
+        else:
+            paths["matches"] = early.paths.get("matches") or save(result.matches, f"{folder}/name_matches", format, mode)
     if combined_path:
-        paths["combined"] = save(combine(result, tuple(result.records)), combined_path, format, mode)
+        paths["combined"] = early.paths.get("combined") or save(combine(result, tuple(result.records)), combined_path, format, mode)
     if long_path:
         paths["long"] = save(R.to_long(result.records), long_path, format, mode, ["language"])
     return paths

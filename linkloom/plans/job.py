@@ -142,8 +142,8 @@ def run_job(
     Written are ``<language>_enriched``, ``long`` (a folder per language),
     ``combined``, ``name_matches`` (if there are any), ``report`` and the manifest,
     whose presence says that the rest is whole. The enriched table and the matches
-    are computed once; they feed all outputs, and the report is observed while
-    they are written. Labels are counted if they are in the closed list of their
+    are computed once; they feed all outputs (as Parquet from the combined output and
+    the match table themselves), and the report is observed while they are written. Labels are counted if they are in the closed list of their
     step (``Config.model_labels`` for a model of one's own). Scratch tables are
     deleted at the end.
     """
@@ -158,7 +158,8 @@ def run_job(
         seconds[name] = round(time.perf_counter() - start, 3)
 
     began = start = time.perf_counter()
-    with released(spark):
+    combined_path = f"{folder}/combined" if combined else None
+    with released(spark), N.outputs(spark, format, mode) as early:
         source, source_counts = _observed(df, _source_counts(df, required))
         wanted = N.chosen_steps(steps)
         lazy = N.enrich(source, config, [s for s in wanted if s != "fuzzy_match"])
@@ -167,7 +168,7 @@ def run_job(
             both = lazy.side_by_side
             counts = {f"{x} {k}": c for x in config.languages for k, c in _language_counts(both, x, config).items()}
             both, found = _observed(both, counts)
-            whole = materialize(both, "enriched")
+            whole = early.write(both, "combined", N.combined_output(both, combined_path))
             frames = {x: whole.select(frame.columns) for x, frame in lazy.records.items()}
             for x in config.languages:
                 per_language[x] = lambda x=x: {k.removeprefix(f"{x} "): v for k, v in found().items() if k.startswith(f"{x} ")}
@@ -186,13 +187,13 @@ def run_job(
             # Names are read from what was written; the input is not read again.
             own = {x: frame.drop(*[c for c in frame.columns if c.startswith(("ner_", "category_", "tags_"))]) for x, frame in frames.items()}
             watched, match_counts = _observed(N.match_languages(own[a], own[b], config.languages, config), _match_counts())
-            matches = materialize(watched, "matches")
+            matches = early.write(watched, "matches", f"{folder}/name_matches")
         timed("match", start)
 
         start = time.perf_counter()
         done = replace(lazy, records=frames, side_by_side=whole, matches=matches)
         long_path = f"{folder}/long"
-        paths = N.write_outputs(done, folder, format, f"{folder}/combined" if combined else None, long_path, mode)
+        paths = N.write_outputs(done, folder, format, combined_path, long_path, mode, early)
         timed("save", start)
 
     seconds["total"] = round(time.perf_counter() - began, 3)

@@ -132,3 +132,36 @@ def test_saving_over_a_result_is_an_error(wide, tmp_path):
     with pytest.raises(Exception, match="already exists"):
         writers.save(wide, path, "parquet")
     writers.save(wide, path, "parquet", mode="overwrite")
+
+
+def test_big_tables_are_written_once(spark, wide, config, tmp_path, monkeypatch):
+    """The combined output and the matches are what the other outputs are made from; no scratch copy of them is written."""
+    rows = [(k, f"Old {x}", f"{x} old", "a b", "c d") for k, x in enumerate(["castle", "bridge", "church"])]
+    wide = spark.createDataFrame(rows, wide.schema)
+    scratched, materialize = [], scratch.materialize
+    for module in (N, J):
+        monkeypatch.setattr(module, "materialize", lambda df, name: (scratched.append(name), materialize(df, name))[1])
+    done = J.run_job(wide, str(tmp_path / "a"), config)
+    assert scratched == [] and spark.read.parquet(done.paths["matches"]).columns[:2] == ["name_ru", "name_en"]
+    N.save_results(N.enrich(wide, config), str(tmp_path / "b"), "parquet", str(tmp_path / "b" / "both"), None)
+    assert scratched == []
+    as_json = J.run_job(wide, str(tmp_path / "c"), config, format="json")
+    assert scratched == ["combined", "matches"]
+    for name in ("combined", "ru"):
+        assert spark.read.parquet(done.paths[name]).count() == spark.read.json(as_json.paths[name]).count() == 3
+
+
+def test_a_failed_job_leaves_no_early_output(spark, wide, config, tmp_path, monkeypatch):
+    with monkeypatch.context() as patched:
+        patched.setattr(N, "write_outputs", lambda *_: 1 / 0)
+        with pytest.raises(ZeroDivisionError):
+            J.run_job(wide, str(tmp_path / "out"), config)
+    assert not (tmp_path / "out" / "combined").exists() and not (tmp_path / "out" / "name_matches").exists()
+    assert "combined" in J.run_job(wide, str(tmp_path / "out"), config).paths
+
+
+def test_no_matches_no_match_table(spark, config, tmp_path):
+    rows = [(1, "abc", "xyz", "x", "y")]
+    wide = spark.createDataFrame(rows, "id int, name_ru string, name_en string, description_ru string, description_en string")
+    done = J.run_job(wide, str(tmp_path / "out"), config)
+    assert "matches" not in done.paths and not (tmp_path / "out" / "name_matches").exists()
