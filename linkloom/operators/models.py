@@ -10,9 +10,13 @@ from __future__ import annotations
 from collections.abc import Callable, Iterator, Sequence
 from typing import Any
 
-import pandas as pd
+import numpy as np
+import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
+from pyspark.sql.pandas.types import to_arrow_type
 
 from linkloom.functions.entities import ENTITY_TYPE
 
@@ -49,23 +53,29 @@ def model_column(
 
     ``load_model`` runs once per task. Missing texts do not reach the model.
     """
-    schema = f"struct<result:{RESULT_TYPES[kind]},error:string>"
+    schema = T.DataType.fromDDL(f"struct<result:{RESULT_TYPES[kind]},error:string>")
+    arrow, names = to_arrow_type(schema), schema["result"].dataType.elementType.names
 
-    @F.pandas_udf(schema)
-    def apply(batches: Iterator[tuple[pd.Series, pd.Series]]) -> Iterator[pd.DataFrame]:
+    def as_arrow(found: list[tuple[Any, str | None]]) -> pa.Array:
+        def entry(e: Any) -> Any:
+            return e if e is None or isinstance(e, dict) else dict(zip(names, e))
+
+        rows = [{"result": None if result is None else [entry(e) for e in result], "error": error} for result, error in found]
+        return pa.array(rows, arrow)
+
+    @F.arrow_udf(schema)
+    def apply(batches: Iterator[tuple[pa.Array, pa.Array]]) -> Iterator[pa.Array]:
         model = load_model()
         for texts, languages in batches:
-            results: list[Any] = [[] for _ in texts]
-            errors: list[str | None] = [None] * len(texts)
-            usable = [k for k, t in enumerate(texts) if isinstance(t, str) and t]
+            usable = np.flatnonzero(pc.greater(pc.binary_length(texts), 0).fill_null(False).to_numpy(zero_copy_only=False))
+            # Only the texts and results of one call are Python objects at a time.
+            done = [as_arrow([([], None)])]
             for at in range(0, len(usable), batch_size):
-                rows = usable[at : at + batch_size]
-                found = _run(model, [texts.iloc[k] for k in rows], [languages.iloc[k] for k in rows])
-                for k, (result, error) in zip(rows, found):
-                    results[k], errors[k] = result, error
-            yield pd.DataFrame(
-                {"result": pd.Series(results, dtype=object), "error": pd.Series(errors, dtype=object)}
-            )
+                rows = pa.array(usable[at : at + batch_size])
+                done.append(as_arrow(_run(model, texts.take(rows).to_pylist(), languages.take(rows).to_pylist())))
+            place = np.zeros(len(texts), np.int64)
+            place[usable] = 1 + np.arange(len(usable))
+            yield pa.concat_arrays(done).take(pa.array(place))
 
     return apply(text, language)
 

@@ -165,3 +165,18 @@ def test_no_matches_no_match_table(spark, config, tmp_path):
     wide = spark.createDataFrame(rows, "id int, name_ru string, name_en string, description_ru string, description_en string")
     done = J.run_job(wide, str(tmp_path / "out"), config)
     assert "matches" not in done.paths and not (tmp_path / "out" / "name_matches").exists()
+
+
+def test_model_results_of_any_kind(spark):
+    """Entries are tuples, lists or dicts; the slot makes Arrow values of each call's results, without pandas."""
+
+    def kinds():
+        found = {"t": [("x", 1)], "l": [["x", 0.5]], "d": [{"score": 2.0, "label": "x"}], "n": None}
+        return lambda texts, languages: [found[t] for t in texts]
+
+    df = spark.createDataFrame([(k, t, "en") for k, t in enumerate(["t", None, "l", "", "d", "n", "?"])], "id int, text string, lang string")
+    run = X.apply_model(df, "text", "lang", kinds, "labels", "found", batch_size=2)
+    assert "ArrowEvalPython" in run._jdf.queryExecution().executedPlan().toString()
+    got = {r.id: (None if r.found is None else [tuple(e) for e in r.found], r.error) for r in run.collect()}
+    assert got == {0: ([("x", 1.0)], None), 1: ([], None), 2: ([("x", 0.5)], None), 3: ([], None), 4: ([("x", 2.0)], None), 5: (None, None), 6: ([], "'?'")}
+    assert "pandas" not in vars(X) and "pd" not in vars(X)
